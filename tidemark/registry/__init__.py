@@ -4,7 +4,7 @@ from importlib import import_module
 
 from tidemark.registry.base import ORACLES, QUERIES
 
-MODULES = ("retail", "sales")
+MODULES = ("retail", "sales", "basics")
 
 for _name in MODULES:
     import_module(f"tidemark.registry.{_name}")

@@ -124,10 +124,14 @@ def rpt_17(spark, sf):
 
 @query(
     "rpt_17_single_line_customers",
-    sql("sales", TOTALS + " SELECT customer_id, customer_name, line_count FROM t WHERE line_count = 1"),
+    sql("sales ord", """
+        SELECT s.customer_id, customer_name, count(*) AS line_count FROM sales s JOIN ord o ON o.order_id = s.order_id
+        WHERE status = 'Returned' GROUP BY 1, 2 HAVING count(*) = 1"""),
 )
 def rpt_17_lines(spark, sf):
-    return W.single_purchase_customers(totals(spark, sf), "line_count")
+    returned = A.orders(spark, sf).filter(F.col("status") == "Returned")
+    per_customer = W.customer_totals(A.sales(spark, sf), returned, named_customers(spark, sf))
+    return W.single_purchase_customers(per_customer, "line_count")
 
 
 @query(

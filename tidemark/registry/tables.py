@@ -44,6 +44,38 @@ CTES = {
         FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
              LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey
              JOIN part ON p_partkey = l_partkey""",
+    "trans": """
+        SELECT * FROM trans_rows UNION ALL SELECT * FROM trans_rows WHERE sale_amount > 100""",
+    "trans_rows": """
+        SELECT 'U' || user_id AS user_id, CAST(ts AS DATE) AS transaction_date,
+               CASE WHEN k < 25 THEN 'North' WHEN k < 50 THEN 'South' WHEN k < 75 THEN 'East' ELSE 'West' END AS region,
+               event_type AS product_category, CAST(value AS DECIMAL(18,2)) AS sale_amount,
+               CASE WHEN event_type = 'error' THEN NULL ELSE 'Active' END AS status,
+               CASE WHEN k < 2 THEN 'Seattle' WHEN k < 40 THEN 'Austin' WHEN k < 70 THEN 'Chicago' ELSE 'New York' END
+                   AS city,
+               k AS age, CASE WHEN value < 20 THEN 'Basic' WHEN value < 60 THEN 'Premium' ELSE 'Pro' END AS subscription,
+               strftime(ts, '%Y-%m-%d %H:%M:%S') AS raw_timestamp,
+               CASE WHEN k >= 10 THEN 'user' || k || '@example.com' END AS email,
+               CASE WHEN value < 5 THEN '' ELSE 'user_' || user_id END AS username,
+               CASE WHEN value >= 4 THEN CAST(value AS DECIMAL(18,2)) END AS price, 'S' || (k // 2) AS store_id
+        FROM (SELECT *, CAST(regexp_extract(props, '(\\d+)', 1) AS INTEGER) AS k FROM events)""",
+    "emp": """
+        SELECT 'E' || c_custkey AS employee_id, c_name AS name, c_mktsegment AS department,
+               CASE WHEN c_acctbal >= 0 THEN c_acctbal * 20 END AS salary, n_name AS city,
+               strftime(DATE '2010-01-01' + CAST(floor(abs(c_acctbal) / 3) AS INTEGER), '%Y-%m-%d') AS join_date,
+               CAST(floor(abs(c_acctbal) / 400) AS INTEGER) AS years_exp,
+               CASE WHEN c_nationkey < 15 THEN 'Active' ELSE 'Inactive' END AS status
+        FROM customer JOIN nation ON n_nationkey = c_nationkey""",
+    "sample_rows": """
+        SELECT CASE WHEN o_totalprice >= 10000 THEN l_orderkey END AS order_id, l_linenumber AS line_number,
+               l_partkey AS product_id, p_type AS category,
+               CASE WHEN l_linestatus = 'O' THEN 'West' WHEN l_tax > 0.02::DOUBLE THEN 'East' END AS region,
+               CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS ship_mode,
+               CASE WHEN l_discount < 0.09::DOUBLE THEN CAST(l_extendedprice AS DECIMAL(18,2)) END AS price,
+               CASE WHEN l_tax < 0.07::DOUBLE THEN CAST(l_quantity AS INTEGER) END AS quantity
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey""",
+    "sample": """
+        SELECT * FROM sample_rows UNION ALL SELECT * FROM sample_rows WHERE price > 100000""",
 }
 
 

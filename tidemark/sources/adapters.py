@@ -121,3 +121,68 @@ def sales(spark: SparkSession, sf_dir: str, dims: tuple[str, ...] = ()) -> DataF
         )
         out = out.join(what, "product_id")
     return out
+
+
+def event_number() -> Column:
+    """The number stored in the event's props."""
+    return F.regexp_extract("props", r"(\d+)", 1).cast("int")
+
+
+def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Point-of-sale rows with missing prices, e-mails and names and with exact duplicates."""
+    k, value = event_number(), F.col("value")
+    rows = table(spark, sf_dir, "events").select(
+        F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("user_id"),
+        F.col("ts").cast("date").alias("transaction_date"),
+        F.when(k < 25, "North").when(k < 50, "South").when(k < 75, "East").otherwise("West").alias("region"),
+        F.col("event_type").alias("product_category"),
+        value.cast(MONEY).alias("sale_amount"),
+        F.when(F.col("event_type") == "error", F.lit(None)).otherwise("Active").alias("status"),
+        F.when(k < 2, "Seattle").when(k < 40, "Austin").when(k < 70, "Chicago").otherwise("New York").alias("city"),
+        k.alias("age"),
+        F.when(value < 20, "Basic").when(value < 60, "Premium").otherwise("Pro").alias("subscription"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("raw_timestamp"),
+        F.when(k >= 10, F.concat(F.lit("user"), k.cast("string"), F.lit("@example.com"))).alias("email"),
+        F.when(value < 5, "").otherwise(F.concat(F.lit("user_"), F.col("user_id").cast("string"))).alias("username"),
+        F.when(value >= 4, value.cast(MONEY)).alias("price"),
+        F.concat(F.lit("S"), F.floor(k / 2).cast("string")).alias("store_id"),
+    )
+    return rows.unionByName(rows.filter(F.col("sale_amount") > 100))
+
+
+def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staff rows as a text extract delivers them: join date as text, salary sometimes missing."""
+    balance = F.col("c_acctbal")
+    joined = F.date_add(F.lit("2010-01-01").cast("date"), F.floor(F.abs(balance) / 3).cast("int"))
+    rows = table(spark, sf_dir, "customer").join(
+        table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
+    )
+    return rows.select(
+        F.concat(F.lit("E"), F.col("c_custkey").cast("string")).alias("employee_id"),
+        F.col("c_name").alias("name"),
+        F.col("c_mktsegment").alias("department"),
+        F.when(balance >= 0, balance * 20).alias("salary"),
+        F.col("n_name").alias("city"),
+        F.date_format(joined, "yyyy-MM-dd").alias("join_date"),
+        F.floor(F.abs(balance) / 400).cast("int").alias("years_exp"),
+        F.when(F.col("c_nationkey") < 15, "Active").otherwise("Inactive").alias("status"),
+    )
+
+
+def sales_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with gaps in price, quantity, region and ship mode, and with exact duplicates."""
+    line, head = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    wide = line.join(head, line.l_orderkey == head.o_orderkey).join(
+        table(spark, sf_dir, "part").select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey")
+    )
+    rows = wide.select(
+        F.when(F.col("o_totalprice") >= 10000, F.col("l_orderkey")).alias("order_id"),
+        F.col("l_linenumber").alias("line_number"),
+        F.col("l_partkey").alias("product_id"),
+        F.col("p_type").alias("category"),
+        F.when(F.col("l_linestatus") == "O", F.lit("West")).when(F.col("l_tax") > 0.02, "East").alias("region"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("ship_mode"),
+        F.when(F.col("l_discount") < 0.09, money("l_extendedprice")).alias("price"),
+        F.when(F.col("l_tax") < 0.07, F.col("l_quantity").cast("int")).alias("quantity"),
+    )
+    return rows.unionByName(rows.filter(F.col("price") > 100000))
