@@ -433,13 +433,13 @@ def agg_9(spark, sf):
     "agg_10_having",
     sql("prod", """
         SELECT brand, round(CAST(sum(unit_price) AS DOUBLE) / count(*), 4) AS average_price FROM prod GROUP BY 1
-        HAVING sum(unit_price) > 990 * count(*)"""),
+        HAVING sum(unit_price) > 945 * count(*)"""),
 )
 def agg_10(spark, sf):
     grouped = A.products(spark, sf).groupBy("brand").agg(
         F.sum("unit_price").alias("s"), F.count(F.lit(1)).alias("n")
     )
-    return grouped.filter(F.col("s") > 990 * F.col("n")).select(
+    return grouped.filter(F.col("s") > 945 * F.col("n")).select(
         "brand", F.round(F.col("s").cast("double") / F.col("n"), 4).alias("average_price")
     )
 
