@@ -1,0 +1,25 @@
+"""Finding the few keys that hold so many rows that one task should not take them whole."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A key is busy when a task would have to sort more rows than this.
+BUSY_ROWS = 5_000_000
+# At most this many keys are listed. The next busiest key holds less than 1/MAX_BUSY of all rows, so
+# leaving it out costs speed at worst; the rows themselves take one of two equivalent ways.
+MAX_BUSY = 1_000
+
+
+def busy_keys(df: DataFrame, keys: Sequence[str], busy_rows: int = BUSY_ROWS) -> DataFrame | None:
+    """The keys with more than busy_rows rows as a small table, or None if there are none.
+
+    Counts are combined inside each task, and only the listed keys (MAX_BUSY at most) reach the driver.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > busy_rows)
+    listed = counts.orderBy(F.col("_n").desc()).limit(MAX_BUSY).select(*keys)
+    found = listed.collect()
+    return df.sparkSession.createDataFrame(found, listed.schema) if found else None

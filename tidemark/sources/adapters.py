@@ -186,3 +186,58 @@ def sales_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_tax") < 0.07, F.col("l_quantity").cast("int")).alias("quantity"),
     )
     return rows.unionByName(rows.filter(F.col("price") > 100000))
+
+
+def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested call events, with missing ids, negative durations, missing times and re-delivered copies."""
+    k, value, kind = event_number(), F.col("value"), F.col("event_type")
+    said = (
+        F.when(kind == "error", "I am extremely frustrated, this is a terrible problem. It never works!")
+        .when(kind == "purchase", "Great service, very happy and thanks for the quick help")
+        .when(kind == "view", "I have a question about my bill")
+        .when((kind == "signup") & (k < 50), "absolutely brilliant onboarding, totally easy")
+        .when(kind == "signup", "my refund is delayed")
+        .otherwise("the issue was fixed but it is very very slow")
+    )
+    reply = F.when(k < 50, "How can I help you today").otherwise("Glad we solved it")
+
+    def segment(speaker: str, text: Column, start: float) -> Column:
+        return F.struct(
+            F.lit(speaker).alias("speaker"), text.alias("text"), F.lit(start).cast("double").alias("start_sec")
+        )
+
+    rows = table(spark, sf_dir, "events").select(
+        F.when(value >= 0.5, F.concat(F.lit("C"), F.col("event_id").cast("string"))).alias("call_id"),
+        F.when(k != 7, F.col("user_id").cast("int")).alias("customer_id"),
+        F.concat(F.lit("A"), k.cast("string")).alias("agent_id"),
+        F.when((k != 13) | (value > 3), F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1000000))
+        .alias("epoch_timestamp"),
+        F.when(value < 1, -1 - F.floor(value * 10)).otherwise(F.floor(value * 10)).cast("int").alias("duration_sec"),
+        F.when(k != 17, F.array(segment("agent", reply, 0.0), segment("customer", said, 4.5)))
+        .alias("transcript_segments"),
+        F.struct(
+            kind.alias("call_type"),
+            F.when(k < 60, "phone").otherwise("chat").alias("channel"),
+            F.when(k < 30, "Delhi").otherwise("Pune").alias("region"),
+        ).alias("metadata"),
+        F.when(value < 0.5, "malformed_missing_call_id").alias("_injection_type"),
+    )
+    return rows.unionByName(rows.filter(F.col("duration_sec") > 800))
+
+
+def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A change log as text, with null and uncastable keys, bad operations and missing times."""
+    k, value, kind = event_number(), F.col("value"), F.col("event_type")
+    user = F.col("user_id").cast("string")
+    return table(spark, sf_dir, "events").select(
+        F.when(k == 99, F.lit(None)).when(k == 98, F.concat(F.lit("x"), user)).otherwise(user).alias("customer_id"),
+        F.when(k < 20, "Delhi").when(k < 40, "Mumbai").when(k < 60, "Chennai").when(k < 80, "Pune")
+        .otherwise("Jaipur").alias("city"),
+        F.when(value > 20, "Premium").otherwise("Basic").alias("subscription_type"),
+        k.cast("string").alias("age"),
+        F.when(k == 50, "soon").otherwise("2023-05-17").alias("signup_date"),
+        F.when(k == 97, "UPSERT").when(k == 96, F.lit(None)).when(kind == "signup", "INSERT")
+        .when(kind == "error", "DELETE").otherwise("UPDATE").alias("operation"),
+        F.when(k == 95, F.lit(None)).when(k == 94, "yesterday")
+        .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")).alias("update_ts"),
+    )
