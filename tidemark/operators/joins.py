@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -41,13 +41,28 @@ def full_outer(one: DataFrame, many: DataFrame, key: str) -> DataFrame:
     return one_to_many_left(one, many, key).unionByName(stray, allowMissingColumns=True)
 
 
+# Above this many versions of one key, matching every fact with every version would cost too much.
+MANY_VERSIONS = 256
+
+
 def point_in_time(
-    facts: DataFrame, versions: DataFrame, key: str, at: str, start: str = "__start_at", end: str = "__end_at"
+    facts: DataFrame,
+    versions: DataFrame,
+    key: str,
+    at: str,
+    start: str = "__start_at",
+    end: str = "__end_at",
+    many_versions: int = MANY_VERSIONS,
 ) -> DataFrame:
     """Left join to the version valid at the fact's time: start <= at < end, open end = still valid.
 
-    An equi join on the key with a range residual; versions of one key do not overlap, so a fact matches once.
+    Versions of one key do not overlap, so a fact matches once at most. With few versions per key this is
+    an equi join with a range residual; a busy key's facts are split at run time. With many versions the
+    facts and versions of a day are put in order once instead.
     """
+    most = versions.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if most > many_versions:
+        return _point_in_time_by_day(facts, versions, key, at, start, end)
     f, v = facts.alias("f"), versions.alias("v")
     valid: Column = (F.col(f"v.{start}") <= F.col(f"f.{at}")) & (
         F.col(f"v.{end}").isNull() | (F.col(f"f.{at}") < F.col(f"v.{end}"))
@@ -56,3 +71,38 @@ def point_in_time(
     return f.join(v, (F.col(f"f.{key}") == F.col(f"v.{key}")) & valid, "left").select(
         "f.*", *[F.col(f"v.{c}") for c in keep]
     )
+
+
+def _point_in_time_by_day(
+    facts: DataFrame, versions: DataFrame, key: str, at: str, start: str, end: str
+) -> DataFrame:
+    """Facts and version starts of one key and day in one order; the version open at midnight is handed on."""
+    keep = [c for c in versions.columns if c != key]
+    placeable = F.col(key).isNotNull() & F.col(at).isNotNull()
+    version_type = versions.select(F.struct(*keep).alias("v")).schema["v"].dataType
+    fact_type = facts.select(F.struct(*facts.columns).alias("f")).schema["f"].dataType
+    fact_rows = facts.filter(placeable).select(
+        key, F.col(at).alias("_t"), F.struct(*facts.columns).alias("_fact"), F.lit(None).cast(version_type).alias("_version")
+    )
+    version_rows = versions.select(
+        key, F.col(start).alias("_t"), F.lit(None).cast(fact_type).alias("_fact"), F.struct(*keep).alias("_version")
+    )
+    rows = fact_rows.unionByName(version_rows).withColumn("_day", F.to_date("_t"))
+    by = [key, "_day"]
+    # a version that starts at the very time of a fact comes first
+    inside = Window.partitionBy(*by).orderBy("_t", F.col("_fact").isNotNull())
+    days = Window.partitionBy(key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    started = F.when(F.col("_version").isNotNull(), F.col("_t"))
+    handed = rows.groupBy(*by).agg(F.max_by("_version", started).alias("_last")).select(
+        *by, F.last("_last", ignorenulls=True).over(days).alias("_handed")
+    )
+    running = inside.rowsBetween(Window.unboundedPreceding, 0)
+    found = (
+        rows.withColumn("_now", F.last("_version", ignorenulls=True).over(running))
+        .join(handed, by)
+        .filter(F.col("_fact").isNotNull())
+        .withColumn("_now", F.coalesce("_now", "_handed"))
+    )
+    open_ = F.col(f"_now.{end}").isNull() | (F.col("_t") < F.col(f"_now.{end}"))
+    matched = found.select("_fact.*", *[F.when(open_, F.col(f"_now.{c}")).alias(c) for c in keep])
+    return matched.unionByName(facts.filter(~placeable), allowMissingColumns=True)

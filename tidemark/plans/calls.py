@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.sentiment import DEFAULT, Lexicon, label, score_segments
 from tidemark.functions.text import epoch_to_timestamp
 from tidemark.operators.history import scd2
-from tidemark.operators.quality import expect_or_drop, expectation_report, quarantine
+from tidemark.operators.quality import expect_or_drop, quarantine
 
 OPERATIONS = ("INSERT", "UPDATE", "DELETE")
 # Columns that describe the delivery, not the customer.

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import sentiment as S
 from tidemark.operators import history as H
 from tidemark.operators import joins
+from tidemark.operators import quality as Q
 from tidemark.plans import calls as P
 from tidemark.registry.base import query, with_tables
 from tidemark.sources import adapters as A
@@ -259,9 +260,9 @@ def cdc_4(spark, sf):
 POINT = sql(THEN, "SELECT call_id, customer_id, event_ts, city, subscription_type, age FROM then_enriched")
 
 
-def then_enriched(spark, sf):
+def then_enriched(spark, sf, **options):
     versions = history(spark, sf).drop("signup_date")
-    return joins.point_in_time(level(spark, sf), versions, "customer_id", "event_ts")
+    return joins.point_in_time(level(spark, sf), versions, "customer_id", "event_ts", **options)
 
 
 @query("jn_10_point_in_time", POINT)
@@ -269,6 +270,12 @@ def jn_10(spark, sf):
     return then_enriched(spark, sf).select("call_id", "customer_id", "event_ts", "city", "subscription_type", "age")
 
 
+@query("jn_10_point_in_time_many_versions", POINT)
+def jn_10_many(spark, sf):
+    rows = then_enriched(spark, sf, many_versions=10)
+    return rows.select("call_id", "customer_id", "event_ts", "city", "subscription_type", "age")
+
+
 @query("cdc_5_point_in_time_enrichment", POINT)
 def cdc_5(spark, sf):
     return jn_10(spark, sf)
@@ -300,7 +307,7 @@ def jn_9(spark, sf):
         WHERE epoch_timestamp IS NOT NULL AND duration_sec >= 0 AND call_id IS NOT NULL"""),
 )
 def str_4(spark, sf):
-    rows = P.expect_or_drop(P.with_event_time(A.calls(spark, sf)), P.silver_call_rules())
+    rows = Q.expect_or_drop(P.with_event_time(A.calls(spark, sf)), P.silver_call_rules())
     return rows.select("call_id", "customer_id", "epoch_timestamp", "duration_sec")
 
 
@@ -361,7 +368,7 @@ def rules_sql(rules, table):
          "non_negative_duration": "duration_sec IS NULL OR duration_sec >= 0"}, "call_events")),
 )
 def dq_6_calls(spark, sf):
-    return P.expectation_report(A.calls(spark, sf), P.bronze_call_rules())
+    return Q.expectation_report(A.calls(spark, sf), P.bronze_call_rules())
 
 
 @query(
@@ -371,7 +378,7 @@ def dq_6_calls(spark, sf):
          "valid_update_ts": "update_ts IS NOT NULL"}, "changes")),
 )
 def dq_6_changes(spark, sf):
-    return P.expectation_report(A.customer_changes(spark, sf), P.bronze_change_rules())
+    return Q.expectation_report(A.customer_changes(spark, sf), P.bronze_change_rules())
 
 
 # ---- KPI tables
