@@ -21,15 +21,19 @@ def dedup_any(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.dropDuplicates(list(keys))
 
 
-def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str], last: bool = False) -> DataFrame:
-    """Keep the first (or last) row per key in the given order.
+def dedup_first(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], last: bool = False, copies: str | None = None
+) -> DataFrame:
+    """Keep the first (or last) row per key in the given order; copies names a column for the rows per key.
 
     An aggregate rather than a window: a key with a great many copies is reduced before the shuffle.
     """
     rest = [c for c in df.columns if c not in keys]
     pick = F.max_by if last else F.min_by
-    kept = df.groupBy(*keys).agg(pick(F.struct(*rest), F.struct(*order)).alias("_row"))
-    return kept.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    counted = [F.count(F.lit(1)).alias(copies)] if copies else []
+    kept = df.groupBy(*keys).agg(pick(F.struct(*rest), F.struct(*order)).alias("_row"), *counted)
+    names = [F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns]
+    return kept.select(*names, *([copies] if copies else []))
 
 
 def drop_missing_key(df: DataFrame, key: str) -> DataFrame:

@@ -8,9 +8,10 @@ from tidemark.functions.text import mapped, parsed_date, repaired_email, strip,
 from tidemark.operators import cleaning as C
 from tidemark.operators import quality as Q
 from tidemark.operators.joins import known_only
-from tidemark.plans import catalogue, clean_retail, shop, transactions
+from tidemark.plans import catalogue, clean_retail, jobs, shop, transactions
 from tidemark.registry.base import query, with_tables
 from tidemark.registry.tables import CTES as CLEAN_CTES
+from tidemark.session import scratch_path
 from tidemark.sources import adapters as A
 from tidemark.sources import dirty as D
 
@@ -287,7 +288,7 @@ def dq_9(spark, sf):
         UNION ALL SELECT 'negative_price', count(*) FROM c_products WHERE unit_price < 0"""),
 )
 def dq_10(spark, sf):
-    return clean_retail.integrity_report(clean_retail.clean_retail(D.raw_retail(spark, sf)))
+    return clean_retail.integrity_report(jobs.load_retail(D.raw_retail(spark, sf), scratch_path(spark, "clean")))
 
 
 @query(
@@ -319,7 +320,7 @@ def dq_10(spark, sf):
 )
 def dq_11(spark, sf):
     raw = D.raw_retail(spark, sf)
-    return clean_retail.cleaning_log(raw, clean_retail.clean_retail(raw))
+    return clean_retail.cleaning_log(raw, jobs.load_retail(raw, scratch_path(spark, "clean")))
 
 
 @query(

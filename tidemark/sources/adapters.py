@@ -188,6 +188,12 @@ def sales_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.unionByName(rows.filter(F.col("price") > 100000))
 
 
+def utc_seconds(name: str) -> Column:
+    """Epoch seconds of a zone-free time read as UTC, whatever the session zone is."""
+    days = F.datediff(F.col(name).cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    return days * 86400 + F.hour(name) * 3600 + F.minute(name) * 60 + F.second(name)
+
+
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested call events, with missing ids, negative durations, missing times and re-delivered copies."""
     k, value, kind = event_number(), F.col("value"), F.col("event_type")
@@ -210,8 +216,7 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(value >= 0.5, F.concat(F.lit("C"), F.col("event_id").cast("string"))).alias("call_id"),
         F.when(k != 7, F.col("user_id").cast("int")).alias("customer_id"),
         F.concat(F.lit("A"), k.cast("string")).alias("agent_id"),
-        F.when((k != 13) | (value > 3), F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1000000))
-        .alias("epoch_timestamp"),
+        F.when((k != 13) | (value > 3), utc_seconds("ts")).alias("epoch_timestamp"),
         F.when(value < 1, -1 - F.floor(value * 10)).otherwise(F.floor(value * 10)).cast("int").alias("duration_sec"),
         F.when(k != 17, F.array(segment("agent", reply, 0.0), segment("customer", said, 4.5)))
         .alias("transcript_segments"),
