@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordering import exact_median, exact_quantiles, number_by_day, prefix_sum, ranked, with_ntile, with_rank
+from tidemark.operators.ordering import exact_median, exact_quantiles, number_by_day, numbered, ranked, with_ntile, with_ntiles, with_rank
 
 SHAPES = {
     "unique": lambda r, i: float(i),
@@ -49,6 +49,25 @@ def test_ntile_equals_the_plain_window(spark, tiles):
     assert collected(with_ntile(df, tiles, "v", ["id"], "t"), "id", "t") == collected(plain, "id", "t")
 
 
+def test_several_ntiles_at_once(spark):
+    df = rows(spark, "with gaps").fillna(0.0).withColumn("w", F.col("id") % 5)
+    plain = df
+    for name, c in (("a", F.col("v")), ("b", -F.col("w"))):
+        plain = plain.withColumn(name, F.ntile(4).over(Window.orderBy(c, "id")))
+    got = with_ntiles(df, 4, "id", {"a": F.col("v"), "b": -F.col("w")})
+    assert collected(got, "id", "a", "b", "g") == collected(plain, "id", "a", "b", "g")
+
+
+@pytest.mark.parametrize("group", [[], ["g"]])
+def test_numbers_in_a_busy_group(spark, group):
+    df = rows(spark, "with gaps")
+    plain = df.withColumn("_rn", F.row_number().over(Window.partitionBy(*group).orderBy("v", "id"))).withColumn(
+        "_size", F.count(F.lit(1)).over(Window.partitionBy(*group))
+    )
+    got = numbered(df, [F.col("v"), F.col("id")], group)
+    assert collected(got, "id", "_rn", "_size") == collected(plain, "id", "_rn", "_size")
+
+
 def test_rank_of_text(spark):
     df = rows(spark, "unique")
     plain = df.withColumn("r", F.rank().over(Window.orderBy(F.col("g").desc())))
@@ -58,19 +77,9 @@ def test_rank_of_text(spark):
 def test_empty_table(spark):
     df = rows(spark, "unique").filter("id < 0")
     assert ranked(df, "v", ["id"]).count() == 0
-    assert prefix_sum(df, [F.col("id")], ["g"]).count() == 0
     assert exact_median(df, "v").count() == 0
 
 
-@pytest.mark.parametrize("group", [[], ["g"]])
-def test_prefix_sum_over_a_busy_group(spark, group):
-    df = rows(spark, "few values")
-    before = Window.partitionBy(*group).orderBy("v", "id").rowsBetween(Window.unboundedPreceding, -1)
-    plain = df.withColumn("b", F.coalesce(F.sum("id").over(before), F.lit(0)))
-    got = prefix_sum(df, [F.col("v"), F.col("id")], group, F.col("id"), "b")
-    assert collected(got, "id", "b") == collected(plain, "id", "b")
-
-
 @pytest.mark.parametrize("shape", SHAPES)
 @pytest.mark.parametrize("group", [[], ["g"]])
 def test_quantiles_are_exact(spark, shape, group):

@@ -8,7 +8,6 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.aggregates import mode_of
 from tidemark.operators.ordering import exact_median
 
 
@@ -51,20 +50,42 @@ def fill_values(df: DataFrame, values: Mapping[str, Any]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast(types[c])) for c, v in values.items()})
 
 
+def fill_medians(df: DataFrame, columns: Mapping[str, bool]) -> DataFrame:
+    """Fill gaps of number columns with their exact medians, all found in one pass.
+
+    columns maps a column to whether the result is rounded to whole numbers, half to even.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in columns])
+    found = exact_median(df.select(F.inline(pairs)), "v", ["c"], "m")
+    # one row with a column per median; NULL where every value is missing
+    middle = found.agg(*[F.max(F.when(F.col("c") == c, F.col("m"))).alias(f"_{c}") for c in columns])
+    out = df.crossJoin(F.broadcast(middle))
+    for c, whole in columns.items():
+        filled = F.coalesce(F.col(c).cast("double"), F.col(f"_{c}"))
+        out = out.withColumn(c, F.bround(filled).cast("int") if whole else filled)
+    return out.drop(*[f"_{c}" for c in columns])
+
+
 def fill_median(df: DataFrame, column: str, to_whole: bool = False) -> DataFrame:
-    """Fill gaps with the exact median of the present values; to_whole rounds half to even."""
-    middle = exact_median(df, column, name="_median")
-    filled = F.coalesce(F.col(column).cast("double"), F.col("_median"))
-    if to_whole:
-        filled = F.bround(filled).cast("int")
-    # the median is one row, or none when every value is missing
-    return df.join(F.broadcast(middle), F.lit(True), "left").withColumn(column, filled).drop("_median")
+    return fill_medians(df, {column: to_whole})
+
+
+def fill_modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Fill gaps of text columns with their most frequent value (the smallest on ties), in one pass."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in columns])
+    counts = (
+        df.select(F.inline(pairs)).filter(F.col("v").isNotNull()).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+    )
+    order = F.struct(-F.col("n"), F.col("v"))
+    top = counts.agg(
+        *[F.min_by(F.when(F.col("c") == c, F.col("v")), F.when(F.col("c") == c, order)).alias(f"_{c}") for c in columns]
+    )
+    out = df.crossJoin(F.broadcast(top))
+    return out.withColumns({c: F.coalesce(F.col(c), F.col(f"_{c}")) for c in columns}).drop(*[f"_{c}" for c in columns])
 
 
 def fill_mode(df: DataFrame, column: str) -> DataFrame:
-    top = mode_of(df, column, "_mode")
-    filled = F.coalesce(F.col(column), F.col("_mode"))
-    return df.join(F.broadcast(top), F.lit(True), "left").withColumn(column, filled).drop("_mode")
+    return fill_modes(df, [column])
 
 
 def fill_group_median(df: DataFrame, column: str, group: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Ranks, tiles, prefix sums and exact quantiles over a whole table without a one-task window.
+"""Ranks, tiles and exact quantiles over a whole table without a one-task window.
 
 Rows are range-partitioned on the ordering, numbered inside each range, and shifted by offsets that come
 from a table with one row per range. That table has at most spark.sql.shuffle.partitions rows, which is
@@ -7,7 +7,7 @@ the bound for the broadcast and for the un-partitioned windows below.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,57 +18,57 @@ _BUCKET = "_bucket"
 
 
 def _ranges(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """Range-partition on the ordering, remember the range number, regroup by it."""
+    """Range-partition on the ordering and remember the range number."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *order).withColumn(_BUCKET, F.spark_partition_id())
     # The range bounds come from a sample, so a second evaluation may cut elsewhere: freeze the numbers.
-    return freeze(ranged).repartition(n, _BUCKET)
+    return freeze(ranged)
 
 
-def prefix_sum(
-    df: DataFrame,
-    order: Sequence[Column],
-    group: Sequence[str] = (),
-    weight: Column | None = None,
-    name: str = "before",
-) -> DataFrame:
-    """Add the sum of weight over the rows that come earlier in the group's order.
+def _per_range(rows: DataFrame, group: Sequence[str], weight: Column) -> DataFrame:
+    """For every group and range it touches: rows in the group's earlier ranges, and in the whole group.
 
-    order must be unique inside a group. A group that fills many ranges is handled by all of their tasks.
+    A group touches no more ranges than there are, which bounds the windows.
     """
-    keys = [F.col(c) for c in group]
-    whole = F.struct(*keys) if group else F.lit(0)
-    rows = _ranges(df.withColumn("_weight", F.lit(1) if weight is None else weight), [*keys, *order])
-    earlier = (
-        Window.partitionBy(_BUCKET, *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    in_group = Window.partitionBy(*group)
+    earlier = in_group.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy(*group, _BUCKET).agg(F.sum(weight).alias("_rows"))
+    return parts.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).withColumn(
+        "_size", F.sum("_rows").over(in_group)
     )
-    local = rows.withColumn("_local", F.coalesce(F.sum("_weight").over(earlier), F.lit(0)))
 
-    per_group = rows.groupBy(_BUCKET, *group).agg(F.sum("_weight").alias("_sum"))
-    edges = per_group.groupBy(_BUCKET).agg(
-        F.min(whole).alias("_first"), F.max(F.struct(whole.alias("g"), F.col("_sum").alias("s"))).alias("_last")
-    )
-    by_range = Window.orderBy(_BUCKET)
-    chain = Window.partitionBy("_last.g").orderBy(_BUCKET)
-    offsets = (
-        edges.withColumn("_cum", F.sum("_last.s").over(chain))
-        .withColumn("_prev", F.lag("_last.g").over(by_range))
-        .withColumn("_prev_cum", F.lag("_cum").over(by_range))
-        .select(
-            _BUCKET,
-            "_first",
-            F.when(F.col("_prev").eqNullSafe(F.col("_first")), F.col("_prev_cum")).otherwise(0).alias("_offset"),
-        )
-    )
+
+def _same(keys: Sequence[str]) -> list[Column]:
+    """Equality of keys with their twins named _t_key, NULL equal to NULL."""
+    return [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in keys]
+
+
+def numbered(df: DataFrame, order: Sequence[Column], group: Sequence[str] = ()) -> DataFrame:
+    """Add _rn, the row's number in its group's order, and _size, the rows of the group.
+
+    order must be unique inside a group. A group that fills many ranges is numbered by all of their tasks.
+    """
+    keys = [*group, _BUCKET]
+    rows = _ranges(df, [*[F.col(c) for c in group], *order])
+    parts = _per_range(rows, group, F.lit(1)).drop("_rows").withColumnsRenamed({c: f"_t_{c}" for c in keys})
+    inside = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return (
-        local.join(F.broadcast(offsets), _BUCKET)
-        .withColumn(
-            name, F.col("_local") + F.when(whole.eqNullSafe(F.col("_first")), F.col("_offset")).otherwise(0)
-        )
-        .drop(_BUCKET, "_weight", "_local", "_first", "_offset")
+        rows.withColumn("_inside", inside)
+        .join(parts, _same(keys))
+        .withColumn("_rn", F.col("_before") + F.col("_inside"))
+        .drop("_inside", "_before", _BUCKET, *[f"_t_{c}" for c in keys])
     )
 
 
+def _tile(tiles: int) -> Column:
+    """NTILE from _rn and _size: the first (size mod tiles) tiles hold one row more."""
+    size = F.floor(F.col("_size") / tiles)
+    larger = F.col("_size") % tiles
+    edge = larger * (size + 1)
+    later = larger + F.ceil((F.col("_rn") - edge) / F.greatest(size, F.lit(1)))
+    return F.when(F.col("_rn") <= edge, F.ceil(F.col("_rn") / (size + 1))).otherwise(later).cast("int")
+
+
 def ranked(
     df: DataFrame,
     by: str,
@@ -78,7 +78,8 @@ def ranked(
     """Add _rn, _rank, _dense and _total of every row in the order (by, tie)."""
     direction = F.col(by).desc() if descending else F.col(by).asc()
     ties = [F.col(c) for c in tie]
-    rows = _ranges(df, [direction, *ties])
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = _ranges(df, [direction, *ties]).repartition(n, _BUCKET)
     inside = Window.partitionBy(_BUCKET).orderBy(direction, *ties)
     peers = Window.partitionBy(_BUCKET).orderBy(direction)
     local = (
@@ -126,15 +127,31 @@ def with_rank(df: DataFrame, by: str, tie: Sequence[str], name: str, dense: bool
 def with_ntile(
     df: DataFrame, tiles: int, by: str, tie: Sequence[str], name: str, descending: bool = False
 ) -> DataFrame:
-    """NTILE(tiles) over the whole table: the first (rows mod tiles) tiles hold one row more."""
-    out = ranked(df, by, tie, descending)
-    size = F.floor(F.col("_total") / tiles)
-    larger = F.col("_total") % tiles
-    edge = larger * (size + 1)
-    tile = F.when(F.col("_rn") <= edge, F.ceil(F.col("_rn") / (size + 1))).otherwise(
-        larger + F.ceil((F.col("_rn") - edge) / F.greatest(size, F.lit(1)))
+    """NTILE(tiles) over the whole table."""
+    direction = F.col(by).desc() if descending else F.col(by).asc()
+    out = numbered(df, [direction, *[F.col(c) for c in tie]])
+    return out.withColumn(name, _tile(tiles)).drop("_rn", "_size")
+
+
+def with_ntiles(df: DataFrame, tiles: int, key: str, measures: Mapping[str, Column]) -> DataFrame:
+    """NTILE(tiles) of several numbers at once, ties split by the unique key.
+
+    measures maps a new column to the number it tiles, in ascending order. The numbers are ranked side by
+    side as one long table, so there is one shuffle for all of them.
+    """
+    rest = [c for c in df.columns if c != key]
+    empty = [F.lit(None).cast(df.schema[c].dataType).alias(c) for c in rest]
+    rows = []
+    for i, (name, value) in enumerate(measures.items()):
+        # the other columns travel with the first number only
+        carried = [F.col(c) for c in rest] if i == 0 else empty
+        rows.append(F.struct(F.lit(name).alias("_m"), value.cast("decimal(38,6)").alias("_v"), *carried))
+    long = numbered(df.select(key, F.inline(F.array(*rows))), [F.col("_v"), F.col(key)], ["_m"])
+    tiled = long.withColumn("_tile", _tile(tiles))
+    return tiled.groupBy(key).agg(
+        *[F.max(c).alias(c) for c in rest],
+        *[F.max(F.when(F.col("_m") == name, F.col("_tile"))).alias(name) for name in measures],
     )
-    return out.withColumn(name, tile.cast("int")).drop("_rn", "_rank", "_dense", "_total")
 
 
 def number_by_day(
@@ -162,29 +179,40 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per group; NULL values are left out.
 
-    Works on the histogram of distinct values, so repeated values are combined before the shuffle and no
-    task holds a whole group.
+    Works on the histogram of distinct values, range-partitioned by group and value. Counts per range tell
+    which range holds a wanted position, and only the rows of those ranges are put in order.
     """
     present = df.filter(F.col(value).isNotNull())
     hist = present.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_n"))
-    placed = prefix_sum(hist, [F.col(value)], group, F.col("_n"), "_before")
-    sizes = placed.groupBy(*group).agg(F.sum("_n").alias("_size"))
-    # without a group sizes is a single row
-    placed = placed.join(sizes, list(group)) if group else placed.crossJoin(F.broadcast(sizes))
+    rows = _ranges(hist, [*[F.col(c) for c in group], F.col(value)])
 
-    def at_position(pos: Column) -> Column:
-        hit = (F.col("_before") <= pos) & (pos < F.col("_before") + F.col("_n"))
-        return F.max(F.when(hit, F.col(value).cast("double")))
+    parts = _per_range(rows, group, F.col("_n"))
 
-    parts = []
+    def position(q: float) -> Column:
+        return (F.col("_size") - 1) * F.lit(float(q))
+
+    def holds(pos: Column, count: str) -> Column:
+        return (F.col("_before") <= pos) & (pos < F.col("_before") + F.col(count))
+
+    wanted = F.lit(False)
+    for q in at.values():
+        wanted = wanted | holds(F.floor(position(q)), "_rows") | holds(F.ceil(position(q)), "_rows")
+    keys = [*group, _BUCKET]
+    target = parts.filter(wanted).drop("_rows").withColumnsRenamed({c: f"_t_{c}" for c in keys})
+    inside = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    placed = (
+        rows.join(target, _same(keys))
+        .withColumn("_before", F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    )
+    number = F.col(value).cast("double")
+    picks = []
     for name, q in at.items():
-        pos = (F.col("_size") - 1) * F.lit(float(q))
-        parts += [at_position(F.floor(pos)).alias(f"_lo_{name}"), at_position(F.ceil(pos)).alias(f"_hi_{name}")]
-    picked = placed.groupBy(*group, "_size").agg(*parts)
+        for end, pos in (("lo", F.floor(position(q))), ("hi", F.ceil(position(q)))):
+            picks.append(F.max(F.when(holds(pos, "_n"), number)).alias(f"_{end}_{name}"))
+    picked = placed.groupBy(*group, "_size").agg(*picks)
     out = []
     for name, q in at.items():
-        pos = (F.col("_size") - 1) * F.lit(float(q))
-        low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
+        low, high, pos = F.col(f"_lo_{name}"), F.col(f"_hi_{name}"), position(q)
         out.append((low + (high - low) * (pos - F.floor(pos))).alias(name))
     return picked.select(*group, *out)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.cleaning import drop_nulls, fill_median, fill_mode, fill_values, full_row_dedup
+from tidemark.operators.cleaning import drop_nulls, fill_medians, fill_modes, fill_values, full_row_dedup
 
 # What a gap in a descriptive column reads as.
 NOT_AVAILABLE = "Not Available"
@@ -13,8 +13,7 @@ NOT_AVAILABLE = "Not Available"
 
 def clean_sample(sample: DataFrame) -> DataFrame:
     """Medians and modes come from the rows as delivered, copies included; copies go last."""
-    filled = fill_median(fill_median(sample, "price"), "quantity", to_whole=True)
-    filled = fill_mode(fill_mode(filled, "region"), "ship_mode")
+    filled = fill_modes(fill_medians(sample, {"price": False, "quantity": True}), ["region", "ship_mode"])
     rows = full_row_dedup(drop_nulls(filled, ["order_id"]))
     return rows.withColumn("total_amount", F.col("price") * F.col("quantity"))
 

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import percent, to_double
-from tidemark.operators.ordering import with_ntile
+from tidemark.operators.ordering import with_ntiles
+from tidemark.session import freeze
 
 NO_REVENUE = ("Cancelled", "Returned")
 
@@ -39,17 +40,14 @@ def order_values(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 def revenue_by_category(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
     kept = items.join(earning(orders).select("order_id"), "order_id")
-    # units and money per (order, product) first; the category only then
-    per_pair = kept.groupBy("order_id", "product_id").agg(
-        F.sum("quantity").alias("units"), F.sum(line_value()).alias("amount")
-    )
+    # rows are combined per (category, order) before the shuffle of the distinct count
     return (
-        per_pair.join(products.select("product_id", "category"), "product_id")
+        kept.join(products.select("product_id", "category"), "product_id")
         .groupBy("category")
         .agg(
             F.count_distinct("order_id").alias("orders_with_category"),
-            F.sum("units").alias("units_sold"),
-            to_double(F.sum("amount")).alias("revenue"),
+            F.sum("quantity").alias("units_sold"),
+            to_double(F.sum(line_value())).alias("revenue"),
         )
     )
 
@@ -131,16 +129,19 @@ def segment_of(total: Column) -> Column:
 
 def rfm_segments(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Quartile scores for recency, frequency and spend; ties are split by customer id."""
-    base = rfm_base(orders, items)
-    # the latest day does not move a customer's place, so tiles use the date and the days come last
-    scored = with_ntile(base, 4, "last_order", ["customer_id"], "r")
-    scored = with_ntile(scored, 4, "frequency", ["customer_id"], "f")
-    scored = with_ntile(scored, 4, "monetary", ["customer_id"], "m")
-    latest = scored.agg(F.max("last_order").alias("latest"))
+    # one row per customer, written once: its latest day and the tiles both start from it
+    base = freeze(rfm_base(orders, items))
+    latest = base.agg(F.max("last_order").alias("latest"))
+    dated = base.crossJoin(F.broadcast(latest)).select(
+        "customer_id", F.datediff("latest", "last_order").alias("recency_days"), "frequency", "monetary"
+    )
+    # fewer days since the last order score higher
+    measures = {"r": -F.col("recency_days"), "f": F.col("frequency"), "m": F.col("monetary")}
+    scored = with_ntiles(dated, 4, "customer_id", measures)
     total = F.col("r") + F.col("f") + F.col("m")
-    return scored.crossJoin(F.broadcast(latest)).select(
+    return scored.select(
         "customer_id",
-        F.datediff("latest", "last_order").alias("recency_days"),
+        "recency_days",
         "frequency",
         to_double(F.col("monetary")).alias("monetary"),
         total.alias("rfm_total"),

@@ -8,6 +8,7 @@ from tidemark.operators import joins
 from tidemark.operators import quality as Q
 from tidemark.plans import calls as P
 from tidemark.registry.base import query, with_tables
+from tidemark.session import freeze
 from tidemark.sources import adapters as A
 
 
@@ -261,7 +262,7 @@ POINT = sql(THEN, "SELECT call_id, customer_id, event_ts, city, subscription_typ
 
 
 def then_enriched(spark, sf, **options):
-    versions = history(spark, sf).drop("signup_date")
+    versions = freeze(history(spark, sf)).drop("signup_date")
     return joins.point_in_time(level(spark, sf), versions, "customer_id", "event_ts", **options)
 
 

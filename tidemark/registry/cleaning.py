@@ -396,7 +396,7 @@ MEDIANS = """
 )
 def cln_7(spark, sf):
     rows = A.sales_sample(spark, sf).select("order_id", "line_number", "product_id", "price", "quantity")
-    return C.fill_median(C.fill_median(rows, "price"), "quantity", to_whole=True)
+    return C.fill_medians(rows, {"price": False, "quantity": True})
 
 
 MODES = """
@@ -412,7 +412,7 @@ MODES = """
 )
 def cln_8(spark, sf):
     rows = A.sales_sample(spark, sf).select("order_id", "line_number", "product_id", "region", "ship_mode")
-    return C.fill_mode(C.fill_mode(rows, "region"), "ship_mode")
+    return C.fill_modes(rows, ["region", "ship_mode"])
 
 
 @query(

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # looking up the call site of every column expression costs more than planning a query
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -48,10 +50,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def freeze(df: DataFrame) -> DataFrame:
-    """Write df once to the shared folder and go on from there.
+    """Write df once to the shared folder and go on from the written table.
 
     Used where later steps must see exactly the rows and partition numbers of the first evaluation, also
-    after an executor is lost.
+    after an executor is lost. Unlike checkpoint(), which evaluates its input twice, this takes one pass,
+    and later steps read only the columns they need.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "frozen")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

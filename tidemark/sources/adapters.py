@@ -8,11 +8,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.schemas import TABLES
+
 MONEY = "decimal(18,2)"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def money(name: str) -> Column:
@@ -123,15 +125,16 @@ def sales(spark: SparkSession, sf_dir: str, dims: tuple[str, ...] = ()) -> DataF
     return out
 
 
-def event_number() -> Column:
-    """The number stored in the event's props."""
-    return F.regexp_extract("props", r"(\d+)", 1).cast("int")
+def numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the number stored in their props, {"k": 12}, as a column k."""
+    number = F.translate("props", '{}"k: ', "").cast("int")
+    return table(spark, sf_dir, "events").withColumn("k", number)
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Point-of-sale rows with missing prices, e-mails and names and with exact duplicates."""
-    k, value = event_number(), F.col("value")
-    rows = table(spark, sf_dir, "events").select(
+    k, value = F.col("k"), F.col("value")
+    rows = numbered_events(spark, sf_dir).select(
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("user_id"),
         F.col("ts").cast("date").alias("transaction_date"),
         F.when(k < 25, "North").when(k < 50, "South").when(k < 75, "East").otherwise("West").alias("region"),
@@ -196,7 +199,7 @@ def utc_seconds(name: str) -> Column:
 
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested call events, with missing ids, negative durations, missing times and re-delivered copies."""
-    k, value, kind = event_number(), F.col("value"), F.col("event_type")
+    k, value, kind = F.col("k"), F.col("value"), F.col("event_type")
     said = (
         F.when(kind == "error", "I am extremely frustrated, this is a terrible problem. It never works!")
         .when(kind == "purchase", "Great service, very happy and thanks for the quick help")
@@ -212,7 +215,7 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(speaker).alias("speaker"), text.alias("text"), F.lit(start).cast("double").alias("start_sec")
         )
 
-    rows = table(spark, sf_dir, "events").select(
+    rows = numbered_events(spark, sf_dir).select(
         F.when(value >= 0.5, F.concat(F.lit("C"), F.col("event_id").cast("string"))).alias("call_id"),
         F.when(k != 7, F.col("user_id").cast("int")).alias("customer_id"),
         F.concat(F.lit("A"), k.cast("string")).alias("agent_id"),
@@ -232,9 +235,9 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A change log as text, with null and uncastable keys, bad operations and missing times."""
-    k, value, kind = event_number(), F.col("value"), F.col("event_type")
+    k, value, kind = F.col("k"), F.col("value"), F.col("event_type")
     user = F.col("user_id").cast("string")
-    return table(spark, sf_dir, "events").select(
+    return numbered_events(spark, sf_dir).select(
         F.when(k == 99, F.lit(None)).when(k == 98, F.concat(F.lit("x"), user)).otherwise(user).alias("customer_id"),
         F.when(k < 20, "Delhi").when(k < 40, "Mumbai").when(k < 60, "Chennai").when(k < 80, "Pune")
         .otherwise("Jaipur").alias("city"),
