@@ -91,10 +91,13 @@ def test_quantiles_are_exact(spark, shape, group):
         assert got[r[0] if group else 0] == pytest.approx(tuple(r[-5:]))
 
 
-def test_numbering_by_day(spark):
+@pytest.mark.parametrize("busy_rows", [10, 100_000])
+def test_numbering_by_day(spark, busy_rows):
     r = random.Random(3)
-    data = [("hot" if r.random() < 0.5 else f"k{r.randint(0, 5)}", r.randint(1, 9), i) for i in range(800)]
-    df = spark.createDataFrame(data, "k string, d int, id long").withColumn("day", F.date_add(F.lit("2024-01-01").cast("date"), F.col("d")))
+    keys = lambda: "hot" if r.random() < 0.5 else r.choice([None, "k1", "k2", "k3"])
+    data = [(keys(), r.randint(1, 9), i) for i in range(800)]
+    start = F.lit("2024-01-01").cast("date")
+    df = spark.createDataFrame(data, "k string, d int, id long").withColumn("day", F.date_add(start, F.col("d")))
     plain = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("day", "id")))
-    got = number_by_day(df, ["k"], "day", ["id"], "n")
+    got = number_by_day(df, ["k"], "day", ["id"], "n", busy_rows)
     assert collected(got, "id", "n") == collected(plain, "id", "n")

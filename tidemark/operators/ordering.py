@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.skew import BUSY_ROWS
 from tidemark.session import freeze
 
 _BUCKET = "_bucket"
@@ -155,22 +156,27 @@ def with_ntiles(df: DataFrame, tiles: int, key: str, measures: Mapping[str, Colu
 
 
 def number_by_day(
-    df: DataFrame, key: Sequence[str], day: str, tie: Sequence[str], name: str
+    df: DataFrame, key: Sequence[str], day: str, tie: Sequence[str], name: str, busy_rows: int = BUSY_ROWS
 ) -> DataFrame:
-    """ROW_NUMBER per key in the order (day, tie).
+    """ROW_NUMBER per key in the order (day, tie), which must be unique.
 
     One busy key is cut into days: rows are numbered inside (key, day) and shifted by the count of the
-    key's earlier days. The shifting window sees one row per key and day, so the calendar bounds it.
+    key's earlier days. The shifting window sees one row per key and day, so the calendar bounds it. If
+    even one day of one key holds more than busy_rows rows, all rows are numbered by ranges instead.
     """
     per_day = df.groupBy(*key, day).agg(F.count(F.lit(1)).alias("_n"))
+    if (per_day.agg(F.max("_n")).first()[0] or 0) > busy_rows:
+        out = numbered(df, [F.col(day), *[F.col(c) for c in tie]], key)
+        return out.withColumnRenamed("_rn", name).drop("_size")
     earlier = Window.partitionBy(*key).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
     shift = per_day.select(*key, day, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_shift"))
+    shift = shift.withColumnsRenamed({c: f"_t_{c}" for c in (*key, day)})
     inside = Window.partitionBy(*key, day).orderBy(*tie)
     return (
         df.withColumn("_inside", F.row_number().over(inside))
-        .join(shift, [*key, day])
+        .join(shift, _same([*key, day]))
         .withColumn(name, F.col("_inside") + F.col("_shift"))
-        .drop("_inside", "_shift")
+        .drop("_inside", "_shift", *[f"_t_{c}" for c in (*key, day)])
     )
 
 

@@ -16,6 +16,7 @@ from tidemark.functions.text import EMAIL, is_blank, mapped, parsed_date, repair
 from tidemark.operators.cleaning import dedup_first, drop_missing_key, fill_group_median, repair_negative
 from tidemark.operators.joins import known_only, orphans
 from tidemark.operators.quality import require
+from tidemark.session import freeze
 
 # Exact labels that are replaced.
 PAYMENT_LABELS = {"upi": "UPI", "Cash On Delivery": "COD", "Cash on Delivery": "COD"}
@@ -40,9 +41,11 @@ def clean_customers(raw: DataFrame) -> DataFrame:
         F.upper(strip(F.col("state"))).alias("state"),
         parsed_date(F.col("signup_date")).alias("signup_date"),
     )
-    earliest = tidy.agg(F.min("signup_date").alias("_earliest"))
+    # written once, so that looking up the earliest date does not deduplicate a second time
+    stored = freeze(tidy)
+    earliest = stored.agg(F.min("signup_date").alias("_earliest"))
     return (
-        tidy.crossJoin(F.broadcast(earliest))
+        stored.crossJoin(F.broadcast(earliest))
         .withColumn("signup_date", F.coalesce("signup_date", "_earliest"))
         .drop("_earliest")
     )

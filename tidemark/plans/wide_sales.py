@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.numbers import to_double
 from tidemark.operators import aggregates as agg
 from tidemark.operators.ordering import number_by_day, with_rank
+from tidemark.session import freeze
 
 
 def customer_lines(lines: DataFrame, orders: DataFrame) -> DataFrame:
@@ -52,7 +53,7 @@ def top_ranked_customers(totals: DataFrame, ranks: int = 3) -> DataFrame:
 
     The total in place `ranks` decides: whoever reaches it is in, and only those rows are ranked.
     """
-    slim = totals.select("customer_id", "customer_name", "total_sales")
+    slim = freeze(totals.select("customer_id", "customer_name", "total_sales"))
     last = agg.top_k(slim, "total_sales", ranks, ["customer_id"]).agg(F.min("total_sales").alias("_last"))
     reached = slim.crossJoin(F.broadcast(last)).filter(F.col("total_sales") >= F.col("_last")).drop("_last")
     out = with_rank(reached, "total_sales", ["customer_id"], "sales_rank")
