@@ -16,12 +16,9 @@ def strip(text: Column) -> Column:
 
 
 def title_case(text: Column) -> Column:
-    """Upper case after every character that is no letter, lower case elsewhere: O'Brien Mary-Jane."""
-    letters = F.split(F.lower(text), "")
-    before = F.concat(F.array(F.lit(" ")), letters)
-    pairs = F.arrays_zip(letters.alias("c"), F.slice(before, 1, F.size(letters)).alias("p"))
-    cased = F.transform(pairs, lambda x: F.when(x["p"].rlike(r"\p{L}"), x["c"]).otherwise(F.upper(x["c"])))
-    return F.array_join(cased, "")
+    """Every run of letters with its first letter in upper case, the rest lower: O'Brien Mary-Jane."""
+    runs = F.regexp_extract_all(F.lower(text), F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1))
+    return F.array_join(F.transform(runs, lambda run: F.concat(F.upper(F.left(run, F.lit(1))), F.substr(run, F.lit(2)))), "")
 
 
 def mapped(value: Column, labels: Mapping[str, str]) -> Column:

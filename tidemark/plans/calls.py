@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.sentiment import DEFAULT, Lexicon, label, score_segments
 from tidemark.functions.text import epoch_to_timestamp
 from tidemark.operators.history import scd2
-from tidemark.operators.quality import expect_or_drop, quarantine
+from tidemark.operators.quality import expect_or_drop, passes, quarantine
 
 OPERATIONS = ("INSERT", "UPDATE", "DELETE")
 # Columns that describe the delivery, not the customer.
@@ -112,22 +112,21 @@ def split_changes(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Typed valid changes, and the rejected raw rows with the first reason that applies.
 
     Checks run after typing: a value that cannot be cast is a reason of its own, and a NULL operation is
-    invalid.
+    invalid. What the rules do not pass is rejected, so every row is in exactly one part.
     """
-    names = tuple(_typed_columns())
+    names = list(_typed_columns())
+    valid = expect_or_drop(typed_changes(raw), bronze_change_rules())
     both = typed_changes(raw.withColumns({f"_raw_{c}": F.col(c) for c in names}))
-    uncastable = {c: F.col(f"_raw_{c}").isNotNull() & F.col(c).isNull() for c in names}
-    reasons = {
+    bad = {
         "null_customer_id": F.col("_raw_customer_id").isNull(),
-        "uncastable_customer_id": uncastable["customer_id"],
-        "invalid_operation": ~F.coalesce(F.col("operation").isin(*OPERATIONS), F.lit(False)),
+        "uncastable_customer_id": F.col("customer_id").isNull(),
+        "invalid_operation": ~passes(F.col("operation").isin(*OPERATIONS)),
         "null_update_ts": F.col("_raw_update_ts").isNull(),
-        "uncastable_update_ts": uncastable["update_ts"],
+        "uncastable_update_ts": F.col("update_ts").isNull(),
     }
-    valid, rejects = quarantine(both, reasons)
-    raw_names = [f"_raw_{c}" for c in names]
-    restored = rejects.withColumns({c: F.col(f"_raw_{c}") for c in names}).drop(*raw_names)
-    return valid.drop(*raw_names), restored
+    _, rejects = quarantine(both, bad)
+    restored = rejects.withColumns({c: F.col(f"_raw_{c}") for c in names}).drop(*[f"_raw_{c}" for c in names])
+    return valid, restored
 
 
 def customer_history(changes: DataFrame, **options) -> DataFrame:

@@ -250,6 +250,16 @@ def snk_7(spark, sf):
     return K.snapshot(A.table(spark, sf, "supplier"), scratch_path(spark, "snapshot"))
 
 
+@query(
+    "snk_8_literal_rows",
+    """SELECT * FROM supplier
+       UNION ALL SELECT * FROM (VALUES (-1, 'Supplier#new', 3, 12.5), (-2, 'Supplier#other', 4, NULL))""",
+)
+def snk_8(spark, sf):
+    rows = [(-1, "Supplier#new", 3, 12.5), (-2, "Supplier#other", 4, None)]
+    return K.insert_rows(A.table(spark, sf, "supplier"), rows)
+
+
 # ---- streams
 
 

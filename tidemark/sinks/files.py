@@ -38,6 +38,11 @@ def snapshot(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def insert_rows(df: DataFrame, rows: Sequence[tuple]) -> DataFrame:
+    """The table with a few literal rows added, checked against its schema."""
+    return df.unionByName(df.sparkSession.createDataFrame(list(rows), df.schema))
+
+
 class CopyError(RuntimeError):
     """The copy differs from its source."""
 
