@@ -499,15 +499,15 @@ def agg_16(spark, sf):
     sql("sales", """
         WITH o AS (SELECT order_id, order_date, CAST(sum(sales) AS DOUBLE) / count(*) AS m FROM sales GROUP BY 1, 2)
         SELECT order_date, count(*) AS orders,
-               round(CAST(sum(CAST(round(m, 4) AS DECIMAL(18,4))) AS DOUBLE) / count(*), 2) AS avg_line
+               CAST(sum(CAST(round(m, 6) AS DECIMAL(18,6))) AS DOUBLE) / count(*) AS avg_line
         FROM o GROUP BY 1"""),
 )
 def agg_17(spark, sf):
-    mean = F.round(F.sum("sales").cast("double") / F.count("sales"), 4).cast("decimal(18,4)")
+    mean = F.round(F.sum("sales").cast("double") / F.count("sales"), 6).cast("decimal(18,6)")
     per_order = A.sales(spark, sf).groupBy("order_id").agg(mean.alias("m"))
     dated = per_order.join(A.orders(spark, sf).select("order_id", "order_date"), "order_id")
     return dated.groupBy("order_date").agg(
-        F.count(F.lit(1)).alias("orders"), F.round(F.sum("m").cast("double") / F.count("m"), 2).alias("avg_line")
+        F.count(F.lit(1)).alias("orders"), (F.sum("m").cast("double") / F.count("m")).alias("avg_line")
     )
 
 
