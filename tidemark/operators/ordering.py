@@ -39,9 +39,9 @@ def _per_range(rows: DataFrame, group: Sequence[str], weight: Column) -> DataFra
     )
 
 
-def _same(keys: Sequence[str]) -> list[Column]:
-    """Equality of keys with their twins named _t_key, NULL equal to NULL."""
-    return [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in keys]
+def _cell(keys: Sequence[str]) -> Column:
+    """Several keys as one. Two such values are equal also where a key is NULL in both."""
+    return F.struct(*[F.col(c) for c in keys])
 
 
 def numbered(df: DataFrame, order: Sequence[Column], group: Sequence[str] = ()) -> DataFrame:
@@ -50,14 +50,14 @@ def numbered(df: DataFrame, order: Sequence[Column], group: Sequence[str] = ())
     order must be unique inside a group. A group that fills many ranges is numbered by all of their tasks.
     """
     keys = [*group, _BUCKET]
-    rows = _ranges(df, [*[F.col(c) for c in group], *order])
-    parts = _per_range(rows, group, F.lit(1)).drop("_rows").withColumnsRenamed({c: f"_t_{c}" for c in keys})
-    inside = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    rows = _ranges(df, [*[F.col(c) for c in group], *order]).withColumn("_cell", _cell(keys))
+    parts = _per_range(rows, group, F.lit(1)).select(_cell(keys).alias("_cell"), "_before", "_size")
+    inside = F.row_number().over(Window.partitionBy("_cell").orderBy(*order))
     return (
         rows.withColumn("_inside", inside)
-        .join(parts, _same(keys))
+        .join(parts if group else F.broadcast(parts), "_cell")
         .withColumn("_rn", F.col("_before") + F.col("_inside"))
-        .drop("_inside", "_before", _BUCKET, *[f"_t_{c}" for c in keys])
+        .drop("_inside", "_before", "_cell", _BUCKET)
     )
 
 
@@ -164,19 +164,22 @@ def number_by_day(
     key's earlier days. The shifting window sees one row per key and day, so the calendar bounds it. If
     even one day of one key holds more than busy_rows rows, all rows are numbered by ranges instead.
     """
-    per_day = df.groupBy(*key, day).agg(F.count(F.lit(1)).alias("_n"))
+    # far fewer rows than df, and written once: looked at here, used below
+    per_day = freeze(df.groupBy(*key, day).agg(F.count(F.lit(1)).alias("_n")))
     if (per_day.agg(F.max("_n")).first()[0] or 0) > busy_rows:
         out = numbered(df, [F.col(day), *[F.col(c) for c in tie]], key)
         return out.withColumnRenamed("_rn", name).drop("_size")
     earlier = Window.partitionBy(*key).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
-    shift = per_day.select(*key, day, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_shift"))
-    shift = shift.withColumnsRenamed({c: f"_t_{c}" for c in (*key, day)})
-    inside = Window.partitionBy(*key, day).orderBy(*tie)
+    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    shift = per_day.select(_cell([*key, day]).alias("_cell"), before.alias("_shift"))
+    # the window and the join share one shuffle by the cell
+    inside = Window.partitionBy("_cell").orderBy(*tie)
     return (
-        df.withColumn("_inside", F.row_number().over(inside))
-        .join(shift, _same([*key, day]))
+        df.withColumn("_cell", _cell([*key, day]))
+        .withColumn("_inside", F.row_number().over(inside))
+        .join(shift, "_cell")
         .withColumn(name, F.col("_inside") + F.col("_shift"))
-        .drop("_inside", "_shift", *[f"_t_{c}" for c in (*key, day)])
+        .drop("_inside", "_shift", "_cell")
     )
 
 
@@ -204,10 +207,11 @@ def exact_quantiles(
     for q in at.values():
         wanted = wanted | holds(F.floor(position(q)), "_rows") | holds(F.ceil(position(q)), "_rows")
     keys = [*group, _BUCKET]
-    target = parts.filter(wanted).drop("_rows").withColumnsRenamed({c: f"_t_{c}" for c in keys})
-    inside = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    target = parts.filter(wanted).select(_cell(keys).alias("_cell"), "_before", "_size")
+    inside = Window.partitionBy("_cell").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     placed = (
-        rows.join(target, _same(keys))
+        rows.withColumn("_cell", _cell(keys))
+        .join(target if group else F.broadcast(target), "_cell")
         .withColumn("_before", F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
     )
     number = F.col(value).cast("double")

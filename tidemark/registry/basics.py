@@ -12,6 +12,7 @@ from tidemark.plans import shop, transactions, workforce
 from tidemark.plans import wide_sales as W
 from tidemark.registry.base import query
 from tidemark.registry.tables import sql
+from tidemark.session import freeze
 from tidemark.sources import adapters as A
 
 AS_OF = "2024-06-30"
@@ -191,7 +192,7 @@ def flt_16(spark, sf):
 )
 def flt_17(spark, sf):
     totals = agg.total_by(A.orders(spark, sf), ["customer_id"], {"total": "total_amount"})
-    return agg.above_average(totals, "total").withColumns(dbl("total"))
+    return agg.above_average(freeze(totals), "total").withColumns(dbl("total"))
 
 
 @query(
