@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import slices
+from tidemark.llm.common import share, slices
 
 NONE = np.int32(2**31 - 1)
 #: Entries of a worker's memory of pieces; it starts anew when full.
@@ -168,7 +168,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str
     as it is remembered. Special tokens are ordinary text. The work is one pass without a shuffle.
     """
     docs = docs.drop(out)
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = share(docs.sparkSession, vocabulary)
 
     def run(batches):
         import re
@@ -176,7 +176,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str
         import pyarrow as pa
         import regex
 
-        vocabulary, cut = shared.value, re.compile(CUT)
+        vocabulary, cut = shared(), re.compile(CUT)
         match = regex.compile(vocabulary.pattern).findall
         places: dict[str, int] = {}
         starts, lengths, flat, used = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), np.zeros(1 << 18, np.int32), 0
@@ -227,12 +227,12 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str
 def decode(docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """docs with the bytes of the tokens in ids, in a column that replaces out; null ids have none. Unknown ids are an error."""
     docs = docs.drop(out)
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = share(docs.sparkSession, vocabulary)
 
     def run(batches):
         import pyarrow as pa
 
-        v = shared.value
+        v = shared()
         sizes = np.diff(v.starts)
         for batch in batches:
             for part in slices(batch, ids, 1 << 20):

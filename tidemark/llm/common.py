@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 4 << 20
@@ -47,3 +48,23 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
             start, total = i, 0
         total += n
     yield batch.slice(start)
+
+
+def bounded_sample(df: DataFrame, group: str, key: str, per_group: int) -> DataFrame:
+    """At most per_group rows of every group, those with the least hash of the key; the same rows each time.
+
+    Rows are first thinned by hash to little more than that number, so the window that makes the bound sees no more
+    than it either, however large a group is. Rows without a group or key are left out.
+    """
+    rows = df.where(F.col(group).isNotNull() & F.col(key).isNotNull()).withColumn("_h", F.xxhash64(key, F.lit("sample")))
+    counts = rows.groupBy(F.col(group).alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
+    share = F.least(F.lit(1.0), per_group * 1.1 / F.col("_n"))
+    near = rows.join(counts, F.col(group) == F.col("_g")).where(F.pmod(F.col("_h"), F.lit(1 << 32)) < share * (1 << 32))
+    order = Window.partitionBy(group).orderBy("_h", key)
+    return near.withColumn("_i", F.row_number().over(order)).where(F.col("_i") <= per_group).select(df.columns)
+
+
+def share(spark: SparkSession, value: object) -> Callable[[], object]:
+    """Broadcast a value of fixed size once; the result, called in a task, gives it there."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: cloudpickle.loads(sent.value)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, reputation, simhash, site_lines, warc
+from tidemark.llm import bpe, langmix, ordinal, reputation, simhash, site_lines, warc
 from tidemark.llm.common import table
 from tidemark.session import scratch_path
 
@@ -134,3 +134,20 @@ FROM t LEFT JOIN k ON t.r = k.r
 def op10(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return site_lines.drop_boilerplate(docs).drop("source")
+
+
+@query("op1_ordinal_quality")
+def op1(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = ordinal.fit(docs, ordinal.grades_of(table(spark, sf_dir, "labels")))
+    return ordinal.score(docs, model).drop("text")
+
+
+@query("op5_language_mixture")
+def op5(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    docs = docs.withColumn("held_out", held)
+    model = langmix.learn(docs.where("NOT held_out AND lang IS NOT NULL"))
+    found = langmix.predict(docs.select("doc_id", "held_out", "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "languages")
