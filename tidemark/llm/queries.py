@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, langmix, ordinal, reputation, simhash, site_lines, warc
+from tidemark.llm import bpe, decontaminate, langmix, ordinal, reputation, simhash, site_lines, warc
 from tidemark.llm.common import table
 from tidemark.session import scratch_path
 
@@ -151,3 +151,9 @@ def op5(spark, sf_dir):
     model = langmix.learn(docs.where("NOT held_out AND lang IS NOT NULL"))
     found = langmix.predict(docs.select("doc_id", "held_out", "text"), model)
     return found.select("doc_id", "held_out", "lang_pred", "score", "languages")
+
+
+@query("op3_benchmark_leaks")
+def op3(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.leaks(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
