@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, langmix, ordinal, reputation, simhash, site_lines, warc
+from tidemark.llm import bpe, decontaminate, hilbert, langmix, ordinal, reputation, simhash, site_lines, warc
 from tidemark.llm.common import table
 from tidemark.session import scratch_path
 
@@ -157,3 +157,8 @@ def op5(spark, sf_dir):
 def op3(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.leaks(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+@query("op4_hilbert_neighbours")
+def op4(spark, sf_dir):
+    return hilbert.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
