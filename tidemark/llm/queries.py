@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, hilbert, langmix, ordinal, reputation, simhash, site_lines, warc
+from tidemark.llm import bpe, decontaminate, hilbert, langmix, ordinal, passages, reputation, simhash, site_lines, warc
 from tidemark.llm.common import table
 from tidemark.session import scratch_path
 
@@ -162,3 +162,9 @@ def op3(spark, sf_dir):
 @query("op4_hilbert_neighbours")
 def op4(spark, sf_dir):
     return hilbert.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query("op6_repeated_passages")
+def op6(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return passages.drop_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
