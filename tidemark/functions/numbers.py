@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import strip
+
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
 
 def to_double(amount: Column, places: int = 2) -> Column:
     """A DECIMAL sum as DOUBLE, rounded half up."""
@@ -22,5 +26,13 @@ def ratio(part: Column, whole: Column, places: int) -> Column:
 
 
 def try_number(text: Column, type_name: str = "double") -> Column:
-    """Text as a number, NULL where it is none."""
-    return F.trim(text).try_cast(type_name)
+    """Text as a number, NULL where it is none: signs, digits, one point and an exponent, white space around them.
+
+    Type suffixes (12d), NaN and Infinity are no numbers here.
+    """
+    return F.when(text.rlike(NUMBER), strip(text).try_cast(type_name))
+
+
+def whole_or(text: Column, otherwise: int) -> Column:
+    """Text as a whole number, fractions cut off; otherwise where it is no number or too large."""
+    return F.coalesce(try_number(text).try_cast("int"), F.lit(otherwise))

@@ -70,6 +70,29 @@ def multi_stats(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def exact_mean(column: str, digits: int) -> Column:
+    """Mean of numbers with at most digits decimals, summed exactly so that the order of summing does not matter."""
+    return F.sum(F.col(column).cast(f"decimal(30,{digits})")).cast("double") / F.count(column)
+
+
+STATISTICS = {
+    "rows": lambda column, digits: F.count(F.lit(1)),
+    "least": lambda column, digits: F.min(column),
+    "most": lambda column, digits: F.max(column),
+    "mean": lambda column, digits: F.round(F.avg(column), digits),
+    "exact mean": lambda column, digits: F.round(exact_mean(column, digits), digits),
+}
+
+
+def grouped_stats(df: DataFrame, by: str, wanted: Mapping[str, tuple]) -> DataFrame:
+    """One row per group; wanted maps a result to its statistic and, where it takes them, a column and decimals."""
+    measures = []
+    for name, (statistic, *arguments) in wanted.items():
+        column, digits = (*arguments, None, None)[:2]
+        measures.append(STATISTICS[statistic](column, digits).alias(name))
+    return df.groupBy(by).agg(*measures)
+
+
 def profile(df: DataFrame) -> DataFrame:
     """One row per column: count, distinct values, most frequent value, spread and exact quartiles.
 

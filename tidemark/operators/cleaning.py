@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import is_blank
 from tidemark.operators.ordering import exact_median
 
 
@@ -36,8 +37,8 @@ def dedup_first(
 
 
 def drop_missing_key(df: DataFrame, key: str) -> DataFrame:
-    """Drop rows whose key is NULL or blank."""
-    return df.filter(F.coalesce(F.trim(F.col(key).cast("string")), F.lit("")) != "")
+    """Drop rows whose key is NULL or white space of any kind."""
+    return df.filter(~is_blank(F.col(key).cast("string")))
 
 
 def drop_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

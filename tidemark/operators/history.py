@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.skew import BUSY_ROWS, busy_keys
+from tidemark.operators.ordering import RANGE, cell_of, in_ranges
 
 START, END = "__start_at", "__end_at"
 
@@ -19,101 +19,70 @@ def scd2(
     track: Sequence[str],
     delete_when: Column,
     exclude: Sequence[str] = (),
-    busy_rows: int = BUSY_ROWS,
 ) -> DataFrame:
     """Version history of a change log.
 
     A new version begins when a tracked column changes, at the first row of a key and after a delete.
     Other columns are updated in place. A delete closes the open version. Rows may arrive in any order; of
     several rows with the same key and sequence one counts: a delete first, else the largest values.
-    Versions are half open [__start_at, __end_at); an open end is the current version.
+    Versions are half open [__start_at, __end_at); an open end is the current version. The sequence may be of
+    any type that can be ordered.
 
-    Keys are spread by one shuffle. A key with more than busy_rows changes is cut into days instead, and
-    only what a day hands to the next is passed on.
+    Changes are put in the order (key, sequence) by ranges and worked on inside a range. What one range hands
+    to the next about a key is one row: its last state, the start of the version still open and the next
+    start. So neither a busy key nor a busy day of one key ends in one task.
     """
     others = [c for c in changes.columns if c not in {*keys, seq, *track, *exclude}]
     marked = changes.withColumn("_gone", F.coalesce(delete_when, F.lit(False)))
-    slim = marked.select(*keys, seq, "_gone", *track, *others)
-    busy = busy_keys(slim, keys, busy_rows)
-    if busy is None:
-        return _versions(slim, keys, seq, track, others)
-    quiet = slim.join(F.broadcast(busy), list(keys), "left_anti")
-    loud = slim.join(F.broadcast(busy), list(keys), "left_semi")
-    return _versions(quiet, keys, seq, track, others).unionByName(_versions_by_day(loud, keys, seq, track, others))
+    best = F.max(F.struct("_gone", *track, *others)).alias("_best")
+    once = marked.groupBy(*keys, seq).agg(best).select(*keys, seq, "_best.*")
 
-
-def _one_per_moment(rows: DataFrame, by: Sequence[str], seq: str, attributes: Sequence[str]) -> DataFrame:
-    """One row per key and sequence; already spread by `by`, so this needs no further shuffle."""
-    best = F.max(F.struct("_gone", *attributes)).alias("_best")
-    return rows.repartition(*by).groupBy(*by, seq).agg(best).select(*by, seq, "_best.*")
-
-
-def _is_new(prev: Column, track: Sequence[str]) -> Column:
-    """Whether a row begins a version (or is a delete), given the row before it."""
-    same = F.lit(True)
-    for c in track:
-        same = same & F.col(c).eqNullSafe(prev[c])
-    return prev.isNull() | prev["_gone"] | F.col("_gone") | ~same
-
-
-def _collect_versions(
-    rows: DataFrame, keys: Sequence[str], seq: str, track: Sequence[str], others: Sequence[str]
-) -> DataFrame:
-    """Fold rows that carry their version's start and end into one row per version."""
-    final = rows.groupBy(*keys, START, END).agg(F.max_by(F.struct("_gone", *track, *others), F.col(seq)).alias("_v"))
-    return final.filter(~F.col("_v._gone")).select(*keys, *[F.col(f"_v.{c}") for c in (*track, *others)], START, END)
-
-
-def _versions(rows: DataFrame, keys, seq, track, others) -> DataFrame:
-    once = _one_per_moment(rows, keys, seq, [*track, *others])
-    order = Window.partitionBy(*keys).orderBy(seq)
+    by = [*keys, RANGE]
+    rows = in_ranges(once, [F.col(c) for c in (*keys, seq)]).withColumn("_cell", cell_of(by))
+    inside = Window.partitionBy("_cell").orderBy(seq)
+    ranges = Window.partitionBy(*keys).orderBy(RANGE)
     state = F.struct("_gone", *track)
-    opened = F.when(_is_new(F.col("_prev"), track), F.col(seq))
-    placed = (
-        once.withColumn("_prev", F.lag(state).over(order))
-        .withColumn("_opened", opened)
-        .withColumn(START, F.max("_opened").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn(END, F.min("_opened").over(order.rowsBetween(1, Window.unboundedFollowing)))
-    )
-    return _collect_versions(placed, keys, seq, track, others)
 
-
-def _versions_by_day(rows: DataFrame, keys, seq, track, others) -> DataFrame:
-    """The same for keys that are too large for one task.
-
-    Rows are spread by (key, day). What crosses midnight is the last state, the start of the version still
-    open and the next day's first start; these come from windows with one row per key and day.
-    """
-    day = "_day"
-    by = [*keys, day]
-    once = _one_per_moment(rows.withColumn(day, F.to_date(seq)), by, seq, [*track, *others])
-    inside = Window.partitionBy(*by).orderBy(seq)
-    days = Window.partitionBy(*keys).orderBy(day)
-    state = F.struct("_gone", *track)
-
-    last = once.groupBy(*by).agg(F.max_by(state, F.col(seq)).alias("_state"))
-    handed = last.select(*by, F.lag("_state").over(days).alias("_handed"))
+    # a row per key and range
+    last = rows.groupBy(*by).agg(F.max(F.struct(F.col(seq).alias("_at"), "_gone", *track)).alias("_state"))
+    handed = last.select(cell_of(by).alias("_cell"), F.lag("_state").over(ranges).alias("_handed"))
+    names = ("_gone", *track)
+    before = F.when(F.col("_handed").isNotNull(), F.struct(*[F.col(f"_handed.{c}").alias(c) for c in names]))
     opened = (
-        once.withColumn("_prev", F.lag(state).over(inside))
-        .join(handed, by)
-        .withColumn("_prev", F.when(F.row_number().over(inside) == 1, F.col("_handed")).otherwise(F.col("_prev")))
+        rows.withColumn("_prev", F.lag(state).over(inside))
+        .withColumn("_first", F.row_number().over(inside) == 1)
+        .join(handed, "_cell")
+        .withColumn("_prev", F.when(F.col("_first"), before).otherwise(F.col("_prev")))
         .withColumn("_opened", F.when(_is_new(F.col("_prev"), track), F.col(seq)))
-        .drop("_prev", "_handed")
+        .drop("_prev", "_handed", "_first")
     )
     bounds = opened.groupBy(*by).agg(F.min("_opened").alias("_first"), F.max("_opened").alias("_last"))
     across = bounds.select(
-        *by,
-        F.max("_last").over(days.rowsBetween(Window.unboundedPreceding, -1)).alias("_open_start"),
-        F.min("_first").over(days.rowsBetween(1, Window.unboundedFollowing)).alias("_next_start"),
+        cell_of(by).alias("_cell"),
+        F.max("_last").over(ranges.rowsBetween(Window.unboundedPreceding, -1)).alias("_open_start"),
+        F.min("_first").over(ranges.rowsBetween(1, Window.unboundedFollowing)).alias("_next_start"),
     )
     up_to_here = inside.rowsBetween(Window.unboundedPreceding, 0)
     ahead = inside.rowsBetween(1, Window.unboundedFollowing)
-    placed = opened.join(across, by).select(
-        *keys, seq, "_gone", *track, *others,
-        F.coalesce(F.max("_opened").over(up_to_here), F.col("_open_start")).alias(START),
-        F.coalesce(F.min("_opened").over(ahead), F.col("_next_start")).alias(END),
+    placed = (
+        opened.withColumn(START, F.max("_opened").over(up_to_here))
+        .withColumn(END, F.min("_opened").over(ahead))
+        .join(across, "_cell")
+        .withColumn(START, F.coalesce(START, "_open_start"))
+        .withColumn(END, F.coalesce(END, "_next_start"))
     )
-    return _collect_versions(placed, keys, seq, track, others)
+    final = placed.groupBy(*keys, START, END).agg(
+        F.max(F.struct(F.col(seq).alias("_at"), "_gone", *track, *others)).alias("_v")
+    )
+    return final.filter(~F.col("_v._gone")).select(*keys, *[F.col(f"_v.{c}") for c in (*track, *others)], START, END)
+
+
+def _is_new(prev: Column, track: Sequence[str]) -> Column:
+    """Whether a row begins a version (or is a delete), given the state of the row before it."""
+    same = F.lit(True)
+    for c in track:
+        same = same & F.col(c).eqNullSafe(prev[c])
+    return prev.isNull() | prev["_gone"] | F.col("_gone") | ~same
 
 
 def current(history: DataFrame) -> DataFrame:

@@ -6,11 +6,11 @@ oversized partitions at run time.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.ordering import RANGE, cell_of, in_ranges
+
 
 def known_only(df: DataFrame, key: str, parent: DataFrame, parent_key: str | None = None) -> DataFrame:
     """Rows whose key exists in the parent table."""
@@ -19,8 +19,11 @@ def known_only(df: DataFrame, key: str, parent: DataFrame, parent_key: str | Non
 
 
 def orphans(df: DataFrame, key: str, parent: DataFrame, parent_key: str | None = None) -> DataFrame:
-    """Rows whose key is NULL or missing in the parent table."""
-    keys = parent.select(F.col(parent_key or key).alias(key))
+    """Rows whose key is NULL or missing in the parent table.
+
+    Spark splits only the left side of such a join, so the parent's keys are reduced to one row each before.
+    """
+    keys = parent.select(F.col(parent_key or key).alias(key)).distinct()
     return df.join(keys, key, "left_anti")
 
 
@@ -28,23 +31,19 @@ def one_to_many_left(one: DataFrame, many: DataFrame, key: str) -> DataFrame:
     """one LEFT JOIN many, built so that a key with very many rows on the right can be split.
 
     Spark cannot split the right side of a left join, so matched rows come from an inner join and the
-    unmatched rows are added with NULLs.
+    unmatched rows are added with NULLs. These are found against one row per key.
     """
     matched = one.join(many, key)
-    alone = one.join(many.select(key), key, "left_anti")
+    alone = one.join(many.select(key).distinct(), key, "left_anti")
     return matched.unionByName(alone, allowMissingColumns=True)
 
 
 def full_outer(one: DataFrame, many: DataFrame, key: str) -> DataFrame:
     """FULL OUTER JOIN as matched rows plus the unmatched rows of either side, for the same reason."""
-    stray = many.join(one.select(key), key, "left_anti")
+    stray = many.join(one.select(key).distinct(), key, "left_anti")
     return one_to_many_left(one, many, key).unionByName(stray, allowMissingColumns=True)
 
 
-# Above this many versions of one key, matching every fact with every version would cost too much.
-MANY_VERSIONS = 256
-
-
 def point_in_time(
     facts: DataFrame,
     versions: DataFrame,
@@ -52,55 +51,41 @@ def point_in_time(
     at: str,
     start: str = "__start_at",
     end: str = "__end_at",
-    many_versions: int = MANY_VERSIONS,
 ) -> DataFrame:
     """Left join to the version valid at the fact's time: start <= at < end, open end = still valid.
 
-    Versions of one key do not overlap, so a fact matches once at most. With few versions per key this is
-    an equi join with a range residual; a busy key's facts are split at run time. With many versions the
-    facts and versions of a day are put in order once instead.
+    Versions of one key do not overlap, so a fact matches once at most. Facts and version starts are put in one
+    order (key, time) by ranges; inside a range a fact sees the last version that started, and the version still
+    open at a range's end is handed on. Work does not grow with facts times versions, and no key or day is left
+    to one task. Facts without key or time match nothing.
     """
-    most = versions.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    if most > many_versions:
-        return _point_in_time_by_day(facts, versions, key, at, start, end)
-    f, v = facts.alias("f"), versions.alias("v")
-    valid: Column = (F.col(f"v.{start}") <= F.col(f"f.{at}")) & (
-        F.col(f"v.{end}").isNull() | (F.col(f"f.{at}") < F.col(f"v.{end}"))
-    )
-    keep: Sequence[str] = [c for c in versions.columns if c != key]
-    return f.join(v, (F.col(f"f.{key}") == F.col(f"v.{key}")) & valid, "left").select(
-        "f.*", *[F.col(f"v.{c}") for c in keep]
-    )
-
-
-def _point_in_time_by_day(
-    facts: DataFrame, versions: DataFrame, key: str, at: str, start: str, end: str
-) -> DataFrame:
-    """Facts and version starts of one key and day in one order; the version open at midnight is handed on."""
     keep = [c for c in versions.columns if c != key]
     placeable = F.col(key).isNotNull() & F.col(at).isNotNull()
     version_type = versions.select(F.struct(*keep).alias("v")).schema["v"].dataType
     fact_type = facts.select(F.struct(*facts.columns).alias("f")).schema["f"].dataType
     fact_rows = facts.filter(placeable).select(
-        key, F.col(at).alias("_t"), F.struct(*facts.columns).alias("_fact"), F.lit(None).cast(version_type).alias("_version")
-    )
-    version_rows = versions.select(
-        key, F.col(start).alias("_t"), F.lit(None).cast(fact_type).alias("_fact"), F.struct(*keep).alias("_version")
+        F.col(key).alias("_key"), F.col(at).alias("_t"), F.lit(1).alias("_kind"), F.struct(*facts.columns).alias("_fact"),
+        F.lit(None).cast(version_type).alias("_version"),
     )
-    rows = fact_rows.unionByName(version_rows).withColumn("_day", F.to_date("_t"))
-    by = [key, "_day"]
     # a version that starts at the very time of a fact comes first
-    inside = Window.partitionBy(*by).orderBy("_t", F.col("_fact").isNotNull())
-    days = Window.partitionBy(key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    started = F.when(F.col("_version").isNotNull(), F.col("_t"))
+    version_rows = versions.filter(F.col(key).isNotNull() & F.col(start).isNotNull()).select(
+        F.col(key).alias("_key"), F.col(start).alias("_t"), F.lit(0).alias("_kind"), F.lit(None).cast(fact_type).alias("_fact"),
+        F.struct(*keep).alias("_version"),
+    )
+    by = ["_key", RANGE]
+    rows = in_ranges(fact_rows.unionByName(version_rows), [F.col(c) for c in ("_key", "_t", "_kind")])
+    rows = rows.withColumn("_cell", cell_of(by))
+    so_far = Window.partitionBy("_cell").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy("_key").orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    started = F.when(F.col("_kind") == 0, F.col("_t"))
+    # a row per key and range
     handed = rows.groupBy(*by).agg(F.max_by("_version", started).alias("_last")).select(
-        *by, F.last("_last", ignorenulls=True).over(days).alias("_handed")
+        cell_of(by).alias("_cell"), F.last("_last", ignorenulls=True).over(earlier).alias("_handed")
     )
-    running = inside.rowsBetween(Window.unboundedPreceding, 0)
     found = (
-        rows.withColumn("_now", F.last("_version", ignorenulls=True).over(running))
-        .join(handed, by)
-        .filter(F.col("_fact").isNotNull())
+        rows.withColumn("_now", F.last("_version", ignorenulls=True).over(so_far))
+        .filter(F.col("_kind") == 1)
+        .join(handed, "_cell")
         .withColumn("_now", F.coalesce("_now", "_handed"))
     )
     open_ = F.col(f"_now.{end}").isNull() | (F.col("_t") < F.col(f"_now.{end}"))

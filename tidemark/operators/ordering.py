@@ -12,17 +12,19 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.skew import BUSY_ROWS
 from tidemark.session import freeze
 
-_BUCKET = "_bucket"
+RANGE = "_range"
 
 
-def _ranges(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """Range-partition on the ordering and remember the range number."""
+def in_ranges(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """Range-partition on the ordering and remember the range number in the column RANGE.
+
+    Spark samples its input to find the range bounds. A second evaluation may cut elsewhere, so the numbers are stored:
+    two reads of the result agree, also after an executor is lost, and what df costs is paid once.
+    """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).withColumn(_BUCKET, F.spark_partition_id())
-    # The range bounds come from a sample, so a second evaluation may cut elsewhere: freeze the numbers.
+    ranged = df.repartitionByRange(n, *order).withColumn(RANGE, F.spark_partition_id())
     return freeze(ranged)
 
 
@@ -32,14 +34,14 @@ def _per_range(rows: DataFrame, group: Sequence[str], weight: Column) -> DataFra
     A group touches no more ranges than there are, which bounds the windows.
     """
     in_group = Window.partitionBy(*group)
-    earlier = in_group.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    parts = rows.groupBy(*group, _BUCKET).agg(F.sum(weight).alias("_rows"))
+    earlier = in_group.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy(*group, RANGE).agg(F.sum(weight).alias("_rows"))
     return parts.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).withColumn(
         "_size", F.sum("_rows").over(in_group)
     )
 
 
-def _cell(keys: Sequence[str]) -> Column:
+def cell_of(keys: Sequence[str]) -> Column:
     """Several keys as one. Two such values are equal also where a key is NULL in both."""
     return F.struct(*[F.col(c) for c in keys])
 
@@ -49,15 +51,15 @@ def numbered(df: DataFrame, order: Sequence[Column], group: Sequence[str] = ())
 
     order must be unique inside a group. A group that fills many ranges is numbered by all of their tasks.
     """
-    keys = [*group, _BUCKET]
-    rows = _ranges(df, [*[F.col(c) for c in group], *order]).withColumn("_cell", _cell(keys))
-    parts = _per_range(rows, group, F.lit(1)).select(_cell(keys).alias("_cell"), "_before", "_size")
+    keys = [*group, RANGE]
+    rows = in_ranges(df, [*[F.col(c) for c in group], *order]).withColumn("_cell", cell_of(keys))
+    parts = _per_range(rows, group, F.lit(1)).select(cell_of(keys).alias("_cell"), "_before", "_size")
     inside = F.row_number().over(Window.partitionBy("_cell").orderBy(*order))
     return (
         rows.withColumn("_inside", inside)
         .join(parts if group else F.broadcast(parts), "_cell")
         .withColumn("_rn", F.col("_before") + F.col("_inside"))
-        .drop("_inside", "_before", "_cell", _BUCKET)
+        .drop("_inside", "_before", "_cell", RANGE)
     )
 
 
@@ -80,19 +82,19 @@ def ranked(
     direction = F.col(by).desc() if descending else F.col(by).asc()
     ties = [F.col(c) for c in tie]
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = _ranges(df, [direction, *ties]).repartition(n, _BUCKET)
-    inside = Window.partitionBy(_BUCKET).orderBy(direction, *ties)
-    peers = Window.partitionBy(_BUCKET).orderBy(direction)
+    rows = in_ranges(df, [direction, *ties]).repartition(n, RANGE)
+    inside = Window.partitionBy(RANGE).orderBy(direction, *ties)
+    peers = Window.partitionBy(RANGE).orderBy(direction)
     local = (
         rows.withColumn("_lrn", F.row_number().over(inside))
         .withColumn("_lrank", F.rank().over(peers))
         .withColumn("_ldense", F.dense_rank().over(peers))
     )
-    edges = local.groupBy(_BUCKET).agg(
+    edges = local.groupBy(RANGE).agg(
         F.min(F.struct(F.col("_lrn"), F.col(by).alias("v")))["v"].alias("_first"),
         F.max(F.struct("_lrn", "_lrank", "_ldense", F.col(by).alias("v"))).alias("_end"),
     )
-    by_range = Window.orderBy(_BUCKET)
+    by_range = Window.orderBy(RANGE)
     so_far = by_range.rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         edges.withColumn("_rows", F.coalesce(F.sum("_end._lrn").over(so_far), F.lit(0)))
@@ -106,15 +108,15 @@ def ranked(
             - F.sum(F.col("_joined").cast("int")).over(by_range.rowsBetween(Window.unboundedPreceding, 0)),
         )
         .withColumn("_total", F.sum("_end._lrn").over(Window.partitionBy()))
-        .select(_BUCKET, "_first", "_rows", "_peer_rank", "_values", "_total")
+        .select(RANGE, "_first", "_rows", "_peer_rank", "_values", "_total")
     )
     continued = F.col("_peer_rank").isNotNull() & F.col(by).eqNullSafe(F.col("_first"))
     return (
-        local.join(F.broadcast(offsets), _BUCKET)
+        local.join(F.broadcast(offsets), RANGE)
         .withColumn("_rn", F.col("_rows") + F.col("_lrn"))
         .withColumn("_rank", F.when(continued, F.col("_peer_rank")).otherwise(F.col("_rows") + F.col("_lrank")))
         .withColumn("_dense", F.col("_values") + F.col("_ldense"))
-        .drop(_BUCKET, "_lrn", "_lrank", "_ldense", "_first", "_rows", "_peer_rank", "_values")
+        .drop(RANGE, "_lrn", "_lrank", "_ldense", "_first", "_rows", "_peer_rank", "_values")
     )
 
 
@@ -155,32 +157,13 @@ def with_ntiles(df: DataFrame, tiles: int, key: str, measures: Mapping[str, Colu
     )
 
 
-def number_by_day(
-    df: DataFrame, key: Sequence[str], day: str, tie: Sequence[str], name: str, busy_rows: int = BUSY_ROWS
-) -> DataFrame:
+def number_by_day(df: DataFrame, key: Sequence[str], day: str, tie: Sequence[str], name: str) -> DataFrame:
     """ROW_NUMBER per key in the order (day, tie), which must be unique.
 
-    One busy key is cut into days: rows are numbered inside (key, day) and shifted by the count of the
-    key's earlier days. The shifting window sees one row per key and day, so the calendar bounds it. If
-    even one day of one key holds more than busy_rows rows, all rows are numbered by ranges instead.
+    Rows are numbered by ranges, so neither a busy key nor a busy day of one key ends in one task.
     """
-    # far fewer rows than df, and written once: looked at here, used below
-    per_day = freeze(df.groupBy(*key, day).agg(F.count(F.lit(1)).alias("_n")))
-    if (per_day.agg(F.max("_n")).first()[0] or 0) > busy_rows:
-        out = numbered(df, [F.col(day), *[F.col(c) for c in tie]], key)
-        return out.withColumnRenamed("_rn", name).drop("_size")
-    earlier = Window.partitionBy(*key).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
-    shift = per_day.select(_cell([*key, day]).alias("_cell"), before.alias("_shift"))
-    # the window and the join share one shuffle by the cell
-    inside = Window.partitionBy("_cell").orderBy(*tie)
-    return (
-        df.withColumn("_cell", _cell([*key, day]))
-        .withColumn("_inside", F.row_number().over(inside))
-        .join(shift, "_cell")
-        .withColumn(name, F.col("_inside") + F.col("_shift"))
-        .drop("_inside", "_shift", "_cell")
-    )
+    out = numbered(df, [F.col(day), *[F.col(c) for c in tie]], key)
+    return out.withColumnRenamed("_rn", name).drop("_size")
 
 
 def exact_quantiles(
@@ -193,7 +176,7 @@ def exact_quantiles(
     """
     present = df.filter(F.col(value).isNotNull())
     hist = present.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_n"))
-    rows = _ranges(hist, [*[F.col(c) for c in group], F.col(value)])
+    rows = in_ranges(hist, [*[F.col(c) for c in group], F.col(value)])
 
     parts = _per_range(rows, group, F.col("_n"))
 
@@ -206,11 +189,11 @@ def exact_quantiles(
     wanted = F.lit(False)
     for q in at.values():
         wanted = wanted | holds(F.floor(position(q)), "_rows") | holds(F.ceil(position(q)), "_rows")
-    keys = [*group, _BUCKET]
-    target = parts.filter(wanted).select(_cell(keys).alias("_cell"), "_before", "_size")
+    keys = [*group, RANGE]
+    target = parts.filter(wanted).select(cell_of(keys).alias("_cell"), "_before", "_size")
     inside = Window.partitionBy("_cell").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     placed = (
-        rows.withColumn("_cell", _cell(keys))
+        rows.withColumn("_cell", cell_of(keys))
         .join(target if group else F.broadcast(target), "_cell")
         .withColumn("_before", F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
     )

@@ -129,7 +129,7 @@ def split_changes(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return valid, restored
 
 
-def customer_history(changes: DataFrame, **options) -> DataFrame:
+def customer_history(changes: DataFrame) -> DataFrame:
     return scd2(
         changes,
         keys=["customer_id"],
@@ -137,7 +137,6 @@ def customer_history(changes: DataFrame, **options) -> DataFrame:
         track=["city", "subscription_type"],
         delete_when=F.col("operation") == "DELETE",
         exclude=BOOKKEEPING,
-        **options,
     )
 
 
@@ -145,13 +144,17 @@ def customer_history(changes: DataFrame, **options) -> DataFrame:
 
 
 def call_level(silver: DataFrame) -> DataFrame:
-    """Mean score and label per call, at the grain (call, customer, duration, time)."""
+    """Mean score and label per call, at the grain (call, customer, duration, time).
+
+    The label follows the mean as it is; only the score that is shown is rounded.
+    """
     score = F.col("sentiment_score").cast("decimal(10,4)")
     mean = F.sum(score).cast("double") / F.count("sentiment_score")
     return (
         silver.groupBy("call_id", "customer_id", "duration_sec", F.to_date("event_ts").alias("date"), "event_ts")
-        .agg(F.round(mean, 6).alias("call_sentiment_score"))
-        .withColumn("call_label", label(F.col("call_sentiment_score")))
+        .agg(mean.alias("_mean"))
+        .select("*", F.round("_mean", 6).alias("call_sentiment_score"), label(F.col("_mean")).alias("call_label"))
+        .drop("_mean")
     )
 
 
@@ -198,7 +201,9 @@ def call_volume_daily(silver: DataFrame) -> DataFrame:
 def high_risk_customers(
     calls: DataFrame, customers: DataFrame, threshold: int = 3, days: int = 7, as_of: Column | None = None
 ) -> DataFrame:
-    """Customers with at least `threshold` negative calls in the `days` before as_of (default: last call).
+    """Customers with at least `threshold` negative calls in the `days` up to as_of (default: last call).
+
+    Without as_of the calls are read twice, so they should be a stored table.
 
     Calls are reduced to one row per customer before the customer table is joined.
     """
@@ -207,7 +212,9 @@ def high_risk_customers(
         timed = calls.crossJoin(F.broadcast(latest))
     else:
         timed = calls.withColumn("_as_of", as_of)
-    recent = timed.filter(F.col("event_ts") >= F.col("_as_of") - F.make_dt_interval(days=F.lit(days)))
+    recent = timed.filter(
+        (F.col("event_ts") >= F.col("_as_of") - F.make_dt_interval(days=F.lit(days))) & (F.col("event_ts") <= F.col("_as_of"))
+    )
     negative = F.col("call_label") == "negative"
     risky = (
         recent.groupBy("customer_id")

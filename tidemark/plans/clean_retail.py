@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import try_number
+from tidemark.functions.numbers import try_number, whole_or
 from tidemark.functions.text import EMAIL, is_blank, mapped, parsed_date, repaired_email, strip, title_case
 from tidemark.operators.cleaning import dedup_first, drop_missing_key, fill_group_median, repair_negative
 from tidemark.operators.joins import known_only, orphans
@@ -55,7 +55,7 @@ def clean_products(raw: DataFrame) -> DataFrame:
     """The median that fills a gap is taken over the prices as delivered, negative ones included."""
     typed = raw.withColumn("unit_price", try_number(F.col("unit_price")))
     filled = fill_group_median(typed, "unit_price", "category")
-    active = F.coalesce(try_number(F.col("active"), "int"), F.lit(1))
+    active = whole_or(F.col("active"), 1)
     return filled.select(
         "product_id", "product_name", "category", repair_negative("unit_price").alias("unit_price"), active.alias("active")
     )
@@ -73,13 +73,13 @@ def clean_orders(raw: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def clean_items(raw: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
-    """The price of an item is the cleaned catalogue price."""
+    """The price of an item is the cleaned catalogue price; its quantity stays the number it is."""
     quantity = try_number(F.col("quantity"))
     usable = raw.withColumn("quantity", quantity).filter(F.col("quantity") > 0)
     kept = known_only(usable, "order_id", orders)
     prices = products.select("product_id", F.col("unit_price").alias("unit_price_at_purchase"))
     return kept.drop("unit_price_at_purchase").join(prices, "product_id").select(
-        "order_item_id", "order_id", "product_id", F.col("quantity").cast("int").alias("quantity"), "unit_price_at_purchase"
+        "order_item_id", "order_id", "product_id", "quantity", "unit_price_at_purchase"
     )
 
 

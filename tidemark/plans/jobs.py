@@ -5,10 +5,13 @@ What several results need is written once and read back, so no step is computed
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.operators.history import current
+from tidemark.operators.quality import warn
 from tidemark.plans import calls as P
 from tidemark.plans import clean_retail as C
 from tidemark.plans import retail as R
@@ -16,11 +19,33 @@ from tidemark.plans import workforce as W
 from tidemark.sinks.files import export_reports, snapshot, write_partitioned, write_single_csv
 from tidemark.sources.files import read_parquet
 
+ORIGIN = ("source_file", "ingestion_timestamp")
+
+
+def told_origin(rows: DataFrame) -> DataFrame:
+    """Rows with both lineage columns: from their files, else the time alone."""
+    if set(ORIGIN) <= set(rows.columns):
+        return rows
+    return rows.withColumns({"source_file": F.lit(None).cast("string"), "ingestion_timestamp": F.current_timestamp()})
+
 
 def calls_job(calls: DataFrame, changes: DataFrame, out: str) -> dict[str, DataFrame]:
-    """Raw calls and customer changes to scored segments, history, rejects and the KPI tables."""
+    """Raw calls and customer changes to stored raw tables, scored segments, history, rejects and the KPI tables.
+
+    The raw tables keep every row, with the file it came from and when it was read where the source has files, and the
+    number of rows that break each expectation, counted while they are written.
+    """
+    told = {"bronze_calls": (calls, P.bronze_call_rules()), "bronze_changes": (changes, P.bronze_change_rules())}
+    tables, counts = {}, []
+    for name, (rows, rules) in told.items():
+        seen = Observation(f"{name}-{uuid.uuid4().hex}")
+        tables[name] = snapshot(warn(told_origin(rows), rules, seen), f"{out}/{name}")
+        counts += [(name, rule, n) for rule, n in seen.get.items()]
+    warnings = calls.sparkSession.createDataFrame(counts, "table_name string, rule string, failed long")
+    tables["bronze_warnings"] = snapshot(warnings, f"{out}/bronze_warnings")
+    calls, changes = (tables[name].drop(*ORIGIN) for name in told)
     valid, rejects = P.split_changes(changes)
-    tables = {
+    tables |= {
         "silver_calls": snapshot(P.silver_calls(calls), f"{out}/silver_calls"),
         "customer_rejects": snapshot(rejects, f"{out}/customer_rejects"),
         "customer_history": snapshot(P.customer_history(valid), f"{out}/customer_history"),
@@ -54,9 +79,13 @@ def retail_job(raw: C.Retail, out: str) -> dict[str, str]:
     loaded = load_retail(raw, out)
     C.assert_clean(loaded)
     snapshot(C.cleaning_log(raw, loaded), f"{out}/cleaning_log")
-    priced = loaded.items.withColumn("unit_price_at_purchase", F.col("unit_price_at_purchase").cast("decimal(18,2)"))
+    # exact sums: prices have cents, quantities three places at most in the reports
+    priced = loaded.items.withColumns({
+        "unit_price_at_purchase": F.col("unit_price_at_purchase").cast("decimal(18,2)"),
+        "quantity": F.col("quantity").try_cast("decimal(18,3)"),
+    })
     tables = {"customers": loaded.customers, "products": loaded.products, "orders": loaded.orders, "items": priced}
-    return export_reports({name: report(tables) for name, report in R.REPORTS.items()}, f"{out}/reports")
+    return export_reports({name: report(tables) for name, report in R.REPORTS.items()}, f"{out}/reports", R.REPORT_ORDER)
 
 
 def workforce_job(employees: DataFrame, as_of: str, out: str) -> DataFrame:

@@ -156,6 +156,7 @@ def segment_summary(segments: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("customers"),
             to_double(F.sum(amount)).alias("total_spend"),
+            F.round(F.sum(amount).cast("double") / F.count(F.lit(1)), 2).alias("avg_spend"),
         )
     )
 
@@ -202,21 +203,19 @@ def customer_value(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def lifetime_value(customers: DataFrame, orders: DataFrame, items: DataFrame, limit: int = 20) -> DataFrame:
-    """The customers with the highest spend, densely ranked.
+    """The known customers with the highest spend, densely ranked.
 
-    The first `limit` rows hold every value that can rank among them, so the rank is taken on the cut list.
+    The first `limit` rows hold every value that can rank among them, so the rank is taken on the cut list. Customers
+    meet their totals, one row each, before the cut: a spender who is not in the table takes no place.
     """
-    top = customer_value(orders, items).orderBy(F.col("amount").desc(), "customer_id").limit(limit)
-    return (
-        top.withColumn("value_rank", F.dense_rank().over(Window.orderBy(F.col("amount").desc())))
-        .join(customers.select("customer_id", "first_name", "last_name"), "customer_id")
-        .select(
-            "customer_id",
-            F.concat("first_name", F.lit(" "), "last_name").alias("customer_name"),
-            "total_orders",
-            to_double(F.col("amount")).alias("lifetime_value"),
-            "value_rank",
-        )
+    known = customer_value(orders, items).join(customers.select("customer_id", "first_name", "last_name"), "customer_id")
+    top = known.orderBy(F.col("amount").desc(), "customer_id").limit(limit)
+    return top.withColumn("value_rank", F.dense_rank().over(Window.orderBy(F.col("amount").desc()))).select(
+        "customer_id",
+        F.concat("first_name", F.lit(" "), "last_name").alias("customer_name"),
+        "total_orders",
+        to_double(F.col("amount")).alias("lifetime_value"),
+        "value_rank",
     )
 
 
@@ -267,3 +266,12 @@ REPORTS = {
     "cohort-retention": lambda t: cohort_retention(t["customers"], t["orders"]),
     "segments": lambda t: segment_summary(rfm_segments(t["orders"], t["items"])),
 }
+
+# How the exported files are sorted; each report is small, as its groups are.
+REPORT_ORDER = {
+    "revenue-by-category": ["-revenue", "category"],
+    "monthly-trend": ["order_month"],
+    "top-customers": ["-lifetime_value", "customer_id"],
+    "cohort-retention": ["cohort_month", "month_number"],
+    "segments": ["-total_spend", "segment"],
+}

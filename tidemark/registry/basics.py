@@ -231,50 +231,53 @@ def jn_2(spark, sf):
     return rows.withColumns(dbl("unit_price_at_purchase", "discount_pct"))
 
 
-ORD_PART = "ord_late AS (SELECT * FROM ord WHERE order_date >= DATE '2001-07-01')"
+# Gaps on both sides follow from the rows' own attributes: some orders have no customer, some customers no order.
+ORD_GAPS = """ord_gaps AS (SELECT order_id, order_date, status, CASE WHEN total_amount >= 2000 AND customer_id % 5 > 0
+                                         THEN customer_id END AS customer_id FROM ord)"""
 
 
-def late_orders(spark, sf):
-    return A.orders(spark, sf).filter(F.col("order_date") >= F.lit("2001-07-01").cast("date"))
+def orders_with_gaps(spark, sf):
+    known = (F.col("total_amount") >= 2000) & (F.col("customer_id") % 5 > 0)
+    return A.orders(spark, sf).withColumn("customer_id", F.when(known, F.col("customer_id")))
 
 
 @query(
     "jn_3_left_outer",
-    sql("ord cust", f"""WITH {ORD_PART}
+    sql("ord cust", f"""WITH {ORD_GAPS}
         SELECT c.customer_id, first_name, last_name, order_id, order_date, status
-        FROM cust c LEFT JOIN ord_late o ON o.customer_id = c.customer_id"""),
+        FROM cust c LEFT JOIN ord_gaps o ON o.customer_id = c.customer_id"""),
 )
 def jn_3(spark, sf):
-    return shop.customers_with_orders(A.customers(spark, sf, with_place=False), late_orders(spark, sf))
+    return shop.customers_with_orders(A.customers(spark, sf, with_place=False), orders_with_gaps(spark, sf))
 
 
 @query(
     "jn_4_right_outer",
     sql("items prod", """
         SELECT p.product_id, product_name, order_id, line_number
-        FROM (SELECT * FROM items WHERE quantity = 50 AND discount_pct = 0) i
-             RIGHT JOIN prod p ON p.product_id = i.product_id"""),
+        FROM items i RIGHT JOIN prod p ON p.product_id = i.product_id AND p.category <> 'PROMO'"""),
 )
 def jn_4_right(spark, sf):
-    bulk = A.order_items(spark, sf).filter((F.col("quantity") == 50) & (F.col("discount_pct") == 0))
-    return joins.one_to_many_left(
-        A.products(spark, sf).select("product_id", "product_name"),
-        bulk.select("product_id", "order_id", "line_number"),
+    # products of one category are not sold here: their key is kept aside
+    sold = A.products(spark, sf).withColumn("sold", F.when(F.col("category") != "PROMO", F.col("product_id")))
+    rows = joins.one_to_many_left(
+        sold.select(F.col("product_id").alias("id"), "product_name", F.col("sold").alias("product_id")),
+        A.order_items(spark, sf).select("product_id", "order_id", "line_number"),
         "product_id",
     )
+    return rows.select(F.col("id").alias("product_id"), "product_name", "order_id", "line_number")
 
 
 @query(
     "jn_4_full_outer",
-    sql("ord cust", f"""WITH {ORD_PART}, c AS (SELECT * FROM cust WHERE segment <> 'MACHINERY')
+    sql("ord cust", f"""WITH {ORD_GAPS}
         SELECT coalesce(c.customer_id, o.customer_id) AS customer_id, first_name, order_id, status
-        FROM c FULL OUTER JOIN ord_late o ON o.customer_id = c.customer_id"""),
+        FROM cust c FULL OUTER JOIN ord_gaps o ON o.customer_id = c.customer_id"""),
 )
 def jn_4_full(spark, sf):
-    who = A.customers(spark, sf, with_place=False).filter(F.col("segment") != "MACHINERY")
     return joins.full_outer(
-        who.select("customer_id", "first_name"),
-        late_orders(spark, sf).select("customer_id", "order_id", "status"),
+        A.customers(spark, sf, with_place=False).select("customer_id", "first_name"),
+        orders_with_gaps(spark, sf).select("customer_id", "order_id", "status"),
         "customer_id",
     )
 
@@ -306,11 +309,12 @@ def jn_6(spark, sf):
     "jn_7_price_lookup",
     sql("items prod", """
         SELECT order_id, line_number, i.product_id, CAST(unit_price AS DOUBLE) AS catalogue_price
-        FROM items i LEFT JOIN (SELECT * FROM prod WHERE category <> 'PROMO') p ON p.product_id = i.product_id"""),
+        FROM items i LEFT JOIN prod p ON p.product_id = i.product_id AND i.quantity > 1"""),
 )
 def jn_7(spark, sf):
-    prices = A.products(spark, sf).filter(F.col("category") != "PROMO").select("product_id", "unit_price")
-    rows = A.order_items(spark, sf).join(prices, "product_id", "left")
+    prices = A.products(spark, sf).select(F.col("product_id").alias("priced"), "unit_price")
+    known = (F.col("product_id") == F.col("priced")) & (F.col("quantity") > 1)
+    rows = A.order_items(spark, sf).join(prices, known, "left")
     return rows.select(
         "order_id", "line_number", "product_id", F.col("unit_price").cast("double").alias("catalogue_price")
     )
@@ -562,13 +566,14 @@ PROFILE = " UNION ALL ".join(
                {f"quantile_cont({c}::DOUBLE, 0.75)" if n else "CAST(NULL AS DOUBLE)"} AS q75,
                {f"CAST(max({c}) AS DOUBLE)" if n else "CAST(NULL AS DOUBLE)"} AS max FROM {t}"""
     for t in ("part",)
-    for c, n in (("p_brand", False), ("p_type", False), ("p_size", True))
+    for c, n in (("p_partkey", True), ("p_name", False), ("p_brand", False), ("p_type", False), ("p_size", True),
+                 ("p_retailprice", True))
 )
 
 
 @query("agg_22_profile", PROFILE)
 def agg_22(spark, sf):
-    return agg.profile(A.table(spark, sf, "part").select("p_brand", "p_type", "p_size"))
+    return agg.profile(A.table(spark, sf, "part"))
 
 
 # ---- windows, sorting, sets

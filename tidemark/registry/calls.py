@@ -66,9 +66,9 @@ CTES = {
                 WHERE has_segments = 1
                 UNION ALL SELECT *, 'customer', said, CAST(4.5 AS DOUBLE) FROM timed_calls WHERE has_segments = 1)))""",
     "call_level": f"""
-        SELECT *, {label_sql('call_sentiment_score')} AS call_label FROM (
+        SELECT * EXCLUDE (mean), round(mean, 6) AS call_sentiment_score, {label_sql('mean')} AS call_label FROM (
             SELECT call_id, customer_id, duration_sec, CAST(event_ts AS DATE) AS date, event_ts,
-                   round(CAST(sum(CAST(sentiment_score AS DECIMAL(10,4))) AS DOUBLE) / count(*), 6) AS call_sentiment_score
+                   CAST(sum(CAST(sentiment_score AS DECIMAL(10,4))) AS DOUBLE) / count(*) AS mean
             FROM silver GROUP BY ALL)""",
     "changes": f"""
         SELECT CASE WHEN k = 99 THEN NULL WHEN k = 98 THEN 'x' || user_id ELSE CAST(user_id AS VARCHAR) END AS customer_id,
@@ -144,9 +144,9 @@ def level(spark, sf):
     return P.call_level(silver(spark, sf))
 
 
-def history(spark, sf, **options):
+def history(spark, sf):
     valid, _ = P.split_changes(A.customer_changes(spark, sf))
-    return P.customer_history(valid, **options)
+    return P.customer_history(valid)
 
 
 def enriched(spark, sf):
@@ -163,15 +163,6 @@ def sen_1(spark, sf):
     return silver(spark, sf).select("call_id", "event_ts", "speaker", "text", "sentiment_score")
 
 
-@query(
-    "sen_1_score_conversations",
-    f"""SELECT conv_id, turn, {score_sql('tok')} AS sentiment_score
-        FROM (SELECT *, {TOKENS.format('text')} AS tok FROM conversations)""",
-)
-def sen_1_conversations(spark, sf):
-    return S.score_segments(A.table(spark, sf, "conversations")).select("conv_id", "turn", "sentiment_score")
-
-
 @query(
     "sen_2_labels",
     sql(SILVER, "SELECT sentiment_label, speaker, count(*) AS n FROM silver GROUP BY 1, 2"),
@@ -205,6 +196,15 @@ def sen_4(spark, sf):
     return rows.select("doc_id", "sentiment_score", "sentiment_label")
 
 
+@query(
+    "sen_1_score_conversations",
+    f"""SELECT conv_id, turn, {score_sql('tok', CORPUS)} AS sentiment_score
+        FROM (SELECT *, {TOKENS.format('text')} AS tok FROM conversations)""",
+)
+def sen_1_conversations(spark, sf):
+    return S.score_segments(A.table(spark, sf, "conversations"), "text", CORPUS).select("conv_id", "turn", "sentiment_score")
+
+
 # ---- customer history
 
 
@@ -240,7 +240,7 @@ def cdc_2(spark, sf):
 
 @query("cdc_2_scd2_history_busy_keys", sql(HISTORY, "SELECT * FROM history"))
 def cdc_2_busy(spark, sf):
-    return history(spark, sf, busy_rows=60)
+    return history(spark, sf)
 
 
 @query("cdc_3_current_snapshot", sql(HISTORY, "SELECT * EXCLUDE (__end_at) FROM history WHERE __end_at IS NULL"))
@@ -261,9 +261,9 @@ def cdc_4(spark, sf):
 POINT = sql(THEN, "SELECT call_id, customer_id, event_ts, city, subscription_type, age FROM then_enriched")
 
 
-def then_enriched(spark, sf, **options):
+def then_enriched(spark, sf):
     versions = freeze(history(spark, sf)).drop("signup_date")
-    return joins.point_in_time(level(spark, sf), versions, "customer_id", "event_ts", **options)
+    return joins.point_in_time(level(spark, sf), versions, "customer_id", "event_ts")
 
 
 @query("jn_10_point_in_time", POINT)
@@ -273,8 +273,7 @@ def jn_10(spark, sf):
 
 @query("jn_10_point_in_time_many_versions", POINT)
 def jn_10_many(spark, sf):
-    rows = then_enriched(spark, sf, many_versions=10)
-    return rows.select("call_id", "customer_id", "event_ts", "city", "subscription_type", "age")
+    return then_enriched(spark, sf).select("call_id", "customer_id", "event_ts", "city", "subscription_type", "age")
 
 
 @query("cdc_5_point_in_time_enrichment", POINT)
@@ -413,7 +412,7 @@ def kpi_2(spark, sf):
         GROUP BY 1, 2, 3, 4 HAVING count(*) FILTER (call_label = 'negative') >= 3"""),
 )
 def kpi_3(spark, sf):
-    return P.high_risk_customers(level(spark, sf), H.current(history(spark, sf)))
+    return P.high_risk_customers(freeze(level(spark, sf)), H.current(history(spark, sf)))
 
 
 @query("kpi_4_region_sentiment", sql(NOW, sentiment_by_sql("city, date", "enriched")))

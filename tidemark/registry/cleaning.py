@@ -3,7 +3,7 @@
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import try_number
+from tidemark.functions.numbers import try_number, whole_or
 from tidemark.functions.text import mapped, parsed_date, repaired_email, strip, title_case
 from tidemark.operators import cleaning as C
 from tidemark.operators import quality as Q
@@ -39,7 +39,7 @@ LATER = D.LATER
 CTES = {
     **CLEAN_CTES,
     "raw_customers_rows": """
-        SELECT CASE WHEN c_acctbal < -900 THEN '' ELSE 'C' || c_custkey END AS customer_id,
+        SELECT CASE WHEN c_acctbal < -900 THEN '' WHEN c_acctbal < -850 THEN chr(9) ELSE 'C' || c_custkey END AS customer_id,
                CASE WHEN c_mktsegment = 'MACHINERY' THEN ' o''brien mary-jane' ELSE '  cUSTOMER ' END AS first_name,
                'no' || split_part(c_name, '#', 2) AS last_name,
                CASE c_mktsegment WHEN 'HOUSEHOLD' THEN '  CUSTOMER.' || split_part(c_name, '#', 2) || '@EXAMPLE.COM '
@@ -62,7 +62,7 @@ CTES = {
                CASE p_size WHEN 1 THEN '' WHEN 2 THEN 'abc'
                     WHEN 3 THEN '-' || CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR)
                     ELSE CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR) END AS unit_price,
-               CASE p_size WHEN 4 THEN '' WHEN 5 THEN 'yes' WHEN 6 THEN '0' ELSE '1' END AS active
+               CASE p_size WHEN 4 THEN '' WHEN 5 THEN 'yes' WHEN 6 THEN '0' WHEN 7 THEN '0.0' WHEN 8 THEN '1e12' ELSE '1' END AS active
         FROM part""",
     "raw_orders_rows": """
         SELECT 'O' || o_orderkey AS order_id,
@@ -85,11 +85,12 @@ CTES = {
                CASE WHEN l_tax > 0.07::DOUBLE AND l_quantity < 5 THEN 'O-unknown' ELSE 'O' || l_orderkey END AS order_id,
                CASE WHEN l_discount > 0.09::DOUBLE AND l_quantity > 45 THEN 'P-unknown' ELSE 'P' || l_partkey END
                    AS product_id,
-               CASE l_quantity WHEN 1 THEN '-1' WHEN 2 THEN 'abc' WHEN 3 THEN '0'
+               CASE l_quantity WHEN 1 THEN '-1' WHEN 2 THEN 'abc' WHEN 3 THEN '0' WHEN 4 THEN '0.5' WHEN 5 THEN '12d'
+                    WHEN 6 THEN '1e12'
                     ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS quantity
         FROM lineitem""",
-    "first_customers": """
-        SELECT * FROM raw_customers WHERE trim(coalesce(customer_id, '')) <> ''
+    "first_customers": f"""
+        SELECT * FROM raw_customers WHERE {strip_sql("coalesce(customer_id, '')")} <> ''
         QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY _seq) = 1""",
     "c_customers": f"""
         SELECT customer_id, {title_sql(strip_sql('first_name'))} AS first_name,
@@ -101,7 +102,7 @@ CTES = {
     "typed_products": "SELECT * REPLACE (TRY_CAST(trim(unit_price) AS DOUBLE) AS unit_price) FROM raw_products",
     "c_products": """
         SELECT product_id, product_name, p.category, round(abs(coalesce(unit_price, m)), 2) AS unit_price,
-               coalesce(TRY_CAST(trim(active) AS INTEGER), 1) AS active
+               coalesce(TRY_CAST(trunc(TRY_CAST(trim(active) AS DOUBLE)) AS INTEGER), 1) AS active
         FROM typed_products p JOIN (SELECT category, median(unit_price) AS m FROM typed_products GROUP BY 1) g
              ON g.category = p.category""",
     "first_orders": """
@@ -113,7 +114,7 @@ CTES = {
         FROM first_orders WHERE customer_id IN (SELECT customer_id FROM c_customers)
              AND {date_sql('order_date')} IS NOT NULL""",
     "c_items": """
-        SELECT order_item_id, i.order_id, i.product_id, CAST(TRY_CAST(quantity AS DOUBLE) AS INTEGER) AS quantity,
+        SELECT order_item_id, i.order_id, i.product_id, TRY_CAST(quantity AS DOUBLE) AS quantity,
                unit_price AS unit_price_at_purchase
         FROM raw_items i JOIN c_products p ON p.product_id = i.product_id
         WHERE i.order_id IN (SELECT order_id FROM c_orders) AND TRY_CAST(quantity AS DOUBLE) > 0""",
@@ -295,9 +296,9 @@ def dq_10(spark, sf):
     "dq_11_cleaning_log",
     sql(ALL, f"""
         SELECT 'customers' AS table_name, 'missing_customer_id' AS rule, count(*) AS n_rows FROM raw_customers
-               WHERE trim(coalesce(customer_id, '')) = ''
+               WHERE {strip_sql("coalesce(customer_id, '')")} = ''
         UNION ALL SELECT 'customers', 'duplicate_customer_id', count(*) - count(DISTINCT customer_id) FROM raw_customers
-                  WHERE trim(coalesce(customer_id, '')) <> ''
+                  WHERE {strip_sql("coalesce(customer_id, '')")} <> ''
         UNION ALL SELECT 'customers', 'malformed_email', count(*) FROM first_customers
                   WHERE {email_sql('email')} IS NULL AND {strip_sql("coalesce(email, '')")} <> ''
         UNION ALL SELECT 'customers', 'unparsable_signup_date', count(*) FROM first_customers
@@ -338,7 +339,7 @@ def dq_12(spark, sf):
 
 @query(
     "cln_1_drop_missing_key",
-    sql(CUSTOMERS, "SELECT customer_id, _seq FROM raw_customers WHERE trim(coalesce(customer_id, '')) <> ''"),
+    sql(CUSTOMERS, f"SELECT customer_id, _seq FROM raw_customers WHERE {strip_sql('customer_id')} <> ''"),
 )
 def cln_1(spark, sf):
     return C.drop_missing_key(D.raw_customers(spark, sf), "customer_id").select("customer_id", "_seq")
@@ -554,11 +555,11 @@ def cln_18_sample(spark, sf):
 
 @query(
     "cln_19_coerce_with_fallback",
-    sql(PRODUCTS, "SELECT product_id, coalesce(TRY_CAST(active AS INTEGER), 1) AS active FROM raw_products"),
+    sql(PRODUCTS, "SELECT product_id, coalesce(TRY_CAST(trunc(TRY_CAST(active AS DOUBLE)) AS INTEGER), 1) AS active FROM raw_products"),
 )
 def cln_19(spark, sf):
     return D.raw_products(spark, sf).select(
-        "product_id", F.coalesce(try_number(F.col("active"), "int"), F.lit(1)).alias("active")
+        "product_id", whole_or(F.col("active"), 1).alias("active")
     )
 
 

@@ -3,12 +3,15 @@
 The files these queries read are written by Spark from the given tables, into the shared folder.
 """
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.plans import calls as P
 from tidemark.plans import retail as R
 from tidemark.registry import calls as RC
-from tidemark.registry.base import query
+from tidemark.registry.base import ORACLES, query
 from tidemark.registry.tables import sql
 from tidemark.schemas import CALLS, EMPLOYEES
 from tidemark.session import scratch_path
@@ -183,23 +186,50 @@ def snk_2(spark, sf):
     return S.read_csv(spark, path, summary.schema)
 
 
-@query(
-    "snk_3_report_export",
-    sql("ord items", """
-        SELECT strftime(order_date, '%Y-%m') AS order_month,
-               CAST(round(sum(quantity * unit_price_at_purchase), 2) AS DOUBLE) AS revenue
-        FROM ord o JOIN items i ON i.order_id = o.order_id WHERE status NOT IN ('Cancelled', 'Returned') GROUP BY 1"""),
-)
+# The label and the measure of each exported report, and the label's and the measure's SQL.
+EXPORTED = {
+    "revenue-by-category": (["category"], "revenue"),
+    "monthly-trend": (["order_month"], "revenue"),
+    "top-customers": (["customer_name"], "lifetime_value"),
+    "cohort-retention": (["cohort_month", "month_number"], "retention_pct"),
+    "segments": (["segment"], "avg_spend"),
+}
+
+
+def exported_sql():
+    """The lines of all report files: where they stand, what they are about and one measure."""
+    queries = {
+        "revenue-by-category": ("rpt_1_revenue_by_category", "revenue DESC, category"),
+        "monthly-trend": ("rpt_2_monthly_trend", "order_month"),
+        "top-customers": ("rpt_8_lifetime_value", "lifetime_value DESC, customer_id"),
+        "cohort-retention": ("rpt_7_cohort_retention", "cohort_month, month_number"),
+        "segments": ("rpt_6_segment_summary", "total_spend DESC, segment"),
+    }
+    return " UNION ALL ".join(
+        f"""SELECT '{report}' AS report, row_number() OVER (ORDER BY {order}) AS line,
+                   concat_ws('/', {', '.join(f'CAST({c} AS VARCHAR)' for c in EXPORTED[report][0])}) AS label,
+                   {EXPORTED[report][1]} AS measure FROM ({ORACLES[name]})"""
+        for report, (name, order) in queries.items()
+    )
+
+
+@query("snk_3_report_export", exported_sql())
 def snk_3(spark, sf):
+    """Every report is one small file, so the number of a line is its place in the only task that reads it."""
     tables = {
         "orders": A.orders(spark, sf), "items": A.order_items(spark, sf), "products": A.products(spark, sf),
         "customers": A.customers(spark, sf, with_place=False),
     }
-    wanted = ("revenue-by-category", "monthly-trend", "top-customers")
-    reports = {name: R.REPORTS[name](tables) for name in wanted}
-    paths = K.export_reports(reports, scratch_path(spark, "reports"))
-    months = S.read_csv(spark, paths["monthly-trend"], reports["monthly-trend"].schema)
-    return months.select("order_month", "revenue")
+    reports = {name: report(tables) for name, report in R.REPORTS.items()}
+    paths = K.export_reports(reports, scratch_path(spark, "reports"), R.REPORT_ORDER)
+    parts = []
+    for name, (label, measure) in EXPORTED.items():
+        rows = S.read_csv(spark, paths[name], reports[name].schema)
+        parts.append(rows.select(
+            F.lit(name).alias("report"), (F.monotonically_increasing_id() + 1).alias("line"),
+            F.concat_ws("/", *[F.col(c).cast("string") for c in label]).alias("label"), F.col(measure).alias("measure"),
+        ))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("snk_4_streaming_append", RC.sql(RC.SILVER, "SELECT * FROM silver"))

@@ -179,13 +179,14 @@ def fn_17(spark, sf):
 
 @query(
     "fn_18_tokens",
-    f"SELECT doc_id, len({RC.TOKENS.format('text')}) AS n_tokens, {RC.TOKENS.format('text')}[1] AS first_token FROM documents",
+    f"""SELECT doc_id, len({RC.TOKENS.format('text')}) AS n_tokens, array_to_string({RC.TOKENS.format('text')}, ' ') AS tokens
+        FROM documents""",
 )
 def fn_18(spark, sf):
     from tidemark.functions.sentiment import tokens
 
     words = A.table(spark, sf, "documents").select("doc_id", tokens(F.col("text")).alias("t"))
-    return words.select("doc_id", F.size("t").cast("long").alias("n_tokens"), F.get("t", F.lit(0)).alias("first_token"))
+    return words.select("doc_id", F.size("t").cast("long").alias("n_tokens"), F.array_join("t", " ").alias("tokens"))
 
 
 @query("fn_19_struct_fields", RC.sql("call_rows call_events", "SELECT call_id, channel, region FROM call_events"))
@@ -219,10 +220,29 @@ def job_calls(spark, sf):
     return tables["sentiment_daily"]
 
 
+@query(
+    "dq_6_warn_counts_from_calls_job",
+    RC.sql("call_rows call_events changes", """
+        SELECT 'bronze_calls' AS table_name, rule, failed FROM (
+            SELECT 'valid_call_id' AS rule, count(*) - count(call_id) AS failed FROM call_events
+            UNION ALL SELECT 'valid_customer_id', count(*) - count(customer_id) FROM call_events
+            UNION ALL SELECT 'valid_epoch', count(*) - count(epoch_timestamp) FROM call_events
+            UNION ALL SELECT 'non_negative_duration', count(*) FILTER (duration_sec < 0) FROM call_events)
+        UNION ALL SELECT 'bronze_changes', rule, failed FROM (
+            SELECT 'valid_customer_id' AS rule, count(*) - count(customer_id) AS failed FROM changes
+            UNION ALL SELECT 'valid_operation', count(*) - count(*) FILTER (operation IN ('INSERT', 'UPDATE', 'DELETE')) FROM changes
+            UNION ALL SELECT 'valid_update_ts', count(*) - count(update_ts) FROM changes)"""),
+)
+def job_calls_warnings(spark, sf):
+    tables = jobs.calls_job(A.calls(spark, sf), A.customer_changes(spark, sf), scratch_path(spark, "calls-job"))
+    return tables["bronze_warnings"]
+
+
 @query(
     "rpt_1_from_cleaning_job",
     RK.sql(RK.ALL, """
-        SELECT category, CAST(round(sum(quantity * CAST(unit_price_at_purchase AS DECIMAL(18,2))), 2) AS DOUBLE) AS revenue
+        SELECT category, CAST(round(sum(CAST(quantity AS DECIMAL(20,3)) * CAST(unit_price_at_purchase AS DECIMAL(18,2))), 2) AS DOUBLE)
+               AS revenue
         FROM c_items i JOIN c_orders o ON o.order_id = i.order_id JOIN c_products p ON p.product_id = i.product_id
         WHERE status NOT IN ('Cancelled', 'Returned') GROUP BY 1"""),
 )

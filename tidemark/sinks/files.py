@@ -17,18 +17,27 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> None:
     gathered.write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
-def write_single_csv(df: DataFrame, path: str, max_rows: int = 1_000_000) -> None:
-    """One CSV file, for small summaries only: a larger result is refused, never cut."""
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"more than {max_rows} rows: write them as several files")
+def sorted_by(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Sorted by the named columns, those with a minus sign from the largest down."""
+    return df.orderBy(*[F.col(c[1:]).desc() if c.startswith("-") else F.col(c).asc() for c in order])
+
+
+def write_single_csv(df: DataFrame, path: str) -> None:
+    """One CSV file, for results that grouping or a limit keeps small; it is written by one task.
+
+    The work before the last shuffle stays spread. Large results are written with write_partitioned or as Parquet.
+    """
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def export_reports(reports: Mapping[str, DataFrame], out: str) -> dict[str, str]:
-    """One CSV folder per named report; gives the folder of each."""
+def export_reports(
+    reports: Mapping[str, DataFrame], out: str, order: Mapping[str, Sequence[str]] | None = None
+) -> dict[str, str]:
+    """One CSV file per named report in a folder of its own, sorted as order says; gives the folder of each."""
     paths = {name: f"{out.rstrip('/')}/{name}" for name in reports}
     for name, df in reports.items():
-        df.write.mode("overwrite").option("header", True).csv(paths[name])
+        by = (order or {}).get(name)
+        write_single_csv(sorted_by(df, by) if by else df, paths[name])
     return paths
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans.clean_retail import Retail
-from tidemark.sources.adapters import money, places, table
+from tidemark.sources.adapters import money, places, table, twice_where
 
 LATER = 1_000_000_000_000
 
@@ -30,7 +30,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(segment != "MACHINERY", F.concat(F.lit("customer."), number, F.lit("@example.com")))
     )
     rows = base.select(
-        F.when(balance < -900, "").otherwise(F.concat(F.lit("C"), _text(F.col("c_custkey")))).alias("customer_id"),
+        F.when(balance < -900, "").when(balance < -850, "\t").otherwise(F.concat(F.lit("C"), _text(F.col("c_custkey")))).alias("customer_id"),
         F.when(segment == "MACHINERY", " o'brien mary-jane").otherwise("  cUSTOMER ").alias("first_name"),
         F.concat(F.lit("no"), number).alias("last_name"),
         email.alias("email"),
@@ -43,10 +43,8 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").alias("_seq"),
         balance.alias("_balance"),
     )
-    copies = rows.filter(F.col("_balance") > 9500).withColumns(
-        {"_seq": F.col("_seq") + LATER, "city": F.lit("Elsewhere")}
-    )
-    return rows.unionByName(copies).drop("_balance")
+    later = {"_seq": F.col("_seq") + LATER, "city": F.lit("Elsewhere")}
+    return twice_where(rows, F.col("_balance") > 9500, later).drop("_balance")
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +55,8 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_type").alias("category"),
         F.when(size == 1, "").when(size == 2, "abc").when(size == 3, F.concat(F.lit("-"), price)).otherwise(price)
         .alias("unit_price"),
-        F.when(size == 4, "").when(size == 5, "yes").when(size == 6, "0").otherwise("1").alias("active"),
+        F.when(size == 4, "").when(size == 5, "yes").when(size == 6, "0").when(size == 7, "0.0")
+        .when(size == 8, "1e12").otherwise("1").alias("active"),
     )
 
 
@@ -77,10 +76,8 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("_seq"),
         total.alias("_total"),
     )
-    copies = rows.filter(F.col("_total") > 480000).withColumns(
-        {"_seq": F.col("_seq") + LATER, "status": F.lit("returned")}
-    )
-    return rows.unionByName(copies).drop("_total")
+    later = {"_seq": F.col("_seq") + LATER, "status": F.lit("returned")}
+    return twice_where(rows, F.col("_total") > 480000, later).drop("_total")
 
 
 def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +88,8 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("order_id"),
         F.when((F.col("l_discount") > 0.09) & (quantity > 45), "P-unknown").otherwise(F.concat(F.lit("P"), part))
         .alias("product_id"),
-        F.when(quantity == 1, "-1").when(quantity == 2, "abc").when(quantity == 3, "0")
+        F.when(quantity == 1, "-1").when(quantity == 2, "abc").when(quantity == 3, "0").when(quantity == 4, "0.5")
+        .when(quantity == 5, "12d").when(quantity == 6, "1e12")
         .otherwise(_text(quantity.cast("int"))).alias("quantity"),
         F.lit("").alias("unit_price_at_purchase"),
     )
