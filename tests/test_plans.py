@@ -91,3 +91,14 @@ def test_landing_files_lie_in_the_shared_folder(spark, sf):
     from tidemark.session import shared_dir
 
     assert RF.employee_csv(spark, sf).startswith(shared_dir(spark).rstrip("/"))
+
+
+def test_intermediates_can_be_deleted(spark):
+    from tidemark.session import freeze, release
+
+    stored = freeze(spark.range(5))
+    assert stored.count() == 5
+    path = stored.inputFiles()[0].removeprefix("file://")
+    import os
+
+    assert os.path.exists(path) and release(spark) >= 1 and not os.path.exists(path)

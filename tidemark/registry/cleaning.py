@@ -576,22 +576,21 @@ def cln_20(spark, sf):
 
 
 def batch(spark, sf):
-    orders = A.orders(spark, sf).filter(F.col("order_date") >= F.lit("2001-07-25").cast("date"))
-    items = A.order_items(spark, sf).join(orders.select("order_id"), "order_id", "left_semi")
-    stocked = A.products(spark, sf).withColumn("stock_qty", F.col("stock_qty") + 200)
-    return A.customers(spark, sf, with_place=False), stocked, orders, items
+    """All orders as one batch, and enough stock for it."""
+    stocked = A.products(spark, sf).withColumn("stock_qty", F.col("stock_qty") + ENOUGH)
+    return A.customers(spark, sf, with_place=False), stocked, A.orders(spark, sf), A.order_items(spark, sf)
 
 
+ENOUGH = 1_000_000
 BATCH = """
-    WITH b AS (SELECT product_id, sum(quantity) AS wanted FROM items WHERE order_id IN
-                      (SELECT order_id FROM ord WHERE order_date >= DATE '2001-07-25') GROUP BY 1),
+    WITH b AS (SELECT product_id, sum(quantity) AS wanted FROM items WHERE order_id IN (SELECT order_id FROM ord) GROUP BY 1),
          k AS (SELECT product_id, stock_qty + {extra} AS stock_qty FROM prod),
          x AS (SELECT count(*) AS failed FROM k JOIN b ON b.product_id = k.product_id WHERE stock_qty < wanted)"""
 
 
 @query(
     "ord_2_apply_batch",
-    sql("ord items prod", BATCH.format(extra=200) + """
+    sql("ord items prod", BATCH.format(extra=ENOUGH) + """
         SELECT k.product_id, CAST(CASE WHEN failed = 0 THEN stock_qty - coalesce(wanted, 0) ELSE stock_qty END AS BIGINT)
                AS stock_qty FROM k LEFT JOIN b ON b.product_id = k.product_id, x"""),
 )
@@ -605,5 +604,5 @@ def ord_2(spark, sf):
 )
 def ord_2_problems(spark, sf):
     customers, stocked, orders, items = batch(spark, sf)
-    short = stocked.withColumn("stock_qty", F.col("stock_qty") - 700)
+    short = stocked.withColumn("stock_qty", F.col("stock_qty") - ENOUGH - 500)
     return shop.batch_problems(customers, short, orders, items)

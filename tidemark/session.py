@@ -31,7 +31,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, **extra
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the one the cluster names in spark.checkpoint.dir.
 
-    Only a local master, where driver and executors are one process, gets a folder of its own.
+    Only where that is unset and the master is local, so that driver and executors are one process, as in tests, a
+    folder of its own is made.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -44,9 +45,23 @@ def shared_dir(spark: SparkSession) -> str:
     return named or sc.getCheckpointDir()
 
 
+_handed_out: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _handed_out.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete what scratch_path has handed out so far, once no result is read from it any more; gives the number."""
+    sc, n = spark.sparkContext, 0
+    while _handed_out:
+        path = sc._jvm.org.apache.hadoop.fs.Path(_handed_out.pop())
+        n += path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    return n
 
 
 def freeze(df: DataFrame) -> DataFrame:
@@ -54,7 +69,7 @@ def freeze(df: DataFrame) -> DataFrame:
 
     Used where later steps must see exactly the rows and partition numbers of the first evaluation, also
     after an executor is lost. Unlike checkpoint(), which evaluates its input twice, this takes one pass,
-    and later steps read only the columns they need.
+    and later steps read only the columns they need. release() deletes it.
     """
     path = scratch_path(df.sparkSession, "frozen")
     df.write.parquet(path)
