@@ -7,7 +7,7 @@ removed if its words also stand, one after another, in a document with a smaller
    phrase. Phrases that two documents pick are confirmed as recurring and read from the first of them. Exact copies of a
    document are known by a digest and stand back behind its smallest doc_id.
 2. Phrases are dealt into shards by their first document, and each shard's phrases are compiled into one Aho-Corasick
-   automaton over words. Every document that picked a phrase of the shard streams through it, which locates all their
+   automaton, in which a word is three signs: nodes then have few children, which pyahocorasick searches one by one. Every document that picked a phrase of the shard streams through it, which locates all their
    occurrences. A document visits the shards it shares phrases with, so work grows with the text and not with the number
    of shards times the text.
 3. Windows around located phrases are compared by their whole words (128 bits of hash): the smallest doc_id keeps its own.
@@ -24,11 +24,11 @@ from tidemark.llm.common import fresh, slices
 from tidemark.session import freeze
 
 SPAN = 50
-PHRASE = 8
-#: Phrases of an automaton, on average at most; and words that one task streams through it, about.
-PHRASES = 50_000
-WORDS = 1 << 20
-MEMORY = 400_000
+PHRASE = 16
+#: Phrases of an automaton, on average at most; and words of documents that one task streams through it, about.
+PHRASES = 20_000
+WORDS = 4 << 20
+MEMORY = 200_000
 LAST = np.uint64(2**64 - 1)
 
 
@@ -76,8 +76,18 @@ def digest_of(words: list[bytes]) -> bytes:
     return xxhash.xxh3_128_digest(b" ".join(words))
 
 
+def key_of(digest: bytes) -> int:
+    """The half of a digest that, beside a doc_id, tells texts apart."""
+    return int.from_bytes(digest[:8], "little", signed=True)
+
+
+def signs(place: int) -> str:
+    """A word's number as three signs of three alphabets, so that no phrase is found between two words."""
+    return chr(0x100 | place & 127) + chr(0x200 | place >> 7 & 127) + chr(0x300 | place >> 14 & 127)
+
+
 def _marked(docs: DataFrame, span: int, phrase: int) -> DataFrame:
-    """doc_id, digest of the words, n_words and the picked phrases' hashes of documents with a window."""
+    """doc_id, digest of the words and the picked phrases' hashes of documents with a window."""
 
     def run(batches):
         import pyarrow as pa
@@ -90,20 +100,20 @@ def _marked(docs: DataFrame, span: int, phrase: int) -> DataFrame:
                     words = text.encode().split()
                     if len(words) >= span:
                         picked = least(phrase_hashes(hashes(words, known), phrase), span - phrase + 1)
-                        rows.append((doc_id, digest_of(words), len(words), np.unique(picked).view(np.int64)))
+                        rows.append((doc_id, digest_of(words), np.unique(picked).view(np.int64)))
                 if rows:
-                    ids, digests, sizes, picks = zip(*rows)
+                    ids, digests, picks = zip(*rows)
                     ends = np.cumsum([0, *map(len, picks)]).astype(np.int32)
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(ids, pa.int64()), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()),
+                        pa.array(ids, pa.int64()), pa.array(digests, pa.binary()), pa.array(map(key_of, digests), pa.int64()),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(picks))),
-                    ], names=["doc_id", "digest", "n_words", "picks"])
+                    ], names=["doc_id", "digest", "key", "picks"])
 
-    return docs.mapInArrow(run, "doc_id long, digest binary, n_words long, picks array<long>")
+    return docs.mapInArrow(run, "doc_id long, digest binary, key long, picks array<long>")
 
 
 def _phrases(rows: DataFrame, phrase: int) -> DataFrame:
-    """The words of the phrases whose hashes (picks) stand in the text, one row each, with the text's shard."""
+    """The words of the phrases whose hashes (picks) stand in the text, one row each, with the text's shard and doc_id."""
 
     def run(batches):
         import pyarrow as pa
@@ -111,24 +121,29 @@ def _phrases(rows: DataFrame, phrase: int) -> DataFrame:
         known: dict[bytes, int] = {}
         for batch in batches:
             for part in slices(batch, "text"):
-                found, shards = [], []
-                for text, picks, shard in zip(*(part.column(c).to_pylist() for c in ("text", "picks", "shard"))):
+                found, shards, firsts = [], [], []
+                for text, picks, shard, first in zip(*(part.column(c).to_pylist() for c in ("text", "picks", "shard", "doc_id"))):
                     words = text.encode().split()
                     at = phrase_hashes(hashes(words, known), phrase)
-                    _, first = np.unique(at, return_index=True)
-                    for i in first[np.isin(at[first].view(np.int64), picks)].tolist():
+                    _, where = np.unique(at, return_index=True)
+                    for i in where[np.isin(at[where].view(np.int64), picks)].tolist():
                         found.append(b" ".join(words[i:i + phrase]).decode())
                         shards.append(shard)
-                yield pa.RecordBatch.from_pydict({"shard": pa.array(shards, pa.int32()), "text": pa.array(found, pa.string())})
+                        firsts.append(first)
+                yield pa.RecordBatch.from_pydict({
+                    "shard": pa.array(shards, pa.int32()), "first": pa.array(firsts, pa.int64()), "text": pa.array(found, pa.string())
+                })
 
-    return rows.select("text", "picks", "shard").mapInArrow(run, "shard int, text string")
+    return rows.select("text", "picks", "shard", "doc_id").mapInArrow(run, "shard int, first long, text string")
 
 
 def _located(dealt: DataFrame, span: int, phrase: int) -> DataFrame:
     """The windows around located phrases: two halves of a hash of their words, where they are, and in what document.
 
-    Rows come sorted by shard and part, in each the phrases (doc_id null) before the documents.
+    again tells that a smaller doc_id has the window's phrase, without which none has the window. Rows come sorted by
+    shard and part, in each the phrases (doc_id null, key their first document) before the documents.
     """
+    size = span - phrase + 1
 
     def run(batches):
         import ahocorasick
@@ -137,43 +152,51 @@ def _located(dealt: DataFrame, span: int, phrase: int) -> DataFrame:
 
         digest = xxhash.xxh3_128_digest
         known: dict[bytes, int] = {}
-        now, automaton, places = None, None, {}
+        now, automaton, code, compiled = None, None, {}, False
         for batch in batches:
             for part in slices(batch, "text"):
-                for shard, share, doc_id, key, text in zip(*(part.column(c).to_pylist() for c in ("shard", "part", "doc_id", "digest", "text"))):
+                for shard, share, doc_id, key, text in zip(*(part.column(c).to_pylist() for c in ("shard", "part", "doc_id", "key", "text"))):
                     words = text.encode().split()
                     if (shard, share) != now:
-                        now, places = (shard, share), {}
-                        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-                        compiled = False
+                        now, code, compiled = (shard, share), {}, False
+                        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
                     if doc_id is None:
-                        automaton.add_word(tuple(places.setdefault(w, len(places) + 1) for w in words), 1)
+                        for w in words:
+                            if w not in code:
+                                code[w] = signs(len(code))
+                        automaton.add_word("".join(map(code.__getitem__, words)), key)
                         continue
                     if not len(automaton):
                         continue
                     if not compiled:
                         automaton.make_automaton()
                         compiled = True
+                    line = "".join([code.get(w, "\x01\x01\x01") for w in words])
+                    hits = [((end + 1) // 3 - phrase, first) for end, first in automaton.iter(line)]
+                    if not hits:
+                        continue
                     at = phrase_hashes(hashes(words, known), phrase)
                     seen = np.zeros(len(at), bool)
-                    ends = [end for end, _ in automaton.iter(tuple(places.get(w, 0) for w in words))]
-                    seen[np.array(ends, np.int64) - phrase + 1] = True
-                    size = span - phrase + 1
-                    starts = np.flatnonzero((least(np.where(seen, at, LAST), size) == least(at, size)) & _near(seen, size))
+                    places, firsts = (np.array(x, np.int64) for x in zip(*hits))
+                    seen[places] = True
+                    low = least(at, size)
+                    starts = np.flatnonzero((least(np.where(seen, at, LAST), size) == low) & _near(seen, size))
                     if not len(starts):
                         continue
+                    values, one = np.unique(at[places], return_index=True)
+                    again = firsts[one][np.searchsorted(values, low[starts])] < doc_id
                     joined = b" ".join(words)
                     stop = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
                     begin = np.concatenate(([0], stop[:-1] + 1))
-                    raw = b"".join(digest(joined[a:b]) for a, b in zip(begin[starts].tolist(), stop[starts + span - 1].tolist()))
+                    raw = b"".join([digest(joined[a:b]) for a, b in zip(begin[starts].tolist(), stop[starts + span - 1].tolist())])
                     halves = np.frombuffer(raw, "<i8").reshape(-1, 2)
                     n = len(starts)
                     yield pa.RecordBatch.from_arrays([
                         pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(np.full(n, doc_id, np.int64)),
-                        pa.array([key] * n, pa.binary()), pa.array(starts.astype(np.int32)),
-                    ], names=["a", "b", "doc_id", "digest", "start"])
+                        pa.array(np.full(n, key, np.int64)), pa.array(starts.astype(np.int32)), pa.array(again),
+                    ], names=["a", "b", "doc_id", "key", "start", "again"])
 
-    return dealt.mapInArrow(run, "a long, b long, doc_id long, digest binary, start int")
+    return dealt.mapInArrow(run, "a long, b long, doc_id long, key long, start int, again boolean")
 
 
 def _near(seen: np.ndarray, size: int) -> np.ndarray:
@@ -183,48 +206,52 @@ def _near(seen: np.ndarray, size: int) -> np.ndarray:
 
 
 def removals(docs: DataFrame, span: int = SPAN, phrase: int = PHRASE, per_shard: int = PHRASES, per_task: int = WORDS) -> DataFrame:
-    """doc_id and cuts (digest, whole, starts): what to remove from the text with that digest, all or windows."""
+    """doc_id and cuts (key, whole, starts): what to remove from the text with that key, all of it or windows."""
     docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
     marked = freeze(_marked(docs, span, phrase))
-    reps = freeze(marked.groupBy("digest").agg(F.min(F.struct("doc_id", "n_words", "picks")).alias("r")).select("digest", "r.*"))
-    picks = reps.select("doc_id", "digest", "n_words", F.explode("picks").alias("pick"))
+    reps = freeze(marked.groupBy("digest").agg(F.min(F.struct("doc_id", "key", "picks")).alias("r")).select("digest", "r.*"))
+    picks = reps.select("doc_id", "key", F.explode("picks").alias("pick"))
     recurring = picks.groupBy("pick").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
     hits = freeze(picks.join(recurring.select("pick", "first"), "pick"))
     shards = max(1, -(-hits.where("doc_id = first").count() // per_shard))
     hits = hits.withColumn("shard", F.pmod(F.xxhash64("first"), F.lit(shards)).cast("int"))
 
-    wanted = hits.groupBy("doc_id", "digest").agg(F.first("n_words").alias("n_words"))
-    texts = docs.join(wanted.withColumnRenamed("digest", "key"), "doc_id")
-
     def same(batches):
         import pyarrow as pa
 
         for batch in batches:
-            keep = [digest_of(t.encode().split()) == k for t, k in zip(batch.column("text").to_pylist(), batch.column("key").to_pylist())]
+            keep, sizes = [], []
+            for text, key in zip(batch.column("text").to_pylist(), batch.column("key").to_pylist()):
+                words = text.encode().split()
+                keep.append(key_of(digest_of(words)) == key)
+                sizes.append(len(words))
+            batch = pa.RecordBatch.from_arrays([*batch.columns, pa.array(sizes, pa.int64())], names=[*batch.schema.names, "n_words"])
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    texts = freeze(texts.select("doc_id", "text", "key").mapInArrow(same, "doc_id long, text string, key binary"))
-    texts = texts.withColumnRenamed("key", "digest").dropDuplicates(["digest"])
+    texts = docs.join(hits.select("doc_id", "key").distinct(), "doc_id").select("doc_id", "text", "key")
+    texts = freeze(texts.mapInArrow(same, "doc_id long, text string, key long, n_words long"))
+    texts = texts.dropDuplicates(["doc_id", "key"])
 
-    own = hits.where("doc_id = first").groupBy("digest", "shard").agg(F.collect_set("pick").alias("picks"))
-    phrases = _phrases(texts.select("digest", "text").join(own, "digest"), phrase).distinct()
-    routes = hits.select("digest", "n_words", "shard").distinct()
-    parts = freeze(routes.groupBy("shard").agg(F.ceil(F.sum("n_words") / per_task).cast("int").alias("parts")))
+    own = hits.where("doc_id = first").groupBy("doc_id", "key", "shard").agg(F.collect_set("pick").alias("picks"))
+    phrases = _phrases(texts.join(own, ["doc_id", "key"]), phrase).distinct()
+    routed = texts.join(hits.select("doc_id", "key", "shard").distinct(), ["doc_id", "key"])
+    parts = freeze(routed.groupBy("shard").agg(F.ceil(F.sum("n_words") / per_task).cast("int").alias("parts")))
     each = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
     phrases = phrases.join(parts, "shard").select(
-        "shard", each, F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("binary").alias("digest"), "text"
+        "shard", each, F.lit(None).cast("long").alias("doc_id"), F.col("first").alias("key"), "text"
+    )
+    streamed = routed.join(parts, "shard").select(
+        "shard", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part"), "doc_id", "key", "text"
     )
-    routed = routes.join(parts, "shard").select("digest", "shard", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int").alias("part"))
-    streamed = texts.join(routed, "digest").select("shard", "part", "doc_id", "digest", "text")
     dealt = phrases.unionByName(streamed).repartition("shard", "part").sortWithinPartitions("shard", "part", "doc_id")
     windows = freeze(_located(dealt, span, phrase))
 
     firsts = windows.groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    later = windows.join(firsts.select("a", "b", "first"), ["a", "b"]).where("first < doc_id")
-    starts = later.groupBy("doc_id", "digest").agg(F.collect_list("start").alias("starts"))
+    later = windows.where("again").join(firsts.select("a", "b", "first"), ["a", "b"]).where("first < doc_id")
+    starts = later.groupBy("doc_id", "key").agg(F.collect_list("start").alias("starts"))
     copies = marked.join(reps.select("digest", F.col("doc_id").alias("first")), "digest").where("first < doc_id")
-    cuts = starts.select("doc_id", F.struct("digest", F.lit(False).alias("whole"), "starts").alias("cut")).unionByName(
-        copies.select("doc_id", F.struct("digest", F.lit(True).alias("whole"), F.array().cast("array<int>").alias("starts")).alias("cut"))
+    cuts = starts.select("doc_id", F.struct("key", F.lit(False).alias("whole"), "starts").alias("cut")).unionByName(
+        copies.select("doc_id", F.struct("key", F.lit(True).alias("whole"), F.array().cast("array<int>").alias("starts")).alias("cut"))
     )
     return freeze(cuts.groupBy("doc_id").agg(F.collect_set("cut").alias("cuts")))
 
@@ -255,9 +282,9 @@ def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sp
                     words = (t or "").encode().split()
                     n = len(words)
                     if found:
-                        digest = digest_of(words)
+                        key = key_of(digest_of(words))
                         for x in found:
-                            if x["digest"] != digest:
+                            if x["key"] != key:
                                 continue
                             edge = np.zeros(n + 1, np.int64)
                             starts = np.array(x["starts"], np.int64)
