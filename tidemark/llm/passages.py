@@ -211,7 +211,10 @@ def removals(docs: DataFrame, span: int = SPAN, phrase: int = PHRASE, per_shard:
     marked = freeze(_marked(docs, span, phrase))
     reps = freeze(marked.groupBy("digest").agg(F.min(F.struct("doc_id", "key", "picks")).alias("r")).select("digest", "r.*"))
     picks = reps.select("doc_id", "key", F.explode("picks").alias("pick"))
-    recurring = picks.groupBy("pick").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    # stored: a join straight on an aggregate shares its shuffle, and Spark could not split a phrase that very many have
+    recurring = freeze(
+        picks.groupBy("pick").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    )
     hits = freeze(picks.join(recurring.select("pick", "first"), "pick"))
     shards = max(1, -(-hits.where("doc_id = first").count() // per_shard))
     hits = hits.withColumn("shard", F.pmod(F.xxhash64("first"), F.lit(shards)).cast("int"))
@@ -246,7 +249,9 @@ def removals(docs: DataFrame, span: int = SPAN, phrase: int = PHRASE, per_shard:
     dealt = phrases.unionByName(streamed).repartition("shard", "part").sortWithinPartitions("shard", "part", "doc_id")
     windows = freeze(_located(dealt, span, phrase))
 
-    firsts = windows.groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    firsts = freeze(
+        windows.groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    )
     later = windows.where("again").join(firsts.select("a", "b", "first"), ["a", "b"]).where("first < doc_id")
     starts = later.groupBy("doc_id", "key").agg(F.collect_list("start").alias("starts"))
     copies = marked.join(reps.select("digest", F.col("doc_id").alias("first")), "digest").where("first < doc_id")

@@ -7,6 +7,8 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import freeze
+
 DATE = "2024-01-01T00:00:00Z"
 MIN_BYTES = 100
 FILE_RECORDS = 20_000
@@ -23,7 +25,8 @@ def resolve(pages: DataFrame, min_bytes: int = MIN_BYTES, page_id: str = "page_i
 
     Of rows with equal payloads of at least min_bytes, those with the smallest page_id are responses and the others
     revisit it. The original of a digest is found from headers (id, digest, url) alone, combined before the shuffle;
-    each digest is then one row on the right of the join, so a payload with very many copies can be split on the left.
+    each digest is then one row of a stored table on the right of the join, so a payload with very many copies can be
+    split on the left.
     A null payload is empty. Rows without a page_id are revisits of one that has it, else responses.
     """
     rows = pages.select(
@@ -33,7 +36,7 @@ def resolve(pages: DataFrame, min_bytes: int = MIN_BYTES, page_id: str = "page_i
         "payload_bytes": F.octet_length("payload").cast("long"),
         "payload_digest": F.sha2(F.col("payload").cast("binary"), 256),
     })
-    originals = (
+    originals = freeze(
         rows.where(F.col("payload_bytes") >= min_bytes).select("payload_digest", "page_id", "url")
         .groupBy(F.col("payload_digest").alias("digest"))
         .agg(F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))).alias("first"))
@@ -154,7 +157,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                         _page(headers.get("warc-refers-to")), payload if headers["warc-type"] == "response" else None,
                     ))
                     size += len(block)
-                    if size > 4 << 20:
+                    if size > 1 << 20:
                         yield batch(rows)
                         rows, size = [], 0
                 if rows:
