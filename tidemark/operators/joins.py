@@ -21,10 +21,12 @@ def known_only(df: DataFrame, key: str, parent: DataFrame, parent_key: str | Non
 def orphans(df: DataFrame, key: str, parent: DataFrame, parent_key: str | None = None) -> DataFrame:
     """Rows whose key is NULL or missing in the parent table.
 
-    Spark splits only the left side of such a join, so the parent's keys are reduced to one row each before.
+    Spark splits only the left side of such a join, so the parent's keys are reduced to one row each before. They are
+    wrapped after that: joined as they are, they would share the aggregate's shuffle and the left side stayed whole.
     """
-    keys = parent.select(F.col(parent_key or key).alias(key)).distinct()
-    return df.join(keys, key, "left_anti")
+    name = parent_key or key
+    keys = parent.select(F.col(name).alias("_key")).filter("_key IS NOT NULL").distinct().select(F.struct("_key").alias("_cell"))
+    return df.join(keys, F.struct(F.col(key).alias("_key")) == F.col("_cell"), "left_anti")
 
 
 def one_to_many_left(one: DataFrame, many: DataFrame, key: str) -> DataFrame:
@@ -34,13 +36,13 @@ def one_to_many_left(one: DataFrame, many: DataFrame, key: str) -> DataFrame:
     unmatched rows are added with NULLs. These are found against one row per key.
     """
     matched = one.join(many, key)
-    alone = one.join(many.select(key).distinct(), key, "left_anti")
+    alone = orphans(one, key, many)
     return matched.unionByName(alone, allowMissingColumns=True)
 
 
 def full_outer(one: DataFrame, many: DataFrame, key: str) -> DataFrame:
     """FULL OUTER JOIN as matched rows plus the unmatched rows of either side, for the same reason."""
-    stray = many.join(one.select(key).distinct(), key, "left_anti")
+    stray = orphans(many, key, one)
     return one_to_many_left(one, many, key).unionByName(stray, allowMissingColumns=True)
 
 
