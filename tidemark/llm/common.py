@@ -59,7 +59,8 @@ def bounded_sample(df: DataFrame, group: str, key: str, per_group: int) -> DataF
     rows = df.where(F.col(group).isNotNull() & F.col(key).isNotNull()).withColumn("_h", F.xxhash64(key, F.lit("sample")))
     counts = rows.groupBy(F.col(group).alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
     share = F.least(F.lit(1.0), per_group * 1.1 / F.col("_n"))
-    near = rows.join(counts, F.col(group) == F.col("_g")).where(F.pmod(F.col("_h"), F.lit(1 << 32)) < share * (1 << 32))
+    # one row per group, and the groups are few: grades or languages
+    near = rows.join(F.broadcast(counts), F.col(group) == F.col("_g")).where(F.pmod(F.col("_h"), F.lit(1 << 32)) < share * (1 << 32))
     order = Window.partitionBy(group).orderBy("_h", key)
     return near.withColumn("_i", F.row_number().over(order)).where(F.col("_i") <= per_group).select(df.columns)
 
