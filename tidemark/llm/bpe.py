@@ -13,7 +13,7 @@ from tidemark.llm.common import share, slices
 
 NONE = np.int32(2**31 - 1)
 #: Entries of a worker's memory of pieces; it starts anew when full.
-MEMORY = 400_000
+MEMORY = 200_000
 CELLS = 1 << 22
 LONG = 128
 #: Between a word and the next one a single blank always starts a match, whatever stands before it.
@@ -235,7 +235,7 @@ def decode(docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str =
         v = shared()
         sizes = np.diff(v.starts)
         for batch in batches:
-            for part in slices(batch, ids, 1 << 20):
+            for part in slices(batch, ids, 1 << 18):
                 column = part.column(ids)
                 values = column.flatten().to_numpy(zero_copy_only=False)
                 counts = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)

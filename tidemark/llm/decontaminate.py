@@ -31,7 +31,7 @@ OVERLAP = 0.8
 ITEMS = 2048
 BLOCKS = 64
 WINDOW = 32
-MEMORY = 400_000
+MEMORY = 200_000
 RESULT = "item_id long, n_words long, start long, bm25 double, overlap double, question_overlap double, answer_overlap double"
 
 

@@ -22,7 +22,7 @@ SMOOTHING = 0.5
 #: Beside half the logarithm of the number of words, for each language after the first.
 PENALTY = 4.0
 STEPS = 10
-MEMORY = 400_000
+MEMORY = 200_000
 WORD = r"[^\W\d_]+"
 
 

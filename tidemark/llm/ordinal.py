@@ -24,7 +24,7 @@ MIN_DOCS = 3
 ROUNDS = 150
 RIDGE = 2e-5
 SELECT = 0.5
-MEMORY = 400_000
+MEMORY = 200_000
 SHARE = 16.0
 EVIDENCE = 4.0
 START = 4
