@@ -75,3 +75,37 @@ def test_query_recall(spark):
     assert got.keys() == want.keys() and all(len(x) == 20 for x in got.values())
     hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
     assert hits >= 0.9 * 20 * len(want)
+
+
+@pytest.mark.parametrize("lengths", ["one long", "spread"])
+def test_recall_with_unequal_lengths(spark, lengths):
+    """One vector a hundred times longer, or lengths over several powers of two, leave the windows their share of neighbours."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x *= np.where(np.arange(3000) == 7, 100, 1)[:, None] if lengths == "one long" else rng.lognormal(0, 1, 3000)[:, None]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = lists(hilbert.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), least=50, chunk=64))
+    want = brute(rows)
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.9 * 20 * len(want)
+
+
+def test_every_query_meets_a_short_band(spark):
+    """Far more queries than windows are wide stand beside five long vectors, and many share a chunk."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(1500, 8))
+    x[:5] *= 1e6
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = lists(hilbert.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=1, least=50, chunk=64))
+    want = brute(rows, every=1)
+    for q in want:
+        long = [i for i, s in want[q] if i < 5 and s > 100]
+        assert [i for i, _ in got[q]][:len(long)] == long, q
+
+
+@pytest.mark.parametrize("size", [1e-170, 1.0, 1e170])
+def test_lengths_whose_squares_a_double_does_not_hold(spark, size):
+    rows = [([3 * size, -4 * size],), ([0.0, -size],)]
+    got = [r[0] for r in spark.createDataFrame(rows, "v array<double>").select(hilbert.log_length()).collect()]
+    assert np.allclose(got, np.log2([5, 1]) + math.log2(size))

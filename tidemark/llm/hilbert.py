@@ -5,7 +5,9 @@ The order is found by range partitioning. A query's candidates are the vectors w
 curve; their inner products are computed exactly, and the best over all curves are kept.
 
 Inner products become distances by one more coordinate, sqrt(max |x|^2 - |x|^2) for candidates. Queries, scaled to the
-largest length, have 0 there: the order of their inner products stays, and is then that of nearness.
+largest length, have 0 there: the order of their inner products stays, and is then that of nearness. One long vector
+would leave all others a few cells, so candidates lie in bands of length, a factor of two each: a band has its own
+curves, on which its longest vector has length 1, and every query is asked in every band.
 """
 
 from __future__ import annotations
@@ -13,11 +15,10 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-from tidemark.operators.ordering import numbered
+from tidemark.operators.ordering import RANGE, _per_range, cell_of, in_ranges
 from tidemark.session import freeze
 
 CURVES = 16
@@ -75,6 +76,27 @@ def usable(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
     return rows.join(F.broadcast(usual), F.size("v") == F.col("m.size")).select("id", "v")
 
 
+def log_length() -> Column:
+    """log2 |v|, finite for every vector with a component other than 0."""
+    largest = F.array_max(F.transform("v", F.abs))
+    scaled = F.log2(largest) + F.log2(F.aggregate("v", F.lit(0.0), lambda a, x: a + (x / largest) * (x / largest))) / 2
+    # scaling takes the square of the components' number, and is for squares that a double doesn't hold
+    return F.aggregate(
+        "v", F.lit(0.0), lambda a, x: a + x * x, lambda a: F.when(a.between(1e-200, 1e200), F.log2(a) / 2).otherwise(scaled)
+    )
+
+
+def in_places(points: DataFrame) -> DataFrame:
+    """Add place, the members of a band's curve up to a row, and asked, the queries of its range up to a row."""
+    group, order = ["band", "curve"], ["key", "rep", "query"]
+    member = F.when(F.col("query"), 0).otherwise(1)
+    rows = in_ranges(points, [F.col(c) for c in (*group, *order)]).withColumn("_cell", cell_of([*group, RANGE]))
+    parts = _per_range(rows, group, member).select(cell_of([*group, RANGE]).alias("_cell"), "_before")
+    inside = Window.partitionBy("_cell").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_inside", F.sum(member).over(inside)).withColumn("asked", F.sum(1 - member).over(inside))
+    return rows.join(parts, "_cell").withColumn("place", F.col("_before") + F.col("_inside"))
+
+
 def search(vectors: DataFrame, every: int = 20, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding",
            curves: int = CURVES, share: float = SHARE, least: int = LEAST, chunk: int = CHUNK) -> DataFrame:
     """query_id, rank, vec_id and score: for each row whose id is divisible by every, its k nearest of the other rows.
@@ -83,56 +105,75 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, vec_id: str = "vec_
     apart at the end, so a vector that a third of the rows have costs no more than another. Repeated rows with one id
     count once. Vectors that usable() leaves out take no part.
 
-    On a curve the ordered vectors are cut into chunks of at most chunk rows; queries of a chunk meet the chunks their
-    windows touch, one pair at a time, so a task holds two chunks however many vectors there are.
+    The curves of a band hold its vectors as members and every query. The ordered members are cut into chunks of at most
+    chunk rows; packs of queries of a chunk meet the chunks their windows touch, one pair at a time, so a task holds one
+    pack and one chunk however many vectors, bands or queries there are.
     """
     rows = freeze(usable(vectors, vec_id, vector).distinct())
     classes = rows.groupBy("v").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"), F.max(F.col("id") % every == 0).alias("asked"))
-    classes = freeze(classes)
-    count, norm, size = classes.agg(
-        F.count(F.lit(1)), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)), F.max(F.size("v"))
-    ).first()
-    if not count:
+    classes = freeze(classes.withColumn("length", log_length()))
+    longest, size = classes.agg(F.max("length"), F.max(F.size("v"))).first()
+    if longest is None:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    spread = math.sqrt(norm / size) * 8  # cells cover four standard deviations on both sides of zero
+    placing = classes.withColumn("band", F.floor(F.lit(longest) - F.col("length")).cast("int"))
+    bands = placing.groupBy("band").agg(F.count(F.lit(1)).alias("count"), F.max("length").alias("top")).collect()
+    tops = {r.band: r.top for r in bands}
+    spread = 8 / math.sqrt(size)  # cells cover four standard deviations on both sides of zero
 
     def keys(batches):
         import pyarrow as pa
 
         for batch in batches:
             n = batch.num_rows
+            if not n:
+                continue
             v = batch.column("v").flatten().to_numpy().reshape(n, size)
             asked = np.flatnonzero(batch.column("asked").to_numpy(zero_copy_only=False))
-            square = (v * v).sum(axis=1, keepdims=True)
+            band = batch.column("band").to_numpy()
+            v = v / np.abs(v).max(axis=1, keepdims=True)
+            v /= np.sqrt((v * v).sum(axis=1, keepdims=True))
+            part = np.exp2(batch.column("length").to_numpy() - np.array([tops[b] for b in band.tolist()]))[:, None]
             v = np.vstack((
-                np.hstack((v, np.sqrt(np.maximum(norm - square, 0)))),
-                np.hstack((v[asked] * np.sqrt(norm / square[asked]), np.zeros((len(asked), 1)))),
+                np.hstack((v * part, np.sqrt(np.maximum(1 - part * part, 0)))), np.hstack((v[asked], np.zeros((len(asked), 1)))),
             ))
             rep = np.concatenate((batch.column("rep").to_numpy(), batch.column("rep").to_numpy()[asked]))
+            band = pa.array(np.concatenate((band, band[asked])))
             for c in range(curves):
                 way, shift = directions(c, size + 1)
                 cells = np.clip(((v @ way) / spread + 0.5) * 0.75 + shift, 0, 1 - 1e-9) * (1 << BITS)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(v), c, np.int32)), pa.array(hilbert_keys(cells.astype(np.int64), BITS)), pa.array(rep),
+                    band, pa.array(np.full(len(v), c, np.int32)), pa.array(hilbert_keys(cells.astype(np.int64), BITS)), pa.array(rep),
                     pa.array(np.arange(len(v)) >= n),
-                ], names=["curve", "key", "rep", "query"])
+                ], names=["band", "curve", "key", "rep", "query"])
 
-    placed = numbered(
-        classes.select("v", "rep", "asked").mapInArrow(keys, "curve int, key long, rep long, query boolean"),
-        [F.col("key"), F.col("rep"), F.col("query")], ["curve"],
+    points = placing.select("v", "rep", "asked", "length", "band").mapInArrow(
+        keys, "band int, curve int, key long, rep long, query boolean"
+    )
+    everywhere = F.array(*(F.lit(b) for b in sorted(tops)))
+    points = points.select(
+        F.explode(F.when(F.col("query"), everywhere).otherwise(F.array("band"))).alias("band"), "curve", "key", "rep", "query"
+    )
+    windows = []
+    for r in bands:
+        window = max(least, math.ceil(share * r["count"]))
+        width = min(chunk, math.ceil(window / 2))
+        windows.append((r.band, width, math.ceil(window / width)))
+    # one row per band, and a band is a factor of two in length
+    windows = F.broadcast(vectors.sparkSession.createDataFrame(windows, "band int, width int, reach int"))
+    placed = in_places(points).join(windows, "band").select(
+        "band", "curve", "reach", "rep", "query", F.floor(F.greatest(F.col("place") - 1, F.lit(0)) / F.col("width")).cast("int").alias("chunk"),
+        # in a short band all queries may stand at one place
+        F.when(F.col("query"), F.struct(F.col(RANGE), F.floor(F.col("asked") / chunk))).alias("pack"),
     )
-    window = max(least, math.ceil(share * count))
-    width = min(chunk, math.ceil(window / 2))
-    reach = math.ceil(window / width)
-    placed = placed.select("curve", "rep", "query", F.floor((F.col("_rn") - 1) / width).cast("int").alias("chunk"))
     placed = placed.join(classes.select("rep", "v"), "rep")
     one = F.struct("rep", "v")
-    packs = freeze(placed.groupBy("curve", "chunk").agg(
-        F.collect_list(F.when(~F.col("query"), one)).alias("members"), F.collect_list(F.when(F.col("query"), one)).alias("queries")
-    ))
-    pairs = packs.where(F.size("queries") > 0).select(
-        "curve", "queries", F.explode(F.sequence(F.col("chunk") - reach, F.col("chunk") + reach)).alias("chunk")
-    ).join(packs.where(F.size("members") > 0).select("curve", "chunk", "members"), ["curve", "chunk"]).select("queries", "members")
+    packs = freeze(placed.groupBy("band", "curve", "reach", "chunk", "query", "pack").agg(F.collect_list(one).alias("rows")))
+    asking = packs.where("query").select(
+        "band", "curve", F.col("rows").alias("queries"),
+        F.explode(F.sequence(F.col("chunk") - F.col("reach"), F.col("chunk") + F.col("reach"))).alias("chunk"),
+    )
+    members = packs.where("NOT query").select("band", "curve", "chunk", F.col("rows").alias("members"))
+    pairs = asking.join(members, ["band", "curve", "chunk"]).select("queries", "members")
 
     def compare(batches):
         import pyarrow as pa
@@ -147,14 +188,16 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, vec_id: str = "vec_
                 ids, q = matrix(batch.column("queries"), i)
                 others, x = matrix(batch.column("members"), i)
                 order = np.argsort(others)  # a stable sort by score then leaves ties in the order of ids
-                score = q @ x[order].T
+                others, x = others[order], x[order]
                 n = min(k + 1, len(others))
-                # every member as good as the n-th best
-                low = -np.partition(-score, n - 1, axis=1)[:, n - 1:n]
-                row, column = np.nonzero(score >= low)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[row]), pa.array(others[order][column]), pa.array(score[row, column])], names=["query", "rep", "score"]
-                )
+                for at in range(0, len(ids), 512):
+                    score = q[at:at + 512] @ x.T
+                    # every member as good as the n-th best
+                    low = -np.partition(-score, n - 1, axis=1)[:, n - 1:n]
+                    row, column = np.nonzero(score >= low)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids[at + row]), pa.array(others[column]), pa.array(score[row, column])], names=["query", "rep", "score"]
+                    )
 
     found = pairs.mapInArrow(compare, "query long, rep long, score double")
     # the classes of the k + 1 best rows: one of them may be the query's own
