@@ -23,8 +23,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near-duplicates."""
-    return simhash.keep_first(docs)
+    """The document with the smallest doc_id of each group of near-duplicates, or one row of a group without any doc_id."""
+    return simhash.keep_first(docs, keep_unnamed=False)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

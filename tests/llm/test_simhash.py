@@ -102,3 +102,33 @@ def test_components_of_documents(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(docs).count() == 0 and simhash.keep_first(docs).count() == 0
+
+
+def chain():
+    """Three texts of one word changed each; the outer two are linked through the middle one only."""
+    rng = random.Random(3)
+    while True:
+        words = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        out = [" ".join(words)]
+        for at in (50, 120):
+            words[at] = f"w{rng.randrange(10**6)}"
+            out.append(" ".join(words))
+        a, b, c = map(restated, out)
+        if 0 < (a ^ b).bit_count() <= 4 and 0 < (b ^ c).bit_count() <= 4 < (a ^ c).bit_count():
+            return out
+
+
+def test_rows_without_id_link_and_are_removed(spark):
+    a, b, c = chain()
+    lone = "a text that only rows without a number have, twice and once nearly"
+    rows = [(8, a, "x", {}), (None, b, "x", {}), (9, c, "x", {}), (None, a, "y", {"k": 1}), (None, lone, "s", {}), (None, lone, "s", {}),
+            (None, lone.upper(), "t", {}), (None, "quite another one without a number", "u", {}), (10, "and one that has it", "v", {})]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, more map<string, int>")
+    found = {(r.doc_id, r.fingerprint % 2**64): r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert [found[i, restated(t)] for i, t, *_ in rows] == [8, 8, 8, 8, None, None, None, None, 10]
+    kept = simhash.keep_first(docs, keep_unnamed=False)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(
+        [(8, a), (None, lone.upper()), (None, rows[7][1]), (10, rows[8][1])], key=repr
+    )
+    assert sum(r.doc_id is None for r in simhash.keep_first(docs).collect()) == 6

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import fresh, slices
 from tidemark.llm.components import components
@@ -186,31 +187,49 @@ def links(classes: DataFrame, radius: int = RADIUS, tree: int = TREE) -> DataFra
     return dealt.mapInArrow(run, "u long, v long").distinct()
 
 
+def _components(docs: DataFrame, words: int, radius: int, tree: int, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, fingerprint), and for every fingerprint (fp) its component: least fingerprint and least doc_id."""
+    rows = freeze(fingerprints(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), "text", words))
+    classes = freeze(rows.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("first")))
+    roots = components(links(classes.select("fp", F.col("fp").alias("id")), radius, tree))
+    rooted = freeze(classes.join(roots, F.col("fp") == F.col("node"), "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("component")
+    ))
+    # stored, so that Spark can split the left side of the join with it
+    least = freeze(rooted.groupBy("component").agg(F.min("first").alias("component_id")))
+    return rows, rooted.join(least, "component").select("fp", "component", "component_id")
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, tree: int = TREE,
                     doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, fingerprint (long) and component_id of every row: the smallest doc_id that links lead to, or its own.
 
     Equal fingerprints link, so copies are one class with one row from there on. Null and word-less texts share the
-    fingerprint zero and link like others. A row without doc_id belongs to its fingerprint's component; that is null if
-    no row of the fingerprint has a doc_id. Repeated rows are kept.
+    fingerprint zero and link like others. Rows without doc_id link like others too; component_id is null if no row of
+    the component has a doc_id. Repeated rows are kept.
     """
-    rows = freeze(fingerprints(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), "text", words))
-    classes = rows.where("doc_id IS NOT NULL").groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("id"))
-    classes = freeze(classes)
-    joined = classes.join(components(links(classes, radius, tree)), F.col("id") == F.col("node"), "left").select(
-        "fp", F.coalesce("root", "id").alias("component_id")
-    )
-    return rows.join(joined, F.col("fingerprint") == F.col("fp"), "left").select("doc_id", "fingerprint", "component_id")
+    rows, found = _components(docs, words, radius, tree, doc_id, text)
+    return rows.join(found, F.col("fingerprint") == F.col("fp"), "left").select("doc_id", "fingerprint", "component_id")
 
 
 def keep_first(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, tree: int = TREE,
-               doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs that are the first of their component; rows without doc_id stay if no row with one links to them.
+               doc_id: str = "doc_id", text: str = "text", keep_unnamed: bool = True) -> DataFrame:
+    """The rows of docs that are the first of their component. Of repeated rows with one doc_id all stay or none do.
 
-    Of repeated rows with one doc_id all stay or none do.
+    All rows without doc_id stay if keep_unnamed is set. Otherwise they stay only in components without any doc_id, one
+    row in each: the least by fingerprint, text and the other columns that have an order.
     """
-    found = near_duplicates(docs, words, radius, tree, doc_id, text)
+    rows, found = _components(docs, words, radius, tree, doc_id, text)
+    joined = rows.where("doc_id IS NOT NULL").join(found, F.col("fingerprint") == F.col("fp"))
     key = fresh(docs, "_dropped")
-    drop = freeze(found.where("component_id <> doc_id").select(F.col("doc_id").alias(key)).distinct())
-    kept = docs.join(drop, docs[doc_id] == drop[key], "left_anti")
-    return kept
+    drop = freeze(joined.where("component_id <> doc_id").select(F.col("doc_id").alias(key)).distinct())
+    if keep_unnamed:
+        return docs.join(drop, docs[doc_id] == drop[key], "left_anti")
+    named = docs[doc_id].cast("long").isNotNull()
+    kept = docs.where(named).join(drop, docs[doc_id] == drop[key], "left_anti")
+    unnamed = docs.where(~named).select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(text).alias("text"))
+    unnamed = fingerprints(unnamed, "text", words)
+    alone = found.where("component_id IS NULL").select("fp", "component")
+    order = [F.col("fingerprint"), *(F.col(f"row.`{f.name}`") for f in docs.schema.fields if isinstance(f.dataType, T.AtomicType))]
+    one = unnamed.join(alone, F.col("fingerprint") == F.col("fp")).groupBy("component").agg(F.min_by("row", F.struct(*order)).alias("row"))
+    return kept.unionByName(one.select("row.*"))
