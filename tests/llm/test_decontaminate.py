@@ -87,3 +87,16 @@ def test_query_finds_what_a_search_for_text_finds(spark):
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
     items = spark.read.parquet(f"{sf}/benchmark.parquet").collect()
     assert got == sorted((d.doc_id, i.item_id) for d in docs for i in items if i.text in (d.text or ""))
+
+
+@pytest.mark.parametrize("per_index", [4, 1000])
+def test_rows_are_dropped_by_their_own_text(spark, per_index):
+    """Clean rows stay beside leaking ones that have no doc_id either, or the same one."""
+    rng = random.Random(7)
+    items = [(i, prose(rng, 30)) for i in range(12)]
+    rows = [(None, items[0][1], 1), (None, "clean text", 2), (None, None, 3), (5, items[1][1], 4), (5, "another clean text", 5), (6, "", 6)]
+    rows += [(7, prose(rng, 50) + " " + items[11][1], 7), (None, "clean text", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n long")
+    kept = dc.clean(docs, spark.createDataFrame(items, "item_id long, text string"), per_index=per_index)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted((rows[i] for i in (1, 2, 4, 5, 7)), key=repr)

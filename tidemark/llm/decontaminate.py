@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -152,6 +153,45 @@ class Index:
         return len(whole & seen) / len(whole), held(question, bag), held(answer, bag)
 
 
+def _held(part, text: str, index: Index, known: dict[str, int], threshold: float, overlap: float) -> dict[tuple[int, int], tuple]:
+    """For every row and item it holds the rates of the best passage, by (row, item).
+
+    known remembers the terms of tokens from one call to the next.
+    """
+    window = index.window
+    step = window // 2
+    tokens = [(t or "").split() for t in part.column(text).to_pylist()]
+    if len(known) > MEMORY:
+        known.clear()
+    for new in {t for row in tokens for t in row if t not in known}:
+        w = normal(new)
+        known[new] = index.terms.get(w, -1) if w else -2
+    ids = [np.fromiter(map(known.__getitem__, row), np.int64, len(row)) for row in tokens]
+    ids = [x[x != -2] for x in ids]
+    # passages are numbered through the slice; a word lies in the two that overlap there
+    counts = np.array([max(1, -(-len(x) // step) - 1) for x in ids])
+    offset = np.cumsum(counts) - counts
+    flat = np.concatenate(ids)
+    half = np.concatenate([np.arange(len(x)) // step for x in ids])
+    row = np.repeat(np.arange(len(ids)), [len(x) for x in ids])
+    use = flat >= 0
+    flat, half, row = flat[use], half[use], row[use]
+    both = np.concatenate(((offset[row] + half)[half < counts[row]], (offset[row] + half - 1)[half > 0]))
+    term = np.concatenate((flat[half < counts[row]], flat[half > 0]))
+    n = len(index.terms)
+    pairs = np.unique(both * n + term) if n else np.zeros(0, np.int64)
+    passage, item, score = index.retrieve(pairs // max(1, n), pairs % max(1, n), int(counts.sum()), threshold)
+    best: dict[tuple[int, int], tuple] = {}
+    for p, i, s in zip(passage.tolist(), item.tolist(), score.tolist()):
+        d = int(np.searchsorted(offset, p, "right")) - 1
+        k = (p - int(offset[d])) * step
+        words = [w for t in tokens[d] if (w := normal(t))]
+        rates = index.overlap(i, words[k:k + window])
+        if min(rates) >= overlap:
+            best[d, i] = max(best.get((d, i), ()), (rates[0], min(s, 1.0), -k, rates[1], rates[2], len(words)))
+    return best
+
+
 def _search(docs: DataFrame, index: Index, text: str, threshold: float, overlap: float) -> DataFrame:
     """Rows of docs without their text, once for each item they hold, with the columns of RESULT."""
     shared = share(docs.sparkSession, index)
@@ -159,40 +199,10 @@ def _search(docs: DataFrame, index: Index, text: str, threshold: float, overlap:
     def run(batches):
         import pyarrow as pa
 
-        index = shared()
-        window = index.window
-        step, known = window // 2, {}
+        index, known = shared(), {}
         for batch in batches:
             for part in slices(batch, text):
-                tokens = [(t or "").split() for t in part.column(text).to_pylist()]
-                if len(known) > MEMORY:
-                    known.clear()
-                for new in {t for row in tokens for t in row if t not in known}:
-                    w = normal(new)
-                    known[new] = index.terms.get(w, -1) if w else -2
-                ids = [np.fromiter(map(known.__getitem__, row), np.int64, len(row)) for row in tokens]
-                ids = [x[x != -2] for x in ids]
-                # passages are numbered through the slice; a word lies in the two that overlap there
-                counts = np.array([max(1, -(-len(x) // step) - 1) for x in ids])
-                offset = np.cumsum(counts) - counts
-                flat = np.concatenate(ids)
-                half = np.concatenate([np.arange(len(x)) // step for x in ids])
-                row = np.repeat(np.arange(len(ids)), [len(x) for x in ids])
-                use = flat >= 0
-                flat, half, row = flat[use], half[use], row[use]
-                both = np.concatenate(((offset[row] + half)[half < counts[row]], (offset[row] + half - 1)[half > 0]))
-                term = np.concatenate((flat[half < counts[row]], flat[half > 0]))
-                n = len(index.terms)
-                pairs = np.unique(both * n + term) if n else np.zeros(0, np.int64)
-                passage, item, score = index.retrieve(pairs // max(1, n), pairs % max(1, n), int(counts.sum()), threshold)
-                best: dict[tuple[int, int], tuple] = {}
-                for p, i, s in zip(passage.tolist(), item.tolist(), score.tolist()):
-                    d = int(np.searchsorted(offset, p, "right")) - 1
-                    k = (p - int(offset[d])) * step
-                    words = [w for t in tokens[d] if (w := normal(t))]
-                    rates = index.overlap(i, words[k:k + window])
-                    if min(rates) >= overlap:
-                        best[d, i] = max(best.get((d, i), ()), (rates[0], min(s, 1.0), -k, rates[1], rates[2], len(words)))
+                best = _held(part, text, index, known, threshold, overlap)
                 if best:
                     keys = sorted(best)
                     rows = [best[key] for key in keys]
@@ -208,6 +218,35 @@ def _search(docs: DataFrame, index: Index, text: str, threshold: float, overlap:
     return docs.mapInArrow(run, T.StructType([*docs.drop(text).schema.fields, *added.fields]))
 
 
+def _without(docs: DataFrame, index: Index, text: str, threshold: float, overlap: float) -> DataFrame:
+    """Rows of docs that hold no item."""
+    shared = share(docs.sparkSession, index)
+
+    def run(batches):
+        import pyarrow as pa
+
+        index, known = shared(), {}
+        for batch in batches:
+            for part in slices(batch, text):
+                leaky = {d for d, _ in _held(part, text, index, known, threshold, overlap)}
+                yield part.filter(pa.array([d not in leaky for d in range(part.num_rows)])) if leaky else part
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _indexes(items: DataFrame, item_id: str, item_text: str, per_index: int) -> Iterator[Index]:
+    """Indexes of the items that have words and an id, each of a part of them by hash."""
+    items = items.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).alias("text")).where(
+        F.col("id").isNotNull() & F.col("text").isNotNull()
+    ).distinct()
+    parts = -(-items.count() // per_index)
+    for k in range(parts):
+        own = items.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == k).orderBy("id", "text").collect()
+        index = Index.of([(r.id, r.text) for r in own])
+        if index.ids:
+            yield index
+
+
 def leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
           threshold: float = THRESHOLD, overlap: float = OVERLAP, per_index: int = ITEMS) -> DataFrame:
     """Rows of docs without their text, once for each benchmark item that a passage of them holds, and RESULT's columns.
@@ -222,25 +261,22 @@ def leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str =
     """
     added = T.StructType.fromDDL(RESULT).names
     rows = docs.drop(*(c for c in added if c != text))
-    items = items.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).alias("text")).where(
-        F.col("id").isNotNull() & F.col("text").isNotNull()
-    ).distinct()
-    parts = -(-items.count() // per_index)
     out = None
-    for k in range(parts):
-        own = items.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == k).orderBy("id", "text").collect()
-        index = Index.of([(r.id, r.text) for r in own])
-        if index.ids:
-            found = _search(rows, index, text, threshold, overlap)
-            out = found if out is None else out.unionByName(found)
+    for index in _indexes(items, item_id, item_text, per_index):
+        found = _search(rows, index, text, threshold, overlap)
+        out = found if out is None else out.unionByName(found)
     if out is None:
         schema = T.StructType([*rows.drop(text).schema.fields, *T.StructType.fromDDL(RESULT).fields])
         return docs.sparkSession.createDataFrame([], schema)
     return out
 
 
-def clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **limits) -> DataFrame:
-    """docs without the documents that hold a benchmark item. Rows without doc_id are kept if no such row holds one."""
-    found = leaks(docs.select(F.col(doc_id).alias("leaked"), F.col(text).alias("text")), items, **limits)
-    found = found.select("leaked").distinct()
-    return docs.join(found, docs[doc_id].eqNullSafe(found["leaked"]), "left_anti")
+def clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
+          item_text: str = "text", threshold: float = THRESHOLD, overlap: float = OVERLAP, per_index: int = ITEMS) -> DataFrame:
+    """docs without the rows that hold a benchmark item as leaks() finds them.
+
+    Every row is judged by its own text, in one pass per index: doc_id isn't read, and may be null or repeated.
+    """
+    for index in _indexes(items, item_id, item_text, per_index):
+        docs = _without(docs, index, text, threshold, overlap)
+    return docs
