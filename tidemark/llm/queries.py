@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, hilbert, langmix, ordinal, passages, reputation, simhash, site_lines, warc
+from tidemark.llm import (
+    bpe, decontaminate, hilbert, langmix, license_scan, manifest, ordinal, passages, reputation, simhash, site_lines, spelling, warc
+)
 from tidemark.llm.common import table
 from tidemark.session import scratch_path
 
@@ -168,3 +170,117 @@ def op4(spark, sf_dir):
 def op6(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return passages.drop_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op11_license_signatures")
+def op11(spark, sf_dir):
+    found = license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    places = F.transform(F.filter("detections", lambda d: d["pinned"]), lambda d: d["first"])
+    names = lambda kept: F.array_join(F.array_sort(F.array_distinct(F.transform(kept, lambda d: d["label"]))), ",")
+    return found.select(
+        "doc_id", "n_words", F.size(places).cast("long").alias("n_base"), F.array_min(places).alias("first_word"),
+        F.array_max(places).alias("last_word"), names(F.filter("detections", lambda d: d["pinned"])).alias("base_labels"),
+        names(F.col("detections")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("detections", lambda d: d["weight"])), F.lit(0.0)).alias("score"),
+    )
+
+
+@query("op12_merkle_manifest", r"""WITH RECURSIVE d AS (
+    SELECT row_number() OVER () AS r, *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered,
+        -- CRC-32 bit by bit
+        xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+            lambda c: [ord(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+            lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1))), 4294967295) % 3 = 0 AS tampered
+    FROM documents),
+f AS (
+    SELECT r, doc_id, lang, tampered, coalesce(octet_length(encode(text)) || ':' || text, '-') AS t,
+        coalesce(octet_length(encode(lowered)) || ':' || lowered, '-') AS l,
+        coalesce(length(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(octet_length(encode(source)) || ':' || source, '-')
+            || coalesce(octet_length(encode(lang)) || ':' || lang, '-') || coalesce(length(n_chars::VARCHAR) || ':' || n_chars, '-') AS head
+    FROM d),
+leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS pos,
+        count(*) OVER (PARTITION BY lang) AS size
+    FROM (SELECT r, doc_id, lang, sha256(head || t) AS leaf, sha256(head || CASE WHEN tampered THEN l ELSE t END) AS shown FROM f)),
+tree AS (
+    SELECT lang, 0 AS lvl, pos, size, leaf AS node FROM leaves
+    UNION ALL
+    SELECT lang, lvl + 1, pos // 8, (size + 7) // 8, sha256(string_agg(node, '' ORDER BY pos)) FROM tree WHERE size > 1
+    GROUP BY lang, lvl, size, pos // 8),
+subroots AS (
+    SELECT lang, node, lvl, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS pos, count(*) OVER () AS size
+    FROM tree WHERE size = 1),
+top AS (
+    SELECT 0 AS lvl, pos, size, node FROM subroots
+    UNION ALL
+    SELECT lvl + 1, pos // 8, (size + 7) // 8, sha256(string_agg(node, '' ORDER BY pos)) FROM top WHERE size > 1
+    GROUP BY lvl, size, pos // 8),
+runs AS (SELECT lang, lvl, pos // 8 AS run, list(node ORDER BY pos) AS nodes FROM tree WHERE size > 1 GROUP BY ALL),
+top_runs AS (SELECT lvl, pos // 8 AS run, list(node ORDER BY pos) AS nodes FROM top WHERE size > 1 GROUP BY ALL),
+steps AS (
+    SELECT r, lvl + 1 AS step, nodes, (pos // (8 ** lvl)::BIGINT) % 8 AS slot
+    FROM leaves JOIN runs ON runs.lang IS NOT DISTINCT FROM leaves.lang AND run = pos // (8 ** (lvl + 1))::BIGINT
+    UNION ALL
+    SELECT r, s.lvl + t.lvl + 1, nodes, (s.pos // (8 ** t.lvl)::BIGINT) % 8
+    FROM leaves JOIN subroots s ON s.lang IS NOT DISTINCT FROM leaves.lang
+    JOIN top_runs t ON run = s.pos // (8 ** (t.lvl + 1))::BIGINT),
+sides AS (
+    SELECT r, step, array_to_string(nodes[:slot], '') AS before, array_to_string(nodes[slot + 2:], '') AS behind FROM steps),
+folds AS (
+    SELECT r, 0 AS step, shown AS h FROM leaves
+    UNION ALL
+    SELECT r, s.step, sha256(before || h || behind) FROM folds f JOIN sides s USING (r) WHERE s.step = f.step + 1)
+SELECT doc_id, leaf, s.node AS subroot, (SELECT node FROM top WHERE size = 1) AS root, sha256(coalesce(siblings, '')) AS proof_sha256,
+    h AS folded_root, h = (SELECT node FROM top WHERE size = 1) AS verified
+FROM leaves JOIN subroots s ON s.lang IS NOT DISTINCT FROM leaves.lang
+    LEFT JOIN (SELECT r, string_agg(before || behind, '' ORDER BY step) AS siblings FROM sides GROUP BY r) USING (r)
+    JOIN (SELECT r, arg_max(h, step) AS h FROM folds GROUP BY r) USING (r)
+""")
+def op12(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(*manifest.FIELDS)
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, F.lit(False))
+    shown = F.when(held, F.col("tampered_leaf")).otherwise(F.col("leaf"))
+    rows = manifest.manifest(docs).withColumn("folded_root", manifest.fold(shown, F.col("path")))
+    return rows.select(
+        "doc_id", *(manifest.hex_of(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")),
+        manifest.proof(F.col("path")).alias("proof_sha256"), manifest.hex_of(F.col("folded_root")).alias("folded_root"),
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+@query("op13_spelling_variants", r"""WITH RECURSIVE runs AS (
+    SELECT doc_id, run, count(*) AS k FROM (
+        SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents) GROUP BY ALL),
+-- CRC-32 bit by bit: a step for each bit of the UTF-8 bytes, the first of a byte's eight steps takes the byte in
+hashed AS (
+    SELECT run, k, CASE WHEN doc_id IS NOT NULL THEN xor(list_reduce(
+        list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id || ':' || run, ''), lambda c:
+            CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]
+                 ELSE [195::BIGINT, 0, 0, 0, 0, 0, 0, 0, ord(c) - 64, 0, 0, 0, 0, 0, 0, 0] END))),
+        lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1))), 4294967295) END AS h
+    FROM runs),
+words AS (
+    SELECT word, sum(k)::BIGINT AS n FROM (
+        SELECT k, CASE WHEN h % 97 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word FROM hashed)
+    WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+gaps AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+pairs AS (
+    SELECT a.word, b.word AS near, b.n AS near_n FROM gaps a JOIN gaps b
+        ON a.i = b.i AND a.word[:a.i - 1] || ' ' || a.word[a.i + 1:] = b.word[:b.i - 1] || ' ' || b.word[b.i + 1:] AND a.word <> b.word
+    UNION SELECT g.word, w.word, w.n FROM gaps g JOIN words w ON w.word = g.word[:g.i - 1] || g.word[g.i + 1:]
+    UNION SELECT w.word, g.word, g.n FROM gaps g JOIN words w ON w.word = g.word[:g.i - 1] || g.word[g.i + 1:]),
+best AS (SELECT word, count(*) AS n_near, max(near_n) AS near_n FROM pairs GROUP BY word),
+forms AS (
+    SELECT w.word, w.n, any_value(b.near_n) AS form_n, min(p.near) AS form
+    FROM words w LEFT JOIN best b ON b.word = w.word AND b.near_n >= 2 * w.n
+        LEFT JOIN pairs p ON p.word = w.word AND p.near_n = b.near_n GROUP BY w.word, w.n),
+way AS (
+    SELECT word, word AS node FROM words
+    UNION ALL SELECT way.word, form FROM way JOIN forms ON forms.word = way.node WHERE form IS NOT NULL),
+ends AS (SELECT way.word, node AS root FROM way JOIN forms ON forms.word = way.node WHERE form IS NULL)
+SELECT word, form, root, n, coalesce(best.n_near, 0) AS n_near, form_n
+FROM forms JOIN ends USING (word) LEFT JOIN best USING (word)
+""")
+def op13(spark, sf_dir):
+    return spelling.group(table(spark, sf_dir, "documents").select("doc_id", "text"))
