@@ -109,3 +109,58 @@ def test_lengths_whose_squares_a_double_does_not_hold(spark, size):
     rows = [([3 * size, -4 * size],), ([0.0, -size],)]
     got = [r[0] for r in spark.createDataFrame(rows, "v array<double>").select(hilbert.log_length()).collect()]
     assert np.allclose(got, np.log2([5, 1]) + math.log2(size))
+
+
+def test_the_curves_find_what_a_random_order_does_not(spark, monkeypatch):
+    """20,000 vectors without structure: fewer comparisons than half of the pairs, and recall that comes from the order."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(20_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    asked = np.arange(0, 20_000, 20)
+    score = x[asked] @ x.T
+    score[np.arange(1000), asked] = -9
+    want = dict(zip(asked.tolist(), (set(r.tolist()) for r in np.argpartition(-score, 20, axis=1)[:, :20])))
+
+    def recall():
+        got = {}
+        for r in hilbert.search(df).collect():
+            got.setdefault(r.query_id, set()).add(r.vec_id)
+        return sum(len(got[q] & want[q]) for q in want) / 20_000
+
+    met = []
+    inside = hilbert._within
+
+    def counted(chunks, queries, reaches, size, k):
+        sizes = chunks.where("id IS NULL").selectExpr("band", "curve", "chunk", "length(ids) / 8 AS n")
+        places = chunks.where("id IS NOT NULL").join(reaches, "band").selectExpr(
+            "band", "curve", "explode(sequence(chunk - reach, chunk + reach)) AS chunk")
+        met.append(places.join(sizes, ["band", "curve", "chunk"]).selectExpr("sum(n)").first()[0])
+        return inside(chunks, queries, reaches, size, k)
+
+    monkeypatch.setattr(hilbert, "_within", counted)
+    ordered = recall()
+    assert sum(met) < 0.5 * 1000 * 20_000 and ordered >= 0.9
+    monkeypatch.setattr(hilbert, "hilbert_keys", lambda cells, bits: np.random.default_rng().integers(0, 1 << 48, len(cells)))
+    assert recall() < ordered - 0.2
+
+
+def test_codes_bound_the_inner_products():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(200, 20)) * rng.lognormal(0, 3, (200, 1))
+    x[3] = 0
+    q = x[10:30] / np.linalg.norm(x[10:30], axis=1, keepdims=True)
+    (a, sa, ea), (b, sb, eb) = hilbert.coded(q), hilbert.coded(x)
+    middle = (a * sa[:, None]) @ (b * sb[:, None]).T
+    off = eb[None, :] + ea[:, None] * np.linalg.norm(b * sb[:, None], axis=1)[None, :]
+    assert (np.abs(q @ x.T - middle) <= off + 1e-12).all()
+
+
+def test_long_packs_and_wide_windows(spark, monkeypatch):
+    """Windows wider than a chunk may be, and more queries at one place than a pack holds."""
+    monkeypatch.setattr(hilbert, "PACK", 7)
+    rng = np.random.default_rng(7)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(600, 8)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got, want = lists(hilbert.search(df, every=1, least=200, chunk=16)), brute(rows, every=1)
+    assert all([i for i, _ in got[q]] == [i for i, _ in want[q]] for q in want)
