@@ -7,7 +7,9 @@ the order of the shares, the one with the best likelihood less a penalty per lan
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -21,9 +23,20 @@ BITS = 16
 SMOOTHING = 0.5
 #: Beside half the logarithm of the number of words, for each language after the first.
 PENALTY = 4.0
-STEPS = 10
+#: Steps end once no shares can gain more than this in a document's log-likelihood.
+TOLERANCE = 0.01
+#: Where the shares start of which the best single language is tried against all mixtures.
+SURE = 0.98
+#: Languages that are learned, the commonest.
+LANGS = 200
 MEMORY = 200_000
-WORD = r"[^\W\d_]+"
+
+
+@cache
+def word() -> str:
+    """A pattern of runs of letters: what `\\w` takes without digits, other numerals and the low line."""
+    numerals = "".join(c for c in map(chr, range(0x110000)) if c.isnumeric() and not c.isdecimal() and not c.isalpha())
+    return rf"[^\W\d_{re.escape(numerals)}]+"
 
 
 def grams(word: str) -> list[int]:
@@ -41,30 +54,36 @@ class Model:
     logs: np.ndarray  # by n-gram and language
 
 
-def learn(docs: DataFrame, lang: str = "lang", text: str = "text", key: str = "doc_id", per_lang: int = PER_LANG) -> Model:
-    """Count n-grams in at most per_lang documents of each language and smooth the shares.
+def learn(docs: DataFrame, lang: str = "lang", text: str = "text", key: str = "doc_id", per_lang: int = PER_LANG,
+          langs: int = LANGS) -> Model:
+    """Count n-grams in at most per_lang documents of each of the commonest languages and smooth the shares.
 
-    The three lengths of n-grams tell of the same letters, so each has a third of the weight.
+    The three lengths of n-grams tell of the same letters, so each has a third of the weight. Of rows with one key and
+    language the text with the least hash counts. Languages beyond the commonest are never predicted.
     """
-    ids = bounded_sample(docs.select(lang, key).distinct(), lang, key, per_lang)
-    rows = docs.where(F.col(text).isNotNull()).join(F.broadcast(ids), [lang, key]).dropDuplicates([lang, key])
-    rows = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    rows = docs.select(F.col(lang).alias("lang"), F.col(key).alias("key"), F.col(text).alias("text")).where("text IS NOT NULL")
+    common = rows.where("lang IS NOT NULL").groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(langs)
+    # as many rows as languages are learned
+    known = docs.select(F.col(lang).alias("lang"), F.col(key).alias("key")).join(F.broadcast(common.select("lang")), "lang")
+    ids = bounded_sample(known.distinct(), "lang", "key", per_lang)
+    rows = rows.join(F.broadcast(ids), ["lang", "key"]).groupBy("lang", "key").agg(
+        F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text")
+    ).select("lang", "text")
 
     def run(batches):
-        import re
         from collections import Counter
 
         import pyarrow as pa
 
-        find, counts = re.compile(WORD).findall, {}
+        find, counts = re.compile(word()).findall, {}
         for batch in batches:
             words = {}
             for name, t in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 words.setdefault(name, Counter()).update(find(t.lower()))
             for name, seen in words.items():
                 into = counts.setdefault(name, np.zeros(1 << BITS, np.int64))
-                for word, k in seen.items():
-                    np.add.at(into, grams(word), k)
+                for w, k in seen.items():
+                    np.add.at(into, grams(w), k)
         for name, into in counts.items():
             at = np.flatnonzero(into)
             yield pa.RecordBatch.from_pydict({
@@ -83,46 +102,78 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text", key: str = "d
     return Model(langs, np.log((table + SMOOTHING) / (table.sum(axis=0) + SMOOTHING * kinds)).astype(np.float32) / 3)
 
 
-def mixture(logs: np.ndarray, counts: np.ndarray, starts: np.ndarray, allowed: np.ndarray, steps: int = STEPS):
-    """Shares and log-likelihood of each document: rows starts[i]:starts[i+1] are its words, logs by language.
+def _rows_of(starts: np.ndarray, sizes: np.ndarray, keep: np.ndarray) -> np.ndarray:
+    """Places of the words of the kept documents."""
+    sizes = sizes[keep]
+    return np.repeat(starts[keep] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
+def _steps(logs: np.ndarray, counts: np.ndarray, starts: np.ndarray, parts: np.ndarray, done):
+    """Steps of expectation-maximisation from the given shares, until done tells which documents are settled.
 
-    allowed tells for each document which languages may have a share.
+    Gives the shares and log-likelihood of each document. done sees documents, their log-likelihood, and the most that any
+    shares of the same languages reach: with gains g (by which a step multiplies the shares), at most words x log(max g) above.
     """
     sizes = np.diff(np.append(starts, len(counts)))
-    doc = np.repeat(np.arange(len(starts)), sizes)
-    top = logs.max(axis=1, keepdims=True)
-    like = np.exp(logs - top) * allowed[doc]
+    top = logs.max(axis=1)
+    like, base = np.exp(logs - top[:, None]), np.add.reduceat(counts * top, starts)
+    out, value = parts.copy(), np.zeros(len(starts))
+    here, begin = np.arange(len(starts)), starts
+    while len(here):
+        doc = np.repeat(np.arange(len(here)), sizes[here])
+        total = np.add.reduceat(counts, begin)
+        mixed = (like * parts[doc]).sum(axis=1).clip(1e-300)
+        gains = np.add.reduceat(like * (counts / mixed)[:, None], begin, axis=0) / total[:, None]
+        value[here] = np.add.reduceat(counts * np.log(mixed), begin) + base[here]
+        out[here] = parts
+        most = value[here] + total * np.log(np.where(parts > 0, gains, 0).max(axis=1).clip(1))
+        stay = np.flatnonzero(~done(here, value[here], most))
+        if len(stay) < len(here):
+            rows = _rows_of(begin, sizes[here], stay)
+            like, counts = like[rows], counts[rows]
+            here, parts, gains = here[stay], parts[stay], gains[stay]
+            begin = np.cumsum(sizes[here]) - sizes[here]
+        parts = parts * gains
+        parts /= parts.sum(axis=1, keepdims=True)
+    return out, value
+
+
+def mixture(logs: np.ndarray, counts: np.ndarray, starts: np.ndarray, allowed: np.ndarray, tolerance: float = TOLERANCE):
+    """Shares and log-likelihood of each document, within the tolerance of the largest: rows starts[i]:starts[i+1] are its words.
+
+    logs are by language; allowed tells for each document which languages may have a share.
+    """
     parts = allowed / allowed.sum(axis=1, keepdims=True)
-    total = np.add.reduceat(counts, starts)[:, None]
-    for _ in range(steps):
-        part = like * parts[doc]
-        part *= (counts / part.sum(axis=1).clip(1e-30))[:, None]
-        parts = np.add.reduceat(part, starts, axis=0) / total
-    fit = np.log((like * parts[doc]).sum(axis=1).clip(1e-30)) + top[:, 0]
-    return parts, np.add.reduceat(counts * fit, starts)
+    return _steps(logs, counts, starts, parts, lambda at, value, most: most - value < tolerance)
 
 
 def choose(logs: np.ndarray, counts: np.ndarray, starts: np.ndarray, penalty: float = PENALTY) -> np.ndarray:
     """The shares of each document's languages in the set with the best penalised likelihood."""
     n = logs.shape[1]
     single = np.add.reduceat(logs * counts[:, None], starts, axis=0)
-    best = single.argmax(axis=1)
+    best, value = single.argmax(axis=1), single.max(axis=1)
     out = np.zeros((len(starts), n))
     out[np.arange(len(starts)), best] = 1
     if n == 1:
         return out
     price = penalty + 0.5 * np.log(np.add.reduceat(counts, starts) + 1)
-    every = np.ones((len(starts), n))
-    parts, full = mixture(logs, counts, starts, every)
-    # no set does better than all languages; where these don't pay for a second one, the best one stays
-    open_ = np.flatnonzero(full - single.max(axis=1) > price)
+    # No set does better than all languages: where these don't pay for a second one, the best one stays. Most documents are
+    # settled in the first step, from either side.
+    near = np.full((len(starts), n), (1 - SURE) / (n - 1))
+    near[np.arange(len(starts)), best] = SURE
+
+    def settled(at, now, most):
+        return (most - value[at] <= price[at]) | (now - value[at] > price[at]) | (most - now < TOLERANCE)
+
+    full = _steps(logs, counts, starts, near, settled)[1]
+    open_ = np.flatnonzero(full - value > price)
     if not len(open_):
         return out
-    sizes = np.diff(np.append(starts, len(counts)))[open_]
-    rows = np.concatenate([np.arange(s, s + k) for s, k in zip(starts[open_], sizes)])
-    logs, counts, starts = logs[rows], counts[rows], np.cumsum(sizes) - sizes
-    order = np.argsort(-parts[open_], axis=1, kind="stable")
-    value = single[open_].max(axis=1)
+    sizes = np.diff(np.append(starts, len(counts)))
+    rows = _rows_of(starts, sizes, open_)
+    logs, counts, sizes = logs[rows], counts[rows], sizes[open_]
+    starts, value = np.cumsum(sizes) - sizes, value[open_]
+    order = np.argsort(-mixture(logs, counts, starts, np.ones((len(open_), n)))[0], axis=1, kind="stable")
     for k in range(2, n + 1):
         allowed = np.zeros((len(open_), n))
         np.put_along_axis(allowed, order[:, :k], 1, axis=1)
@@ -146,12 +197,11 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     shared = share(docs.sparkSession, model)
 
     def run(batches):
-        import re
         from collections import Counter
 
         import pyarrow as pa
 
-        model, find, places = shared(), re.compile(WORD).findall, {}
+        model, find, places = shared(), re.compile(word()).findall, {}
         n = len(model.langs)
         known, used = np.zeros((1 << 12, n), np.float32), 0
         for batch in batches:
