@@ -8,8 +8,8 @@ the order of the shares, the one with the best likelihood less a penalty per lan
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -32,11 +32,18 @@ LANGS = 200
 MEMORY = 200_000
 
 
-@cache
-def word() -> str:
-    """A pattern of runs of letters: what `\\w` takes without digits, other numerals and the low line."""
-    numerals = "".join(c for c in map(chr, range(0x110000)) if c.isnumeric() and not c.isdecimal() and not c.isalpha())
-    return rf"[^\W\d_{re.escape(numerals)}]+"
+ALPHANUMERIC = re.compile(r"[^\W\d_]+")
+
+
+def words_of(text: str) -> Counter[str]:
+    """Runs of letters, lower-cased, with their counts."""
+    found = Counter(ALPHANUMERIC.findall(text.lower()))
+    # some numerals are neither letters nor digits; they are rare, and a pattern that knows them all is slow
+    for w in [w for w in found if not w.isalpha()]:
+        k = found.pop(w)
+        for x in "".join(c if c.isalpha() else " " for c in w).split():
+            found[x] += k
+    return found
 
 
 def grams(word: str) -> list[int]:
@@ -71,15 +78,13 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text", key: str = "d
     ).select("lang", "text")
 
     def run(batches):
-        from collections import Counter
-
         import pyarrow as pa
 
-        find, counts = re.compile(word()).findall, {}
+        counts = {}
         for batch in batches:
             words = {}
             for name, t in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                words.setdefault(name, Counter()).update(find(t.lower()))
+                words.setdefault(name, Counter()).update(words_of(t))
             for name, seen in words.items():
                 into = counts.setdefault(name, np.zeros(1 << BITS, np.int64))
                 for w, k in seen.items():
@@ -197,16 +202,14 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     shared = share(docs.sparkSession, model)
 
     def run(batches):
-        from collections import Counter
-
         import pyarrow as pa
 
-        model, find, places = shared(), re.compile(word()).findall, {}
+        model, places = shared(), {}
         n = len(model.langs)
         known, used = np.zeros((1 << 12, n), np.float32), 0
         for batch in batches:
             for part in slices(batch, text):
-                found = [Counter(find(t.lower())) if t and n else {} for t in part.column(text).to_pylist()]
+                found = [words_of(t) if t and n else {} for t in part.column(text).to_pylist()]
                 if len(places) > MEMORY:
                     places.clear()
                     used = 0
