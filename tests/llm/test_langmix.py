@@ -146,3 +146,14 @@ def test_query(spark):
     assert len(got) == len(docs)
     assert all(r.held_out == (crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 for r in got)
     assert np.mean([r.lang_pred == docs[r.doc_id].lang for r in got if r.held_out]) > 0.98
+
+
+def test_grams_of_words_together_are_those_of_each():
+    words = ["a", "été", "straße", "x" * 50, "日本"]
+    starts, hashed, here = langmix.grams(words)
+    assert [int(n.sum()) for n in here] == [sum(len(w) for w in words), sum(len(w) + 1 for w in words), sum(len(w) for w in words)]
+    for i, w in enumerate(words):
+        _, alone, use = langmix.grams([w])
+        end = starts[i] + len(w) + 2
+        for a, b, x, y in zip(hashed, here, alone, use):
+            assert (a[starts[i]:end][b[starts[i]:end]] == x[y]).all()

@@ -46,13 +46,22 @@ def words_of(text: str) -> Counter[str]:
     return found
 
 
-def grams(word: str) -> list[int]:
-    """Hashes of a word's n-grams of one to three letters, with marks at its ends."""
-    from zlib import crc32
-
-    raw = f"<{word}>"
-    mask = (1 << BITS) - 1
-    return [crc32(raw[i:i + n].encode("utf-8", "replace")) & mask for n in (1, 2, 3) for i in range(n == 1, len(raw) - n + (n > 1))]
+def grams(words: list[str]) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """Where each word starts in the letters of all, with marks at its ends, and for n-grams of one to three letters the hash
+    at each place and whether one starts there."""
+    codes = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    starts = np.cumsum(sizes) - sizes
+    left = np.repeat(starts + sizes, sizes) - np.arange(len(codes))  # letters from a place to its word's end
+    hashed, here, mixed = [], [], codes.copy()
+    for n in (1, 2, 3):
+        if n > 1:
+            mixed[:1 - n] = mixed[:1 - n] * np.uint64(0x9E3779B97F4A7C15) + codes[n - 1:]
+        value = (mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+        hashed.append((value >> np.uint64(64 - BITS)).astype(np.int64))
+        # a mark by itself tells nothing
+        here.append((left >= n) if n > 1 else (left > 1) & (left < np.repeat(sizes, sizes)))
+    return starts, hashed, here
 
 
 @dataclass
@@ -87,8 +96,11 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text", key: str = "d
                 words.setdefault(name, Counter()).update(words_of(t))
             for name, seen in words.items():
                 into = counts.setdefault(name, np.zeros(1 << BITS, np.int64))
-                for w, k in seen.items():
-                    np.add.at(into, grams(w), k)
+                if seen:
+                    starts, hashed, here = grams(list(seen))
+                    k = np.repeat(np.fromiter(seen.values(), np.int64), np.diff(np.append(starts, len(hashed[0]))))
+                    for at, use in zip(hashed, here):
+                        np.add.at(into, at[use], k[use])
         for name, into in counts.items():
             at = np.flatnonzero(into)
             yield pa.RecordBatch.from_pydict({
@@ -215,9 +227,8 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                     used = 0
                 new = list({w for c in found for w in c if w not in places})
                 if new:
-                    lists = [grams(w) for w in new]
-                    sizes = np.array([len(x) for x in lists])
-                    logs = np.add.reduceat(model.logs[np.concatenate(lists)], np.cumsum(sizes) - sizes, axis=0)
+                    starts, hashed, here = grams(new)
+                    logs = sum(np.add.reduceat(model.logs[at] * use[:, None], starts, axis=0) for at, use in zip(hashed, here))
                     while used + len(new) > len(known):
                         known = np.concatenate((known, np.zeros_like(known)))
                     known[used:used + len(new)] = logs
