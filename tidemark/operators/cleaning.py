@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.numbers import try_number
 from tidemark.functions.text import is_blank
 from tidemark.operators.ordering import exact_median
 
@@ -101,6 +102,6 @@ def repair_negative(column: str, places: int = 2) -> Column:
 
 
 def drop_non_positive(df: DataFrame, column: str) -> DataFrame:
-    """Keep rows whose value is a number above zero; text that is no number is dropped too."""
-    number = F.col(column).cast("string").try_cast("double")
+    """Keep rows whose value is a number above zero; text that is no number, as try_number() reads it, is dropped too."""
+    number = try_number(F.col(column).cast("string"))
     return df.withColumn(column, number).filter(F.col(column) > 0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.cleaning import dedup_first
@@ -22,12 +22,25 @@ def sorted_by(df: DataFrame, order: Sequence[str]) -> DataFrame:
     return df.orderBy(*[F.col(c[1:]).desc() if c.startswith("-") else F.col(c).asc() for c in order])
 
 
-def write_single_csv(df: DataFrame, path: str) -> None:
+SMALL = 1_000_000
+
+
+def write_single_csv(df: DataFrame, path: str, max_rows: int = SMALL) -> None:
     """One CSV file, for results that grouping or a limit keeps small; it is written by one task.
 
-    The work before the last shuffle stays spread. Large results are written with write_partitioned or as Parquet.
+    More than max_rows are refused: the write stops one row beyond, and the path keeps what it held before. The rows are
+    counted as they are written, and the work before the last shuffle stays spread.
     """
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    spark, counted, aside = df.sparkSession, Observation(), f"{path.rstrip('/')}-unfinished"
+    rows = df.limit(max_rows + 1).coalesce(1).observe(counted, F.count(F.lit(1)).alias("n"))
+    rows.write.mode("overwrite").option("header", True).csv(aside)
+    folder, target = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in (aside, path))
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if counted.get["n"] > max_rows:
+        fs.delete(folder, True)
+        raise ValueError(f"more than {max_rows} rows for the single file {path}")
+    fs.delete(target, True)
+    fs.rename(folder, target)
 
 
 def export_reports(
