@@ -2,13 +2,16 @@
 
 import datetime as dt
 import random
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.history import as_of, current, scd2
-from tidemark.schemas import CHANGES
-from tidemark.streaming.history import apply_changes, read_history
+from tidemark.plans.calls import customer_history, split_changes
+from tidemark.schemas import CHANGES, HISTORY
+from tidemark.streaming import history as store
+from tidemark.streaming.history import apply_changes, read_history, work_log
 
 SCHEMA = "k int, city string, plan string, age int, op string, at timestamp_ntz"
 
@@ -146,3 +149,81 @@ def test_null_keys_and_sequences(spark):
     assert {(r.k, r.city, r["__start_at"], r["__end_at"]) for r in got.collect()} >= {
         (None, "A", 1, 2), (None, "B", 2, None), (1, "B", 6, None)
     }
+
+
+def batches(n, rows, seed, keys=30):
+    """Raw batches over a year: most changes in order, some late, some delivered again, and a third on one customer."""
+    r, out, at = random.Random(seed), [], dt.datetime(2024, 1, 1)
+    for i in range(n):
+        batch = []
+        for _ in range(rows):
+            at += dt.timedelta(hours=r.randint(0, 24 * 300 // (n * rows)) + 1)
+            k = 1 if r.random() < 0.33 else r.randint(2, keys)
+            op = r.choice(["INSERT", "UPDATE", "UPDATE", "UPDATE", "DELETE"])
+            batch.append((str(k), r.choice("AB"), r.choice("xy"), str(r.randint(1, 99)), "2023-01-01", op, at.isoformat(" ")))
+        if i % 3 == 2:
+            late = dt.datetime(2024, 1, 1) + (at - dt.datetime(2024, 1, 1)) * r.random()
+            batch += [(str(r.randint(1, keys)), r.choice("AB"), "x", "7", "2023-01-01", r.choice(["UPDATE", "DELETE"]),
+                       (late + dt.timedelta(minutes=m)).isoformat(" ")) for m in range(3)]
+            batch += r.sample(out[-1], 5)  # delivered again
+            batch += [(*b[:3], "50", *b[4:]) for b in r.sample(out[r.randrange(len(out))], 3)]  # and with another value
+        out.append(batch)
+    return out
+
+
+def test_twenty_batches_equal_the_whole_log_and_read_what_they_touch(spark, tmp_path):
+    base, log = str(tmp_path), []
+    for i, batch in enumerate(batches(20, 25, 4)):
+        log += batch
+        apply_changes(changes(spark, batch), i, base, buckets=4, compact_rows=40)
+        if i % 6 == 5:
+            apply_changes(changes(spark, batch), i, base, buckets=4)
+            assert sorted(read_history(spark, base).collect(), key=str) == sorted(
+                customer_history(split_changes(changes(spark, log))[0]).select(*HISTORY.names).collect(), key=str)
+    work = {r.batch: r for r in work_log(spark, base).collect()}
+    assert len(work) == 20 and spark.read.parquet(f"{base}/compacted").count() > 4
+    in_order = [work[i] for i in range(20) if i % 3 != 2]
+    assert all(w.versions_read == w.moments_read == 0 for w in in_order)
+    # heads of 30 customers in the bases and in a few deltas, as many at the end as in the middle of the log
+    assert max(w.heads_read for w in in_order) < 30 * 6
+    assert max(w.moments_read for w in work.values()) < len(log)
+
+
+def test_a_late_change_reads_months_from_its_version_on(spark, tmp_path):
+    base = str(tmp_path)
+    for i in range(12):
+        batch = [(str(k), "AB"[(i + d) % 2], "x", "30", "2023-01-01", "UPDATE", f"2024-{i + 1:02}-{d + 1:02} 10:00:00") for k in range(4) for d in range(5)]
+        apply_changes(changes(spark, batch), i, base, buckets=2, compact_rows=20)
+    apply_changes(changes(spark, [("1", "C", "y", "30", "2023-01-01", "UPDATE", "2024-11-02 12:00:00")]), 12, base, buckets=2)
+    last = [r for r in work_log(spark, base).collect() if r.batch == 12][0]
+    # the two months from the late change on, of the customers in its bucket
+    assert 0 < last.moments_read <= 2 * 5 * 4 + 1 and last.versions_read <= 60
+    one = read_history(spark, base).where("customer_id = 1 AND city = 'C'").collect()
+    assert [(r["__start_at"], r["__end_at"]) for r in one] == [(t("2024-11-02T12:00"), t("2024-11-03T10:00"))]
+
+
+def test_broken_off_batches_and_compactions_are_not_seen(spark, tmp_path, monkeypatch):
+    base, log = str(tmp_path), batches(4, 20, 5)
+    for i in range(3):
+        apply_changes(changes(spark, log[i]), i, base, buckets=2, compact_rows=10**9)
+    want = sorted(read_history(spark, base).collect(), key=str)
+    made = store.Store.write
+
+    def fails(self, rows, name, batch_id):
+        made(self, rows, name, batch_id)
+        if name == "cuts":
+            raise RuntimeError("lost")
+
+    monkeypatch.setattr(store.Store, "write", fails)
+    with pytest.raises(RuntimeError):
+        apply_changes(changes(spark, log[3]), 3, base, buckets=2)
+    assert sorted(read_history(spark, base).collect(), key=str) == want
+    monkeypatch.undo()
+    # a compaction that ends before its mark
+    shutil.copytree(f"{base}/delta/versions/batch=0", f"{base}/base/versions/upto=2", dirs_exist_ok=True)
+    assert sorted(read_history(spark, base).collect(), key=str) == want
+    assert sorted(store.compact(spark, base)) == [0, 1]
+    assert sorted(read_history(spark, base).collect(), key=str) == want
+    apply_changes(changes(spark, log[3]), 3, base, buckets=2)
+    assert sorted(read_history(spark, base).collect(), key=str) == sorted(
+        customer_history(split_changes(changes(spark, sum(log, [])))[0]).select(*HISTORY.names).collect(), key=str)

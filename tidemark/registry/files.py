@@ -327,3 +327,15 @@ def cdc_6(spark, sf):
         part.coalesce(8).write.mode("append").option("header", True).csv(landing)
         SH.follow_changes(spark, landing, base, f"{base}/checkpoint", buckets=16)
     return SH.read_history(spark, base)
+
+
+@query("cdc_6_history_in_many_batches", RC.sql(RC.HISTORY, "SELECT * FROM history"))
+def cdc_6_many(spark, sf):
+    """Four batches in which every change is late to some other, and a fifth that delivers a part again; compacted between."""
+    base, landing = scratch_path(spark, "history"), scratch_path(spark, "change-files")
+    changes = A.customer_changes(spark, sf)
+    part = F.pmod(F.xxhash64(*changes.columns), F.lit(8))
+    for i, held in enumerate((part < 4, part.between(4, 5), part == 6, part == 7, part.isin(2, 6))):
+        changes.where(held).write.option("header", True).csv(f"{landing}/{i}")
+        SH.follow_changes(spark, f"{landing}/*", base, f"{base}/checkpoint", buckets=4, compact_rows=1000)
+    return SH.read_history(spark, base)
