@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.plans import calls as P
 from tidemark.plans import retail as R
 from tidemark.registry import calls as RC
-from tidemark.registry.base import ORACLES, query
+from tidemark.registry.base import ORACLES, query, with_tables
 from tidemark.registry.tables import sql
 from tidemark.schemas import CALLS, EMPLOYEES
 from tidemark.session import scratch_path
@@ -20,6 +20,7 @@ from tidemark.sources import adapters as A
 from tidemark.sources import files as S
 from tidemark.streaming import history as SH
 from tidemark.streaming import ingest as SI
+from tidemark.streaming import late as SL
 
 EMP = "employee_id, name, department, salary, city, join_date, years_exp, status"
 
@@ -339,3 +340,54 @@ def cdc_6_many(spark, sf):
         changes.where(held).write.option("header", True).csv(f"{landing}/{i}")
         SH.follow_changes(spark, f"{landing}/*", base, f"{base}/checkpoint", buckets=4, compact_rows=1000)
     return SH.read_history(spark, base)
+
+
+# Four deliveries of eight days each; the calls of ten agents arrive three days late, so those of a delivery's last days
+# come with the next one.
+DELIVERED = RC.CTES | {
+    "delivered": """
+        SELECT *, CAST(TIMESTAMP '1970-01-01' + to_seconds(epoch_timestamp) AS TIMESTAMP) AS event_ts,
+               least((epoch_timestamp + CASE WHEN CAST(agent_id[2:] AS INTEGER) BETWEEN 30 AND 39 THEN 259200 ELSE 0 END
+                      - 1704067200) // 691200, 3) AS part
+        FROM call_events WHERE duration_sec >= 0 AND epoch_timestamp IS NOT NULL AND call_id IS NOT NULL""",
+    "limits": """
+        SELECT part, max(max(event_ts)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+               - INTERVAL 30 MINUTES AS watermark
+        FROM delivered GROUP BY part""",
+    "judged": "SELECT *, coalesce(event_ts <= watermark, false) AS is_late FROM delivered JOIN limits USING (part)",
+}
+JUDGED = "call_rows call_events delivered limits judged"
+
+
+def late_calls(spark, sf):
+    """The four deliveries taken up one after another; gives the folder and the rows of state held after the last."""
+    base, landing = scratch_path(spark, "late-calls"), scratch_path(spark, "deliveries")
+    calls = A.calls(spark, sf)
+    agent = F.substring("agent_id", 2, 9).cast("int")
+    arrival = F.col("epoch_timestamp") + F.when(agent.between(30, 39), 259200).otherwise(0)
+    part = F.coalesce(F.least(F.floor((arrival - 1704067200) / 691200), F.lit(3)), F.lit(0))
+    held = 0
+    for i in range(4):
+        calls.where(part == i).write.json(f"{landing}/{i}")
+        held = SL.follow_calls(spark, f"{landing}/*", base)
+    return base, held
+
+
+@query("str_3_late_rows", with_tables(DELIVERED, JUDGED, """
+    SELECT call_id, event_ts, watermark, count(*) AS n_rows FROM judged WHERE is_late GROUP BY ALL"""))
+def str_3_late(spark, sf):
+    base, _ = late_calls(spark, sf)
+    late = spark.read.parquet(f"{base}/late")
+    return late.groupBy("call_id", "event_ts", "watermark").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("str_2_bounded_state", with_tables(DELIVERED, JUDGED, """
+    SELECT (SELECT count(*) FROM judged WHERE is_late) AS n_late,
+           count(*) AS n_kept, count(DISTINCT call_id) AS n_calls,
+           count(*) FILTER (event_ts + INTERVAL 30 MINUTES > newest - INTERVAL 30 MINUTES) AS n_state
+    FROM (SELECT *, max(event_ts) OVER () AS newest FROM (SELECT DISTINCT call_id, event_ts FROM judged WHERE NOT is_late))"""))
+def str_2_state(spark, sf):
+    base, held = late_calls(spark, sf)
+    late = spark.read.parquet(f"{base}/late").agg(F.count(F.lit(1)).alias("n_late"))
+    kept = spark.read.parquet(f"{base}/kept").agg(F.count(F.lit(1)).alias("n_kept"), F.count_distinct("call_id").alias("n_calls"))
+    return late.crossJoin(kept).withColumn("n_state", F.lit(held).cast("long"))

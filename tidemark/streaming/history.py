@@ -24,7 +24,7 @@ readers don't see them and the next attempt overwrites them.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,6 +94,7 @@ class Store:
         newest = self.manifest().agg(F.max("batch")).first()[0]
         return -1 if newest is None else newest
 
+    @cached_property
     def segments(self) -> dict[int, tuple[int, int]]:
         """Up to which batch each bucket's base reaches and how many versions it holds; as many entries as buckets."""
         rows = _table(self.spark, f"{self.base}/compacted", COMPACTED, ["upto"])
@@ -106,7 +107,7 @@ class Store:
         since gives the buckets that are wanted and the first month of each ("" for all).
         """
         schema, below = TABLES[name]
-        segments = self.segments()
+        segments = self.segments
         places = ["bucket", *below]
         delta = _table(self.spark, f"{self.base}/delta/{name}", schema, ["batch", *places]).where(F.col("batch") < before)
         parts = [delta]
@@ -244,7 +245,7 @@ def compact(spark: SparkSession, base: str, least: int = 0) -> list[int]:
     Gives those buckets. The mark is written last: until then readers go on with the old base and the deltas.
     """
     store = Store(spark, base)
-    upto, segments = store.committed(), store.segments()
+    upto, segments = store.committed(), store.segments
     rows = store.manifest().where("bucket IS NOT NULL").groupBy("bucket", "batch").agg(F.sum("n_versions").alias("n"))
     past = [F.col("bucket").isin(bs) & (F.col("batch") <= u) for u, bs in _grouped({b: u for b, (u, _) in segments.items()})]
     rows = rows.where(~reduce(lambda a, b: a | b, past, F.lit(False))).groupBy("bucket").agg(F.sum("n").alias("n"))
