@@ -18,6 +18,7 @@ from tidemark.session import scratch_path
 from tidemark.sinks import files as K
 from tidemark.sources import adapters as A
 from tidemark.sources import files as S
+from tidemark.streaming import expectations as SE
 from tidemark.streaming import history as SH
 from tidemark.streaming import ingest as SI
 from tidemark.streaming import late as SL
@@ -391,3 +392,21 @@ def str_2_state(spark, sf):
     late = spark.read.parquet(f"{base}/late").agg(F.count(F.lit(1)).alias("n_late"))
     kept = spark.read.parquet(f"{base}/kept").agg(F.count(F.lit(1)).alias("n_kept"), F.count_distinct("call_id").alias("n_calls"))
     return late.crossJoin(kept).withColumn("n_state", F.lit(held).cast("long"))
+
+
+def expectation_batches(spark, sf, rows, kind, ingest, rules):
+    """The rows in eight files, two a micro-batch, and what the batches have counted in all."""
+    base = scratch_path(spark, "expectations")
+    rows.repartition(8).write.option("header", True).format(kind).save(f"{base}/landing")
+    ingest(spark, f"{base}/landing", f"{base}/table", f"{base}/metrics", f"{base}/checkpoint", rules, max_files=2)
+    return SE.totals(spark, f"{base}/metrics")
+
+
+@query("dq_6_stream_of_calls", ORACLES["dq_6_bronze_calls"])
+def dq_6_stream_calls(spark, sf):
+    return expectation_batches(spark, sf, A.calls(spark, sf), "json", SE.ingest_calls_counted, P.bronze_call_rules())
+
+
+@query("dq_11_stream_of_changes", ORACLES["dq_6_bronze_changes"])
+def dq_11_stream_changes(spark, sf):
+    return expectation_batches(spark, sf, A.customer_changes(spark, sf), "csv", SE.ingest_changes_counted, P.bronze_change_rules())
