@@ -8,19 +8,21 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators import history as H
 from tidemark.plans import calls as P
 from tidemark.plans import retail as R
 from tidemark.registry import calls as RC
 from tidemark.registry.base import ORACLES, query, with_tables
 from tidemark.registry.tables import sql
 from tidemark.schemas import CALLS, EMPLOYEES
-from tidemark.session import scratch_path
+from tidemark.session import freeze, scratch_path
 from tidemark.sinks import files as K
 from tidemark.sources import adapters as A
 from tidemark.sources import files as S
 from tidemark.streaming import expectations as SE
 from tidemark.streaming import history as SH
 from tidemark.streaming import ingest as SI
+from tidemark.streaming import kpis as SK
 from tidemark.streaming import late as SL
 
 EMP = "employee_id, name, department, salary, city, join_date, years_exp, status"
@@ -410,3 +412,28 @@ def dq_6_stream_calls(spark, sf):
 @query("dq_11_stream_of_changes", ORACLES["dq_6_bronze_changes"])
 def dq_11_stream_changes(spark, sf):
     return expectation_batches(spark, sf, A.customer_changes(spark, sf), "csv", SE.ingest_changes_counted, P.bronze_change_rules())
+
+
+def kpi_stream(name):
+    """A KPI after three batches of calls, the later two with a part delivered again."""
+
+    def run(spark, sf):
+        base, landing = scratch_path(spark, "kpis"), scratch_path(spark, "call-files")
+        calls = A.calls(spark, sf)
+        customers = None
+        if name in ("region_sentiment", "subscription_sentiment"):
+            customers = freeze(H.current(RC.history(spark, sf)).select("customer_id", "city", "subscription_type"))
+        part = F.pmod(F.xxhash64("epoch_timestamp", "agent_id", "duration_sec"), F.lit(6))
+        for i, held in enumerate((part < 3, part.between(2, 4), part.isin(0, 5))):
+            calls.where(held).write.json(f"{landing}/{i}")
+            SK.follow_calls(spark, f"{landing}/*", base, customers)
+        return SK.read_kpi(spark, base, name)
+
+    return run
+
+
+for _id, _table, _oracle in (
+    ("kpi_1", "sentiment_daily", "kpi_1_sentiment_daily"), ("kpi_2", "call_volume_daily", "kpi_2_call_volume_daily"),
+    ("kpi_4", "region_sentiment", "kpi_4_region_sentiment"), ("kpi_5", "subscription_sentiment", "kpi_5_subscription_sentiment"),
+):
+    query(f"{_id}_stream_{_table}", ORACLES[_oracle])(kpi_stream(_table))
