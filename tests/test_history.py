@@ -7,6 +7,7 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import ordering
 from tidemark.operators.history import as_of, current, scd2
 from tidemark.plans.calls import customer_history, split_changes
 from tidemark.schemas import CHANGES, HISTORY
@@ -88,8 +89,10 @@ def test_delete_leaves_a_gap_and_untracked_changes_update_in_place(spark):
     assert inside.count() == 0
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_random_logs(spark, seed):
+@pytest.mark.parametrize("seed,hot", [(1, 10**6), (2, 10**6), (2, 50), (3, 5), (4, 0)])
+def test_random_logs(spark, seed, hot, monkeypatch):
+    """Also with some or all keys cut into ranges."""
+    monkeypatch.setattr(ordering, "HOT", hot)
     r = random.Random(seed)
     data = []
     for _ in range(400):
@@ -132,15 +135,20 @@ def test_a_sequence_of_numbers(spark):
     ]
 
 
-def test_a_third_of_all_rows_on_one_key_and_day_spread_over_ranges(spark):
+def test_a_third_of_all_rows_on_one_key_and_day_spread_over_ranges(spark, monkeypatch):
     """And two thousand busy keys beside it: the rows of the hot key reach several ranges."""
-    from tidemark.operators.ordering import RANGE, in_ranges
+    from tidemark.operators.ordering import RANGE, in_key_ranges, in_ranges
 
+    monkeypatch.setattr(ordering, "HOT", 1000)
     data = [(1, "AB"[i // 3 % 2], "x", i, "UPDATE", f"2024-01-01T{i // 3600:02}:{i // 60 % 60:02}:{i % 60:02}") for i in range(4000)]
     data += [(k, "AB"[i % 2], "x", i, "UPDATE", f"2024-01-0{i + 1}T10:00") for k in range(2, 2002) for i in range(4)]
     assert sorted(versions(history(spark, data)), key=lambda v: v[:2]) == by_hand(data)
     rows = in_ranges(spark.createDataFrame([(r[0], r[5]) for r in data], "k int, at string"), [F.col("k"), F.col("at")])
     assert rows.filter("k = 1").select(RANGE).distinct().count() > 1
+    log = spark.createDataFrame([(r[0], r[5]) for r in data], "k int, at string")
+    cut = in_key_ranges(log, ["k"], [F.col("at")], ordering.hot_keys(log, ["k"]))
+    found = {r.hot: (r.n, r.m) for r in cut.groupBy((F.col("k") == 1).alias("hot")).agg(F.count_distinct(RANGE).alias("n"), F.count(F.lit(1)).alias("m")).collect()}
+    assert found[True][0] > 1 and found[True][1] == 4000 and found[False] == (1, 8000)
 
 
 def test_null_keys_and_sequences(spark):

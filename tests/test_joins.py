@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import joins
+from tidemark.operators import joins, ordering
 
 
 def tables(spark):
@@ -35,7 +35,9 @@ def test_known_and_orphans_split_the_rows(spark):
     assert lost.filter(F.col("k").between(0, 19)).count() == 0
 
 
-def test_point_in_time(spark):
+@pytest.mark.parametrize("hot", [10**6, 1, 0])
+def test_point_in_time(spark, hot, monkeypatch):
+    monkeypatch.setattr(ordering, "HOT", hot)
     day = dt.datetime(2024, 1, 1)
     versions, r = [], random.Random(9)
     for k in range(6):

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemark.operators import ordering
 from tidemark.operators.ordering import exact_median, exact_quantiles, number_by_day, numbered, ranked, with_ntile, with_ntiles, with_rank
 
 SHAPES = {
@@ -91,7 +92,9 @@ def test_quantiles_are_exact(spark, shape, group):
         assert got[r[0] if group else 0] == pytest.approx(tuple(r[-5:]))
 
 
-def test_numbering_by_day(spark):
+@pytest.mark.parametrize("hot", [10**6, 100])
+def test_numbering_by_day(spark, hot, monkeypatch):
+    monkeypatch.setattr(ordering, "HOT", hot)
     r = random.Random(3)
     keys = lambda: "hot" if r.random() < 0.5 else r.choice([None, "k1", "k2", "k3"])
     data = [(keys(), r.randint(1, 9), i) for i in range(800)]

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordering import RANGE, cell_of, in_ranges
+from tidemark.operators.ordering import RANGE, cell_of, hot_keys, in_key_ranges
+from tidemark.session import freeze
 
 
 def known_only(df: DataFrame, key: str, parent: DataFrame, parent_key: str | None = None) -> DataFrame:
@@ -56,10 +57,10 @@ def point_in_time(
 ) -> DataFrame:
     """Left join to the version valid at the fact's time: start <= at < end, open end = still valid.
 
-    Versions of one key do not overlap, so a fact matches once at most. Facts and version starts are put in one
-    order (key, time) by ranges; inside a range a fact sees the last version that started, and the version still
-    open at a range's end is handed on. Work does not grow with facts times versions, and no key or day is left
-    to one task. Facts without key or time match nothing.
+    Versions of one key do not overlap, so a fact matches once at most. Facts and version starts of a key are put in one order
+    of time, in which a fact sees the last version that started; work does not grow with facts times versions. Keys with
+    very many rows are cut into ranges of time, and the version still open at a range's end is handed on, so no key or day
+    is left to one task. Facts without key or time match nothing.
     """
     keep = [c for c in versions.columns if c != key]
     placeable = F.col(key).isNotNull() & F.col(at).isNotNull()
@@ -74,22 +75,23 @@ def point_in_time(
         F.col(key).alias("_key"), F.col(start).alias("_t"), F.lit(0).alias("_kind"), F.lit(None).cast(fact_type).alias("_fact"),
         F.struct(*keep).alias("_version"),
     )
-    by = ["_key", RANGE]
-    rows = in_ranges(fact_rows.unionByName(version_rows), [F.col(c) for c in ("_key", "_t", "_kind")])
+    # stored, so that counting its keys does not evaluate it again
+    rows = freeze(fact_rows.unionByName(version_rows))
+    hot = hot_keys(rows, ["_key"])
+    by = ["_key"] if hot is None else ["_key", RANGE]
+    if hot is not None:
+        rows = in_key_ranges(rows, ["_key"], [F.col("_t"), F.col("_kind")], hot)
     rows = rows.withColumn("_cell", cell_of(by))
     so_far = Window.partitionBy("_cell").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.partitionBy("_key").orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    started = F.when(F.col("_kind") == 0, F.col("_t"))
-    # a row per key and range
-    handed = rows.groupBy(*by).agg(F.max_by("_version", started).alias("_last")).select(
-        cell_of(by).alias("_cell"), F.last("_last", ignorenulls=True).over(earlier).alias("_handed")
-    )
-    found = (
-        rows.withColumn("_now", F.last("_version", ignorenulls=True).over(so_far))
-        .filter(F.col("_kind") == 1)
-        .join(handed, "_cell")
-        .withColumn("_now", F.coalesce("_now", "_handed"))
-    )
+    found = rows.withColumn("_now", F.last("_version", ignorenulls=True).over(so_far)).filter(F.col("_kind") == 1)
+    if hot is not None:
+        earlier = Window.partitionBy("_key").orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+        started = F.when(F.col("_kind") == 0, F.col("_t"))
+        # a row per key and range
+        handed = rows.groupBy(*by).agg(F.max_by("_version", started).alias("_last")).select(
+            cell_of(by).alias("_cell"), F.last("_last", ignorenulls=True).over(earlier).alias("_handed")
+        )
+        found = found.join(handed, "_cell").withColumn("_now", F.coalesce("_now", "_handed"))
     open_ = F.col(f"_now.{end}").isNull() | (F.col("_t") < F.col(f"_now.{end}"))
     matched = found.select("_fact.*", *[F.when(open_, F.col(f"_now.{c}")).alias(c) for c in keep])
     return matched.unionByName(facts.filter(~placeable), allowMissingColumns=True)

@@ -16,6 +16,26 @@ from tidemark.session import freeze
 
 RANGE = "_range"
 
+#: Rows of a key that one task may put in order. Keys with more are cut into ranges.
+HOT = 1_000_000
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], most: int | None = None) -> DataFrame | None:
+    """The keys that more than `most` rows have, as one column _hot, or None without any.
+
+    Counts are combined before the shuffle and read no other columns. There are fewer such keys than rows / most.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > (HOT if most is None else most))
+    hot = freeze(counts.select(cell_of(keys).alias("_hot")))
+    return None if hot.isEmpty() else hot
+
+
+def in_key_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[Column], hot: DataFrame) -> DataFrame:
+    """df, stored, with RANGE: hot keys cut into ranges of their order, all others in a range of their own, -1."""
+    rows, key = freeze(df), cell_of(keys)
+    ranged = in_ranges(rows.join(hot, key == F.col("_hot"), "left_semi"), [*[F.col(c) for c in keys], *order])
+    return rows.join(hot, key == F.col("_hot"), "left_anti").withColumn(RANGE, F.lit(-1)).unionByName(ranged)
+
 
 def in_ranges(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     """Range-partition on the ordering and remember the range number in the column RANGE.
@@ -46,11 +66,17 @@ def cell_of(keys: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in keys])
 
 
-def numbered(df: DataFrame, order: Sequence[Column], group: Sequence[str] = ()) -> DataFrame:
+def numbered(df: DataFrame, order: Sequence[Column], group: Sequence[str] = (), most: int = 0) -> DataFrame:
     """Add _rn, the row's number in its group's order, and _size, the rows of the group.
 
-    order must be unique inside a group. A group that fills many ranges is numbered by all of their tasks.
+    order must be unique inside a group. The rows are numbered by ranges, so a group that fills many is numbered by all of
+    their tasks. Groups of at most `most` rows are numbered in one task each, which saves the ranges.
     """
+    if group and most:
+        hot = hot_keys(df, group, most)
+        if hot is None:
+            inside = Window.partitionBy(*group)
+            return df.withColumn("_rn", F.row_number().over(inside.orderBy(*order)).cast("long")).withColumn("_size", F.count(F.lit(1)).over(inside))
     keys = [*group, RANGE]
     rows = in_ranges(df, [*[F.col(c) for c in group], *order]).withColumn("_cell", cell_of(keys))
     parts = _per_range(rows, group, F.lit(1)).select(cell_of(keys).alias("_cell"), "_before", "_size")
@@ -160,22 +186,24 @@ def with_ntiles(df: DataFrame, tiles: int, key: str, measures: Mapping[str, Colu
 def number_by_day(df: DataFrame, key: Sequence[str], day: str, tie: Sequence[str], name: str) -> DataFrame:
     """ROW_NUMBER per key in the order (day, tie), which must be unique.
 
-    Rows are numbered by ranges, so neither a busy key nor a busy day of one key ends in one task.
+    If a key has very many rows, all are numbered by ranges, so neither a busy key nor a busy day of one key ends in one task.
     """
-    out = numbered(df, [F.col(day), *[F.col(c) for c in tie]], key)
+    out = numbered(df, [F.col(day), *[F.col(c) for c in tie]], key, HOT)
     return out.withColumnRenamed("_rn", name).drop("_size")
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, at: dict[str, float], group: Sequence[str] = ()
+    df: DataFrame, value: str, at: dict[str, float], group: Sequence[str] = (), weight: str | None = None
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per group; NULL values are left out.
 
+    weight, if given, tells how often a row's value stands for.
+
     Works on the histogram of distinct values, range-partitioned by group and value. Counts per range tell
     which range holds a wanted position, and only the rows of those ranges are put in order.
     """
     present = df.filter(F.col(value).isNotNull())
-    hist = present.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_n"))
+    hist = present.groupBy(*group, value).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_n"))
     rows = in_ranges(hist, [*[F.col(c) for c in group], F.col(value)])
 
     parts = _per_range(rows, group, F.col("_n"))

@@ -12,7 +12,8 @@ from tidemark.plans import shop, transactions, workforce
 from tidemark.plans import wide_sales as W
 from tidemark.registry.base import query
 from tidemark.registry.tables import sql
-from tidemark.session import freeze
+from tidemark.session import freeze, scratch_path
+from tidemark.sinks.files import write_partitioned
 from tidemark.sources import adapters as A
 
 AS_OF = "2024-06-30"
@@ -364,6 +365,30 @@ def agg_2(spark, sf):
     return orders.crossJoin(line.agg(F.count_distinct("l_partkey").alias("n_parts")))
 
 
+@query(
+    "agg_2_sketches_by_day",
+    """SELECT event_type, count(DISTINCT CAST(ts AS DATE)) AS n_days, count(DISTINCT user_id) AS n_users, true AS within_2_percent,
+              true AS inside_interval FROM events GROUP BY event_type
+       UNION ALL SELECT 'all', count(DISTINCT CAST(ts AS DATE)), count(DISTINCT user_id), true, true FROM events""",
+)
+def agg_2_sketches(spark, sf):
+    """Sketches of each day's users are stored; types and the whole table are estimated from them and held against the truth."""
+    events = A.table(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    path = scratch_path(spark, "user-sketches")
+    write_partitioned(agg.distinct_sketches(events, "user_id", ["day", "event_type"]), path, ["day"])
+    stored = spark.read.parquet(path)
+    both = stored.unionByName(stored.withColumn("event_type", F.lit("all")))
+    found = agg.distinct_estimates(both, ["event_type"], "estimate").join(
+        both.groupBy("event_type").agg(F.count_distinct("day").alias("n_days")), "event_type"
+    )
+    rows = events.unionByName(events.withColumn("event_type", F.lit("all")))
+    exact = rows.groupBy("event_type").agg(F.count_distinct("user_id").alias("n_users"))
+    near = F.abs(F.col("estimate") - F.col("n_users")) <= 0.02 * F.col("n_users")
+    return found.join(exact, "event_type").select(
+        "event_type", "n_days", "n_users", near.alias("within_2_percent"), F.col("n_users").between(F.col("estimate_low"), F.col("estimate_high")).alias("inside_interval")
+    )
+
+
 @query(
     "agg_3_filtered_total",
     sql("ord", """
@@ -576,6 +601,35 @@ def agg_22(spark, sf):
     return agg.profile(A.table(spark, sf, "part"))
 
 
+def line_sql(c):
+    """A column of lineitem: its count and range, and whether quartiles from sketches are within 1 % of the ranks."""
+    return f"""SELECT '{c}' AS column_name, count({c}) AS n_values, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max,
+               true AS unique_within_2_percent, true AS ranks_within_1_percent FROM lineitem"""
+
+
+LINE = ("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
+
+
+@query("agg_22_profile_from_sketches", " UNION ALL ".join(line_sql(c) for c in LINE))
+def agg_22_sketches(spark, sf):
+    line = A.table(spark, sf, "lineitem").select(*LINE)
+    found = agg.approximate_profile(line)
+    # the share of values below and up to each estimated quartile, in one pass over the table
+    marks = found.groupBy().pivot("column_name", list(LINE)).agg(F.first(F.struct("q25", "q50", "q75", "n_unique")))
+    held = line.crossJoin(F.broadcast(marks.select(*[F.col(c).alias(f"_{c}") for c in LINE])))
+    checks = []
+    for c in LINE:
+        ok = [(F.avg((F.col(c) < F.col(f"_{c}.{q}")).cast("double")) <= p + 0.01) & (F.avg((F.col(c) <= F.col(f"_{c}.{q}")).cast("double")) >= p - 0.01)
+              for q, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))]
+        n = F.count_distinct(c)
+        checks.append(F.struct(F.lit(c).alias("column_name"), (F.abs(F.max(f"_{c}.n_unique") - n) <= 0.02 * n).alias("unique_within_2_percent"),
+                               (ok[0] & ok[1] & ok[2]).alias("ranks_within_1_percent")))
+    checked = held.agg(F.array(*checks).alias("x")).select(F.inline("x"))
+    return found.join(checked, "column_name").select(
+        "column_name", "n_values", "min", "max", "unique_within_2_percent", "ranks_within_1_percent"
+    )
+
+
 # ---- windows, sorting, sets
 
 
