@@ -26,8 +26,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], most: int | None = None) -> Dat
     Counts are combined before the shuffle and read no other columns. There are fewer such keys than rows / most.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > (HOT if most is None else most))
-    hot = freeze(counts.select(cell_of(keys).alias("_hot")))
-    return None if hot.isEmpty() else hot
+    # most tables have none, and then nothing is stored
+    return None if counts.isEmpty() else freeze(counts.select(cell_of(keys).alias("_hot")))
 
 
 def in_key_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[Column], hot: DataFrame) -> DataFrame:
