@@ -63,12 +63,11 @@ class Unique:
     not_null: bool = True
 
     def violations(self, df: DataFrame) -> DataFrame:
-        copies = duplicate_keys(df, self.columns).agg(F.coalesce(F.sum(F.col("n_rows") - 1), F.lit(0)).alias("n"))
-        if not self.not_null:
-            return copies
-        missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in self.columns])
-        gaps = df.agg(F.count_if(missing).alias("m"))
-        return copies.crossJoin(F.broadcast(gaps)).select((F.col("n") + F.col("m")).alias("n"))
+        """Rows beyond the first of each key; gaps() are counted in the pass over the rows."""
+        return duplicate_keys(df, self.columns).agg(F.coalesce(F.sum(F.col("n_rows") - 1), F.lit(0)).alias("n"))
+
+    def gaps(self) -> Column:
+        return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in self.columns]) if self.not_null else F.lit(False)
 
 
 @dataclass(frozen=True)
@@ -98,17 +97,22 @@ def not_null(column: str) -> Check:
 
 
 def validate(df: DataFrame, constraints: Sequence[Unique | Check | ForeignKey]) -> DataFrame:
-    """One row per constraint with its number of violations. All conditions on rows are counted in one pass."""
-    checks = [c for c in constraints if isinstance(c, Check)]
+    """One row per constraint with its number of violations.
+
+    All conditions on rows, those of keys that must not be NULL among them, are counted in one pass.
+    """
     parts = [
         c.violations(df).select(F.lit(c.name).alias("constraint"), F.col("n").alias("violations"))
         for c in constraints if not isinstance(c, Check)
     ]
-    if checks:
-        counted = df.agg(*[F.count_if(~c.condition).alias(c.name) for c in checks])
-        pairs = [F.struct(F.lit(c.name).alias("constraint"), F.col(f"`{c.name}`").alias("violations")) for c in checks]
+    broken = {c.name: ~c.condition for c in constraints if isinstance(c, Check)}
+    broken |= {c.name: c.gaps() for c in constraints if isinstance(c, Unique) and c.not_null}
+    if broken:
+        counted = df.agg(*[F.count_if(bad).alias(name) for name, bad in broken.items()])
+        pairs = [F.struct(F.lit(n).alias("constraint"), F.col(f"`{n}`").alias("violations")) for n in broken]
         parts.append(counted.select(F.inline(F.array(*pairs))))
-    return reduce(DataFrame.unionByName, parts)
+    # a row or two per constraint
+    return reduce(DataFrame.unionByName, parts).groupBy("constraint").agg(F.sum("violations").alias("violations"))
 
 
 class IntegrityError(ValueError):

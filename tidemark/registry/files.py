@@ -125,14 +125,16 @@ def src_8(spark, sf):
 
 @query(
     "src_9_lineage_columns",
-    RC.sql("call_rows call_events", "SELECT count(*) AS n_rows, count(*) AS with_file, count(*) AS with_time FROM call_events"),
+    RC.sql("call_rows call_events", """
+        SELECT call_id, agent_id, epoch_timestamp, 'json' AS file_kind, true AS in_landing, true AS read_now FROM call_events"""),
 )
 def src_9(spark, sf):
-    rows = S.with_lineage(S.read_calls(spark, call_json(spark, sf)))
-    return rows.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col("source_file").endswith(".json")).alias("with_file"),
-        F.count("ingestion_timestamp").alias("with_time"),
+    landing = call_json(spark, sf)
+    rows = S.with_lineage(S.read_calls(spark, landing))
+    return rows.select(
+        "call_id", "agent_id", "epoch_timestamp", F.regexp_extract("source_file", r"\.(\w+)$", 1).alias("file_kind"),
+        F.col("source_file").contains(landing.rsplit("/", 1)[-1]).alias("in_landing"),
+        (F.abs(F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("ingestion_timestamp")) < 60).alias("read_now"),
     )
 
 
@@ -154,6 +156,28 @@ def src_10(spark, sf):
     return S.drift_report(spark, land(rows, "drift", "json"), CALLS)
 
 
+@query(
+    "src_10_rescued_values",
+    RC.sql("call_rows call_events", """
+        SELECT 'priority' AS path, 'undeclared' AS finding, 'STRING' AS kind, '"high"' AS value, count(*) AS n_rows FROM call_events
+        UNION ALL SELECT 'metadata.zone', 'undeclared', 'OBJECT', '{"code":"' || channel || '"}', count(*) FROM call_events GROUP BY channel
+        UNION ALL SELECT 'duration_sec', 'type_change', 'STRING', '"' || duration_sec || '"', count(*) FROM call_events
+                  WHERE duration_sec >= 0 GROUP BY duration_sec
+        UNION ALL SELECT 'duration_sec', 'uncastable', 'STRING', '"none"', count(*) FROM call_events WHERE duration_sec < 0
+        UNION ALL SELECT 'transcript_segments[].mood', 'undeclared', 'STRING', '"calm"', 2 * count(has_segments) FROM call_events"""),
+)
+def src_10_rescued(spark, sf):
+    """Keys that the schema does not know, at three depths, and durations as text, are all found again in _rescued."""
+    zone = F.col("metadata").withField("zone", F.struct(F.col("metadata.channel").alias("code")))
+    duration = F.when(F.col("duration_sec") >= 0, F.col("duration_sec").cast("string")).otherwise("none")
+    moods = F.transform("transcript_segments", lambda x: x.withField("mood", F.lit("calm")))
+    rows = A.calls(spark, sf).withColumns({"priority": F.lit("high"), "metadata": zone, "duration_sec": duration, "transcript_segments": moods})
+    path = scratch_path(spark, "rescued")
+    S.read_rescued(spark, land(rows, "drift", "json"), CALLS).write.parquet(path)
+    found = spark.read.parquet(path).select(F.explode(S.RESCUED).alias("x"))
+    return found.groupBy("x.path", "x.finding", "x.kind", F.to_json("x.value").alias("value")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query("src_11_named_table", "SELECT r_regionkey, r_name, count(*) AS nations FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY 1, 2")
 def src_11(spark, sf):
     A.table(spark, sf, "nation").createOrReplaceTempView("nation")

@@ -67,6 +67,95 @@ def drift_report(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return both.select("key", "n_rows", "finding").unionByName(missing)
 
 
+#: The JSON kind that each declared type is written as.
+KINDS = {"string": "STRING", "boolean": "BOOLEAN"}
+FOUND = "array<struct<path:string,finding:string,kind:string,value:variant>>"
+RESCUED = "_rescued"
+
+
+def _kind(value: Column) -> Column:
+    """STRING, BOOLEAN, NUMBER, OBJECT, ARRAY or VOID: what a JSON value is."""
+    named = F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+    return F.when(named.isin("BIGINT", "DECIMAL", "DOUBLE"), "NUMBER").otherwise(named)
+
+
+def _differs(value: Column, declared: T.DataType) -> Column:
+    """Whether a JSON value is of another kind than its declared type is written as; null fits any."""
+    if isinstance(declared, T.StructType):
+        wanted = "OBJECT"
+    elif isinstance(declared, T.ArrayType):
+        wanted = "ARRAY"
+    else:
+        wanted = KINDS.get(declared.simpleString(), "NUMBER")
+    kind = _kind(value)
+    return (kind != "VOID") & (kind != wanted)
+
+
+def _strays(value: Column, declared: T.DataType, path: Column) -> Column:
+    """What of a JSON value the declared type does not hold, with the path of each piece."""
+    none = F.array().cast(FOUND)
+
+    def entry(at: Column, finding: Column, piece: Column) -> Column:
+        return F.struct(at.alias("path"), finding.alias("finding"), _kind(piece).alias("kind"), piece.alias("value"))
+
+    if isinstance(declared, T.StructType):
+        held = F.try_variant_get(value, "$", "map<string,variant>")
+        dot = F.when(path == "", "").otherwise(F.concat(path, F.lit(".")))
+        other = F.map_entries(F.map_filter(held, lambda k, v: ~k.isin(declared.names)))
+        parts = [F.transform(other, lambda x: entry(F.concat(dot, x["key"]), F.lit("undeclared"), x["value"]))]
+        for f in declared.fields:
+            piece = held[f.name]
+            parts.append(F.when(piece.isNotNull(), _strays(piece, f.dataType, F.concat(dot, F.lit(f.name)))).otherwise(none))
+        inside = F.concat(*[F.coalesce(p, none) for p in parts])
+    elif isinstance(declared, T.ArrayType):
+        items = F.try_variant_get(value, "$", "array<variant>")
+        inside = F.flatten(F.transform(items, lambda x: F.coalesce(_strays(x, declared.elementType, F.concat(path, F.lit("[]"))), none)))
+    else:
+        kept = F.try_variant_get(value, "$", declared.simpleString())
+        lost = kept.isNull()
+        if isinstance(declared, T.IntegralType):  # a fraction would be cut off
+            lost = lost | (kept.cast("decimal(38,9)") != F.try_variant_get(value, "$", "decimal(38,9)"))
+        bad = _differs(value, declared) | ((_kind(value) != "VOID") & lost)
+        return F.when(bad, F.array(entry(path, F.when(kept.isNull(), "uncastable").otherwise("type_change"), value))).otherwise(none)
+    return F.when(_differs(value, declared), F.array(entry(path, F.lit("uncastable"), value))).otherwise(F.coalesce(inside, none))
+
+
+def read_rescued(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """JSON lines with the declared columns and _rescued, which holds all that these do not.
+
+    An entry of _rescued has the path (a dot before a key, [] for the elements of a list), the finding, the JSON kind and the
+    value as VARIANT. Findings: undeclared, a key that the schema does not know, at any depth; type_change, a value
+    of another kind, or a fraction for a whole number, that also stands in its column as cast; uncastable, one that could not and is null there; and
+    corrupt, a line that is no JSON object, whole as text.
+    """
+    lines = spark.read.text(path).withColumn("_json", F.try_parse_json("value"))
+    good = F.coalesce(_kind(F.col("_json")) == "OBJECT", F.lit(False))
+    whole = F.to_variant_object(F.struct("value"))
+    corrupt = F.array(F.struct(
+        F.lit("").alias("path"), F.lit("corrupt").alias("finding"), F.lit("STRING").alias("kind"), F.variant_get(whole, "$.value", "variant").alias("value")
+    ))
+
+    def typed(value: Column, declared: T.DataType) -> Column:
+        """The value as declared, cast field by field so that one bad field costs no other."""
+        if isinstance(declared, T.StructType):
+            held = F.try_variant_get(value, "$", "map<string,variant>")
+            fields = F.struct(*[typed(held[f.name], f.dataType).alias(f.name) for f in declared.fields])
+            return F.when(held.isNotNull(), fields)
+        if isinstance(declared, T.ArrayType):
+            return F.transform(F.try_variant_get(value, "$", "array<variant>"), lambda x: typed(x, declared.elementType))
+        return F.try_variant_get(value, "$", declared.simpleString())
+
+    held = F.try_variant_get("_json", "$", "map<string,variant>")
+    rescued = F.when(good, _strays(F.col("_json"), schema, F.lit(""))).otherwise(corrupt)
+    return lines.select(*[typed(held[f.name], f.dataType).alias(f.name) for f in schema.fields], rescued.alias(RESCUED))
+
+
+def rescue_report(rows: DataFrame) -> DataFrame:
+    """path, finding, kind and n_rows: how many rows hold each kind of stray value."""
+    found = rows.select(F.explode(F.array_distinct(F.transform(RESCUED, lambda x: F.struct(x["path"], x["finding"], x["kind"])))).alias("x"))
+    return found.groupBy("x.path", "x.finding", "x.kind").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def sample_rows(df: DataFrame, n: int, order: list[str], last: bool = False) -> DataFrame:
     """The first or last n rows in a stated order."""
     columns = [F.col(c).desc() if last else F.col(c).asc() for c in order]
