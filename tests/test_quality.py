@@ -122,15 +122,59 @@ def test_single_csv_refuses_what_is_not_small(spark, tmp_path):
     assert len(list((tmp_path / "b").glob("*.csv"))) == 1
 
 
+def copied(spark, tmp_path):
+    rows = spark.range(60).select("id", (F.col("id") % 7).cast("string").alias("s"), F.map_from_arrays(F.array(F.lit("k")), F.array("id")).alias("m"))
+    rows.withColumn("s", F.when(F.col("id") % 5 > 0, F.col("s"))).repartition(3).write.parquet(str(tmp_path / "a"))
+    return K.copy_dataset(spark, str(tmp_path / "a"), str(tmp_path / "b"), step=2)
+
+
 def test_copy_compares_source_and_target(spark, tmp_path):
-    spark.range(50).write.parquet(str(tmp_path / "a"))
-    before, after = K.copy_dataset(spark, str(tmp_path / "a"), str(tmp_path / "b"))
-    assert (before.n_rows, before.columns) == (after.n_rows, after.columns) == (50, (("id", "bigint"),))
+    before, after = copied(spark, tmp_path)
+    assert before == after and before.n_rows == 60 and len(before.files) == 3
+    assert before.columns == (("id", "bigint"), ("s", "string"), ("m", "map<string,bigint>"))
+    assert spark.read.parquet(str(tmp_path / "b")).columns == ["id", "s", "m"]
     spark.range(0).write.parquet(str(tmp_path / "c"))
     with pytest.raises(K.CopyError):
         K.copy_dataset(spark, str(tmp_path / "c"), str(tmp_path / "d"))
 
 
+@pytest.mark.parametrize("what", ["value", "swapped", "missing", "null"])
+def test_a_copy_with_other_content_is_refused(spark, tmp_path, what):
+    copied(spark, tmp_path)
+    file = sorted((tmp_path / "b").glob("*.parquet"))[0]
+    rows = spark.read.parquet(str(file))
+    ids = sorted(r.id for r in rows.select("id").collect())
+    if what == "missing":
+        file.unlink()
+    else:
+        one, two = F.col("id") == ids[0], F.col("id") == ids[1]
+        changed = {
+            "value": rows.withColumn("s", F.when(one, "other").otherwise(F.col("s"))),
+            # the values of one column change places between two rows
+            "swapped": rows.withColumn("id", F.when(one, ids[1]).when(two, ids[0]).otherwise(F.col("id"))),
+            "null": rows.withColumn("s", F.when(one, F.when(F.col("s").isNull(), "")).otherwise(F.col("s"))),
+        }[what]
+        changed.coalesce(1).write.parquet(str(tmp_path / "x"))
+        next((tmp_path / "x").glob("*.parquet")).replace(file)
+        (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+    with pytest.raises(K.CopyError, match="lacks" if what == "missing" else "differs"):
+        K.verify_copy(spark, str(tmp_path / "a"), str(tmp_path / "b"))
+
+
+def test_a_resumed_copy_does_not_copy_again(spark, tmp_path):
+    copied(spark, tmp_path)
+    noted = spark.read.parquet(str(tmp_path / "b-manifest")).collect()
+    assert len(noted) == 3
+    held = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "b").glob("*.parquet")}
+    # the second step had not been noted yet
+    for p in (tmp_path / "b-manifest").glob("*.parquet"):
+        if spark.read.parquet(str(p)).count() == 1:
+            p.unlink()
+    K.copy_dataset(spark, str(tmp_path / "a"), str(tmp_path / "b"), step=2)
+    now = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "b").glob("*.parquet")}
+    assert now.keys() == held.keys() and sum(now[n] != held[n] for n in now) == 1
+
+
 def test_latest_attributes_win_in_dimensions(spark):
     rows = [(1, 1, "Old", "p", 1), (1, 2, "New", "p", 2)]
     wide = spark.createDataFrame(rows, "customer_id int, order_id int, city string, product_id string, line_number int")

@@ -14,7 +14,7 @@ from tidemark.plans import retail as R
 from tidemark.registry import calls as RC
 from tidemark.registry.base import ORACLES, query, with_tables
 from tidemark.registry.tables import sql
-from tidemark.schemas import CALLS, EMPLOYEES
+from tidemark.schemas import CALLS, EMPLOYEES, TABLES
 from tidemark.session import freeze, scratch_path
 from tidemark.sinks import files as K
 from tidemark.sources import adapters as A
@@ -274,6 +274,15 @@ def snk_5(spark, sf):
     return spark.createDataFrame(sides, "side string, n_rows long, n_columns int")
 
 
+@query("snk_5_copied_rows", "SELECT * FROM lineitem")
+def snk_5_rows(spark, sf):
+    """The copy itself, made in steps of two files."""
+    source, target = scratch_path(spark, "copy-source"), scratch_path(spark, "copy-target")
+    A.table(spark, sf, "lineitem").repartition(5).write.parquet(source)
+    K.copy_dataset(spark, source, target, step=2)
+    return spark.read.schema(TABLES["lineitem"]).parquet(target)
+
+
 WIDE_ORDER = ("order_date", "order_id", "line_number")
 
 

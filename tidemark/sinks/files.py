@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.cleaning import dedup_first
 
@@ -71,30 +72,111 @@ class CopyError(RuntimeError):
 
 @dataclass(frozen=True)
 class CopySummary:
-    n_files: int
+    """What a data set holds: rows, columns and types, and for every source file a digest of its content."""
+
     n_rows: int
     columns: tuple[tuple[str, str], ...]
+    files: frozenset[tuple]
 
 
-def summarise_dataset(spark: SparkSession, path: str) -> CopySummary:
-    rows = spark.read.parquet(path)
-    files = rows.select(F.col("_metadata.file_path").alias("f")).groupBy("f").agg(F.count(F.lit(1)).alias("n"))
-    found = files.agg(F.count(F.lit(1)).alias("n_files"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows")).first()
-    return CopySummary(found["n_files"], found["n_rows"], tuple((f.name, f.dataType.simpleString()) for f in rows.schema))
+def _hashed(name: str, kind: T.DataType) -> list[Column]:
+    """A column for xxhash64, which skips NULL and takes no maps."""
+    value = F.col(f"`{name}`")
+    if isinstance(kind, T.MapType):
+        value = F.array_sort(F.map_entries(value))
+    return [value, value.isNull()]
 
 
-def copy_dataset(spark: SparkSession, source: str, target: str) -> tuple[CopySummary, CopySummary]:
-    """Copy after looking at the source, then compare rows and columns; a mismatch raises."""
-    before = summarise_dataset(spark, source)
-    if not before.n_rows:
-        raise CopyError(f"{source} has no rows")
-    spark.read.parquet(source).write.mode("overwrite").parquet(target)
-    after = summarise_dataset(spark, target)
-    if (before.n_rows, before.columns) != (after.n_rows, after.columns):
-        raise CopyError(f"copy of {source} differs: {before} / {after}")
+def digests(rows: DataFrame, by: Column, schema: T.StructType | None = None) -> DataFrame:
+    """file, n_rows, and sums of hashes that don't depend on the order of rows: of whole rows, and of each column.
+
+    The sums of columns tell where a difference is; that of the rows also tells values that have changed places.
+    """
+    columns = {f.name: _hashed(f.name, f.dataType) for f in (schema or rows.schema).fields}
+    total = lambda parts: F.sum(F.xxhash64(*parts).cast("decimal(38,0)"))
+    sums = F.map_from_arrays(
+        F.array(*[F.lit(c) for c in columns]), F.array(*[total(parts) for parts in columns.values()])
+    )
+    whole = [x for parts in columns.values() for x in parts]
+    return rows.groupBy(by.alias("file")).agg(F.count(F.lit(1)).alias("n_rows"), total(whole).alias("rows"), sums.alias("columns"))
+
+
+def _summary(rows: DataFrame, found: list) -> CopySummary:
+    columns = tuple((f.name, f.dataType.simpleString()) for f in rows.schema)
+    files = frozenset((r["file"], r["n_rows"], r["rows"], tuple(sorted(r["columns"].items()))) for r in found)
+    return CopySummary(sum(r["n_rows"] for r in found), columns, files)
+
+
+def _compare(before: CopySummary, after: CopySummary, source: str) -> None:
+    if before == after:
+        return
+    if before.columns != after.columns:
+        raise CopyError(f"copy of {source} has other columns: {before.columns} / {after.columns}")
+    there = {f[0]: f for f in after.files}
+    for file, n, _, columns in sorted(before.files - after.files):
+        if file not in there:
+            raise CopyError(f"copy of {source} lacks the {n} rows of file {file}")
+        odd = [c for (c, x), (_, y) in zip(columns, there[file][3]) if x != y]
+        raise CopyError(f"copy of {source} differs in file {file}: {n} / {there[file][1]} rows, columns {odd or 'alike, but rows mixed up'}")
+    raise CopyError(f"copy of {source} has more files")
+
+
+def verify_copy(spark: SparkSession, source: str, target: str) -> tuple[CopySummary, CopySummary]:
+    """Read both sides and compare their content file by file; a difference raises.
+
+    The digests, one row per file, are compared on the driver.
+    """
+    rows, copy = spark.read.parquet(source), spark.read.parquet(target)
+    before = _summary(rows, digests(rows, F.sha1("_metadata.file_path")).collect())
+    stem = F.regexp_extract(F.col("_metadata.file_name"), "^([0-9a-f]{40})-", 1)
+    after = _summary(copy, digests(copy, stem).collect())
+    _compare(before, after, source)
     return before, after
 
 
+COPIED = "path string"
+
+
+def copy_dataset(spark: SparkSession, source: str, target: str, step: int = 200) -> tuple[CopySummary, CopySummary]:
+    """Copy a Parquet data set file by file and compare both sides by content; a mismatch raises.
+
+    Each step copies up to `step` files to a folder beside the target, holds their digests against the source, moves them and
+    then notes them in the manifest (target-manifest). A copy that broke off goes on with the files that are not noted.
+    A target file is named by its source file, whatever tasks wrote it.
+    """
+    rows = spark.read.parquet(source)
+    paths = sorted(rows.inputFiles())
+    jvm = spark.sparkContext._jvm
+    path_of = jvm.org.apache.hadoop.fs.Path
+    folder, manifest, staged = path_of(target), f"{target.rstrip('/')}-manifest", f"{target.rstrip('/')}-staged"
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)
+    fs.mkdirs(path_of(manifest))
+    noted = {r["path"] for r in spark.read.schema(COPIED).parquet(manifest).collect()}
+    left = [p for p in paths if p not in noted]
+    if not paths or not rows.take(1):
+        raise CopyError(f"{source} has no rows")
+    for at in range(0, len(left), step):
+        part = spark.read.option("basePath", source).schema(rows.schema).parquet(*left[at:at + step])
+        name = F.sha1("_metadata.file_path")
+        part.withColumn("_file", name).write.mode("overwrite").partitionBy("_file").parquet(staged)
+        written = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("_file", T.StringType())])).parquet(staged)
+        found = digests(part, name).collect()
+        _compare(_summary(part, found), _summary(rows, digests(written, F.col("_file"), rows.schema).collect()), source)
+        for status in fs.listStatus(path_of(staged)):
+            if not status.isDirectory():
+                continue
+            stem = status.getPath().getName().split("=")[1]
+            for old in fs.globStatus(path_of(f"{target}/{stem}-*.parquet")):
+                fs.delete(old.getPath(), True)
+            pieces = fs.globStatus(path_of(f"{status.getPath()}/*.parquet"))
+            for i, piece in enumerate(pieces):
+                fs.rename(piece.getPath(), path_of(f"{target}/{stem}-{i}.parquet"))
+        spark.createDataFrame([(p,) for p in left[at:at + step]], COPIED).coalesce(1).write.mode("append").parquet(manifest)
+        fs.delete(path_of(staged), True)
+    return verify_copy(spark, source, target)
+
+
 def split_sales(wide: DataFrame, order: Sequence[str]) -> dict[str, DataFrame]:
     """Customers, products and facts of wide sales rows; per key the latest row's attributes win."""
     customer = ["customer_id", "customer_name", "segment", "city", "region"]
