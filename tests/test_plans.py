@@ -102,3 +102,28 @@ def test_intermediates_can_be_deleted(spark):
     import os
 
     assert os.path.exists(path) and release(spark) >= 1 and not os.path.exists(path)
+
+
+def test_tables_in_buckets_join_without_a_shuffle(spark, sf, plan_of):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        orders, items = RF.bucketed_shop(spark, sf, buckets=4)
+        text = plan_of(orders.join(items, "order_id").select("status", "quantity"))
+        assert "SortMergeJoin" in text and "Exchange" not in text
+        # in the report only the products, and the totals by category, are shuffled
+        kept = items.join(R.earning(orders).select("order_id"), "order_id")
+        assert "Exchange" not in plan_of(kept)
+        assert plan_of(kept.groupBy("order_id").count()).count("Exchange") == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_reloading_a_partition_leaves_the_others(spark, tmp_path):
+    rows = spark.range(30).select("id", (F.col("id") % 3).alias("p"))
+    K.write_partitioned(rows, str(tmp_path / "t"), ["p"])
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "t").glob("p=*/*.parquet")}
+    K.reload_partitions(spark.createDataFrame([(100, 1)], "id long, p long"), str(tmp_path / "t"), ["p"])
+    now = {f: f.stat().st_mtime_ns for f in (tmp_path / "t").glob("p=*/*.parquet")}
+    assert {f for f in before if "p=1" not in str(f)} == {f for f in now if before.get(f) == now[f]}
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [*(i for i in range(30) if i % 3 != 1), 100]

@@ -206,6 +206,37 @@ def snk_1(spark, sf):
     return spark.read.parquet(path).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
+def bucketed_shop(spark, sf, buckets=8):
+    """Orders and items as tables in buckets of the order id."""
+    base = scratch_path(spark, "shop")
+    mark = base.rsplit("-", 1)[-1]
+    orders = K.write_bucketed(A.orders(spark, sf), f"orders_{mark}", f"{base}/orders", "order_id", buckets)
+    return orders, K.write_bucketed(A.order_items(spark, sf), f"items_{mark}", f"{base}/items", "order_id", buckets)
+
+
+@query("snk_1_report_on_buckets", ORACLES["rpt_1_revenue_by_category"])
+def snk_1_buckets(spark, sf):
+    orders, items = bucketed_shop(spark, sf)
+    return R.revenue_by_category(orders, items, A.products(spark, sf))
+
+
+@query("jn_1_join_on_buckets", sql("ord items", """
+    SELECT o.order_id, status, line_number, quantity FROM ord o JOIN items i ON i.order_id = o.order_id"""))
+def jn_1_buckets(spark, sf):
+    orders, items = bucketed_shop(spark, sf)
+    return orders.join(items, "order_id").select("order_id", "status", "line_number", "quantity")
+
+
+@query("snk_1_reloaded_partition", sql("ord", """
+    SELECT order_id, customer_id, total_amount, payment_method, status = 'Shipped' AS reloaded FROM ord"""))
+def snk_1_reload(spark, sf):
+    """All statuses are written and one is loaded again; the others' files stay."""
+    path, orders = scratch_path(spark, "orders-by-status"), A.orders(spark, sf).withColumn("reloaded", F.lit(False))
+    K.write_partitioned(orders, path, ["status"])
+    K.reload_partitions(orders.where("status = 'Shipped'").withColumn("reloaded", F.lit(True)), path, ["status"])
+    return spark.read.parquet(path).select("order_id", "customer_id", "total_amount", "payment_method", "reloaded")
+
+
 @query("snk_2_single_csv", sql("ord", "SELECT payment_method, count(*) AS total_orders FROM ord GROUP BY 1"))
 def snk_2(spark, sf):
     path = scratch_path(spark, "summary")

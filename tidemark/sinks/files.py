@@ -18,6 +18,25 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> None:
     gathered.write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int, by: Sequence[str] = ()) -> DataFrame:
+    """A catalogue table at a path, in buckets of the key sorted by it, so that joins on it need neither shuffle nor sort.
+
+    Tables that are joined need the same number of buckets. One task writes a bucket, so the file of a bucket and folder is one
+    and stays sorted; a key with a large share of all rows makes its bucket large, which is why orders are bucketed by
+    their id and not by customer.
+    """
+    dealt = df.repartition(buckets, key)
+    writer = dealt.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path)
+    (writer.partitionBy(*by) if by else writer).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def reload_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Replace the folders that df has rows for, and leave all others as they are."""
+    gathered = df.hint("rebalance", *by)
+    gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+
 def sorted_by(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """Sorted by the named columns, those with a minus sign from the largest down."""
     return df.orderBy(*[F.col(c[1:]).desc() if c.startswith("-") else F.col(c).asc() for c in order])
