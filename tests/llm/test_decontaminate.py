@@ -100,3 +100,33 @@ def test_rows_are_dropped_by_their_own_text(spark, per_index):
     kept = dc.clean(docs, spark.createDataFrame(items, "item_id long, text string"), per_index=per_index)
     assert kept.columns == docs.columns
     assert sorted(map(tuple, kept.collect()), key=repr) == sorted((rows[i] for i in (1, 2, 4, 5, 7)), key=repr)
+
+
+def test_findings_do_not_depend_on_the_number_of_indexes(spark):
+    """Partial and disguised items near the thresholds, items of several classes of lengths, one of them very long."""
+    rng = random.Random(8)
+    items = [(i, prose(rng, rng.choice([9, 20, 60, 70, 200])) + ". And so " + prose(rng, 5) + ".") for i in range(60)]
+    items.append((60, prose(rng, 3000) + ". The end of it."))
+    docs = []
+    for i in range(150):
+        words = items[i % 61][1].split()
+        keep = rng.choice([0.75, 0.85, 0.95, 1.0])
+        words = [w for w in words if rng.random() < keep]
+        docs.append((i, " ".join([prose(rng, rng.randrange(80)), *words, prose(rng, rng.randrange(80))])))
+    df, items_df = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = [
+        sorted((r.doc_id, r.item_id, round(r.bm25, 9), round(r.overlap, 9), r.start) for r in dc.leaks(df, items_df, per_index=n).collect())
+        for n in (3, 20, 1000)
+    ]
+    assert found[0] == found[1] == found[2] and 20 < len({f[0] for f in found[0]}) < 150
+    assert any(f[1] == 60 for f in found[0])
+
+
+def test_many_indexes_read_the_documents_once(spark, tmp_path, monkeypatch):
+    rng = random.Random(9)
+    spark.createDataFrame([(i, prose(rng, 50)) for i in range(20)], "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    items = spark.createDataFrame([(i, prose(rng, 30)) for i in range(30)], "item_id long, text string")
+    assert dc.leaks(docs, items, per_index=3)._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    monkeypatch.setattr(dc, "INDEXES", 2)
+    assert dc.leaks(docs, items, per_index=3)._jdf.queryExecution().executedPlan().toString().count("FileScan") > 1

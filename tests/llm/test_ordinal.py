@@ -99,3 +99,17 @@ def test_features_are_stable(text):
     two.of("other words before")
     a, b = one.of(text), two.of(text)
     assert sorted(zip(*a)) == sorted(zip(*b))
+
+
+def test_long_tokens_have_the_shape_of_all_their_letters():
+    one, two = ("aB" * 50 + "9", "aB" * 50 + "-")
+    features = ordinal.Features()
+    assert features._token(one)[2] != features._token(two)[2]
+
+
+def test_repeated_ids_fit_alike_in_any_order(spark):
+    rows = [(i, "good words here" if i % 3 == 2 else "bad stuff" if i % 3 else "vile things") for i in range(90)]
+    rows += [(i, f"other text {j}") for i in range(30) for j in range(3)]
+    grades = spark.createDataFrame([(i, i % 3) for i in range(90)], "key long, grade int")
+    one, two = (ordinal.fit(spark.createDataFrame(x, "doc_id long, text string"), grades) for x in (rows, rows[::-1]))
+    assert (one.weights == two.weights).all() and (one.thresholds == two.thresholds).all() and np.abs(one.weights).max() > 0

@@ -73,3 +73,13 @@ def test_query(spark, sf):
     got = QUERIES["op6_repeated_passages"](spark, sf).collect()
     want = sorted((i, n, k, hashlib.sha256(t.encode()).hexdigest()) for i, t, n, k in brute(rows))
     assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == want
+
+
+def test_no_two_words_are_spelled_alike():
+    places = [*range(0, 1 << 22, 997), *range((1 << 21) - 5, (1 << 21) + 5), passages.SPELLED - 1]
+    spelled = [passages.signs(i) for i in places]
+    assert len(set(spelled)) == len(set(places)) and all(len(x) == 3 for x in spelled)
+    assert all(x[0] < "\u0200" <= x[1] < "\u0300" <= x[2] for x in spelled)
+    "".join(spelled).encode()
+    with pytest.raises(ValueError):
+        passages.signs(passages.SPELLED)

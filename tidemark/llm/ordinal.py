@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import bounded_sample, share, slices
+from tidemark.session import freeze
 
 GRADES = 3
 BITS = 18
@@ -24,7 +25,9 @@ MIN_DOCS = 3
 ROUNDS = 150
 RIDGE = 2e-5
 SELECT = 0.5
+#: Tokens that are remembered, and the longest of them.
 MEMORY = 200_000
+KNOWN = 200
 SHARE = 16.0
 EVIDENCE = 4.0
 START = 4
@@ -51,7 +54,7 @@ class Features:
         low = token.lower()
         word = low.strip(low.translate({ord(c): None for c in low if c.isalnum()}) or None)
         shape = last = ""
-        for c in token[:64]:
+        for c in token:
             sign = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
             if sign != last:
                 shape += sign
@@ -73,7 +76,9 @@ class Features:
         for token, k in counts.items():
             found = known.get(token)
             if found is None:
-                found = known[token] = self._token(token)
+                found = self._token(token)
+                if len(token) <= KNOWN:
+                    known[token] = found
             words.update(found[:2])
             shapes[found[2]] = shapes.get(found[2], 0) + k
         words.discard(-1)
@@ -95,33 +100,44 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.thresholds - np.asarray(place)[..., None], -30, 30)))
 
 
+def telling(seen: np.ndarray, rows: np.ndarray, entries: np.ndarray, bits: int = BITS, min_docs: int = MIN_DOCS,
+            evidence: float = EVIDENCE) -> np.ndarray:
+    """Which features get a weight, from the rows of each grade that have them (by feature and grade).
+
+    rows and entries are the rows of each grade and the features in them. Features of fewer than min_docs rows get none, and
+    words only where a grade holds evidence standard errors more or less of their rows than its part of all rows, and than
+    its part of all text: the many words that say nothing would blur the few that do.
+    """
+    docs, share = seen.sum(axis=1), rows.astype(float)
+    clear = np.arange(len(seen)) >= 1 << (bits - 1)
+    length = entries / max(1, entries.sum())
+    for k in np.flatnonzero((share > 0) & (share < share.sum())):
+        score = lambda part: (seen[:, k] - docs * part) / np.sqrt((docs * part * (1 - part)).clip(1e-12))
+        by_row, by_length = score(share[k] / share.sum()), score(length[k])
+        clear |= (by_row * by_length > 0) & (np.minimum(np.abs(by_row), np.abs(by_length)) >= evidence)
+    return clear & (docs >= min_docs)
+
+
 def train(grades: np.ndarray, ids: np.ndarray, values: np.ndarray, ends: np.ndarray, bits: int = BITS,
-          min_docs: int = MIN_DOCS, rounds: int = ROUNDS, ridge: float = RIDGE, evidence: float = EVIDENCE) -> Model:
+          min_docs: int = MIN_DOCS, rounds: int = ROUNDS, ridge: float = RIDGE, evidence: float = EVIDENCE,
+          good: np.ndarray | None = None) -> Model:
     """Fit weights and thresholds by Adam on the log-likelihood, each grade with the same total weight.
 
-    Row i has the features ids[ends[i-1]:ends[i]]. Features of fewer than min_docs rows get no weight, and words only
-    where a grade holds evidence standard errors more or less of their rows than its part of all rows, and than its part
-    of all text: the many words that say nothing would blur the few that do. Without rows all weights are zero and the
-    best grade has probability one half.
+    Row i has the features ids[ends[i-1]:ends[i]]. good tells which features get a weight; by default telling() does. Without
+    rows all weights are zero and the best grade has probability one half.
     """
     thresholds = np.arange(GRADES - 1, dtype=float) - (GRADES - 2)
     model = Model(np.zeros(1 << bits), thresholds)
     if not len(grades):
         return model
     row = np.repeat(np.arange(len(grades)), np.diff(np.concatenate(([0], ends))))
-    used, inverse, docs = np.unique(ids, return_inverse=True, return_counts=True)
     share = np.bincount(grades, minlength=GRADES).astype(float)
-    clear = used >= 1 << (bits - 1)
-    length = np.bincount(grades[row], minlength=GRADES) / max(1, len(row))
-    for k in np.flatnonzero((share > 0) & (share < len(grades))):
-        seen = np.bincount(inverse, grades[row] == k, minlength=len(used))
-        score = lambda part: (seen - docs * part) / np.sqrt(docs * part * (1 - part))
-        by_row, by_length = score(share[k] / len(grades)), score(length[k])
-        clear |= (by_row * by_length > 0) & (np.minimum(np.abs(by_row), np.abs(by_length)) >= evidence)
-    good = clear & (docs >= min_docs)
-    keep = good[inverse]
+    if good is None:
+        seen = np.bincount(ids.astype(np.int64) * GRADES + grades[row], minlength=GRADES << bits).reshape(-1, GRADES)
+        good = telling(seen, share, np.bincount(grades[row], minlength=GRADES), bits, min_docs, evidence)
+    keep = good[ids]
     slot = np.cumsum(good) - 1
-    used, row, column, values = used[good], row[keep], slot[inverse[keep]], values[keep].astype(float)
+    used, row, column, values = np.flatnonzero(good), row[keep], slot[ids[keep]], values[keep].astype(float)
     weight = (1 / (share * (share > 0).sum()).clip(1e-9))[grades]
     # what is fitted: the weights, the first threshold and the logarithms of the gaps between thresholds
     size = len(used)
@@ -165,11 +181,14 @@ def fit(docs: DataFrame, grades: DataFrame, doc_id: str = "doc_id", text: str =
         bits: int = BITS) -> Model:
     """Fit on at most per_grade rated documents of each grade (key, grade), one row per doc_id.
 
-    Their hashed features, not their texts, come to the driver: GRADES times per_grade rows at most.
+    Of rows with one doc_id the text with the least hash counts. Which features tell the grades apart is counted in Spark, a
+    table of fixed size; only those of the documents, not their texts, come to the driver, GRADES times per_grade rows at most.
     """
     sample = bounded_sample(grades, "grade", "key", per_grade)
     rows = docs.select(F.col(doc_id).alias("key"), F.col(text).alias("text")).join(F.broadcast(sample), "key")
-    rows = rows.select("key", "text", F.col("grade").cast("int").alias("grade"))
+    rows = rows.groupBy("key", F.col("grade").cast("int").alias("grade")).agg(
+        F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text")
+    )
 
     def run(batches):
         import pyarrow as pa
@@ -178,22 +197,54 @@ def fit(docs: DataFrame, grades: DataFrame, doc_id: str = "doc_id", text: str =
         for batch in batches:
             for part in slices(batch, "text"):
                 found = [features.of(t) for t in part.column("text").to_pylist()]
+                ends = pa.array(np.cumsum([0, *(len(i) for i, _ in found)]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([
-                    part.column("key"), part.column("grade"), pa.array([i.tobytes() for i, _ in found], pa.binary()),
-                    pa.array([v.tobytes() for _, v in found], pa.binary()),
+                    part.column("key"), part.column("grade"),
+                    pa.ListArray.from_arrays(ends, pa.array(np.concatenate([i for i, _ in found]).astype(np.int32))),
+                    pa.ListArray.from_arrays(ends, pa.array(np.concatenate([v for _, v in found]).astype(np.float32))),
                 ], names=["key", "grade", "ids", "values"])
 
+    schema = T.StructType([
+        rows.schema["key"], T.StructField("grade", T.IntegerType()), T.StructField("ids", T.ArrayType(T.IntegerType())),
+        T.StructField("values", T.ArrayType(T.FloatType())),
+    ])
+    found = freeze(rows.mapInArrow(run, schema))
+    counts = found.select("grade", F.explode("ids").alias("id")).groupBy("id", "grade").agg(F.count(F.lit(1)).alias("n")).toArrow()
+    seen = np.zeros((1 << bits, GRADES), np.int64)
+    seen[counts.column("id").to_numpy(), counts.column("grade").to_numpy()] = counts.column("n").to_numpy()
+    sizes = {r.grade: r.n for r in found.groupBy("grade").agg(F.count(F.lit(1)).alias("n")).collect()}
+    good = telling(seen, np.array([sizes.get(k, 0) for k in range(GRADES)]), seen.sum(axis=0), bits)
+    chosen = share(docs.sparkSession, good)
+
+    def kept(batches):
+        import pyarrow as pa
+
+        good = chosen()
+        for batch in batches:
+            ids, values = batch.column("ids"), batch.column("values")
+            sizes = ids.value_lengths().to_numpy()
+            flat, weights = ids.flatten().to_numpy(), values.flatten().to_numpy()
+            keep = good[flat]
+            row = np.repeat(np.arange(len(sizes)), sizes)[keep]
+            ends = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=len(sizes))))).astype(np.int32)
+            flat, weights = flat[keep], weights[keep]
+            yield pa.RecordBatch.from_arrays([
+                batch.column("key"), batch.column("grade"),
+                pa.array([flat[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary()),
+                pa.array([weights[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary()),
+            ], names=["key", "grade", "ids", "values"])
+
     schema = T.StructType([
         rows.schema["key"], T.StructField("grade", T.IntegerType()), T.StructField("ids", T.BinaryType()),
         T.StructField("values", T.BinaryType()),
     ])
-    found = rows.mapInArrow(run, schema).dropDuplicates(["key"]).orderBy("key").toArrow()
+    found = found.mapInArrow(kept, schema).orderBy("key").toArrow()
     ids = [np.frombuffer(x, np.int32) for x in found.column("ids").to_pylist()]
     values = [np.frombuffer(x, np.float32) for x in found.column("values").to_pylist()]
     flat = lambda a, kind: np.concatenate(a) if a else np.zeros(0, kind)
     return train(
         found.column("grade").to_numpy().astype(int), flat(ids, np.int32), flat(values, np.float32),
-        np.cumsum([len(x) for x in ids], dtype=int), bits,
+        np.cumsum([len(x) for x in ids], dtype=int), bits, good=good,
     )
 
 

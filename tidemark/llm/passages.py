@@ -16,7 +16,7 @@ removed if its words also stand, one after another, in a document with a smaller
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,9 +81,18 @@ def key_of(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "little", signed=True)
 
 
+#: Words that signs() can spell: its third alphabet ends before the code points that are no characters.
+SPELLED = (0xD800 - 0x300) << 14
+
+
 def signs(place: int) -> str:
-    """A word's number as three signs of three alphabets, so that no phrase is found between two words."""
-    return chr(0x100 | place & 127) + chr(0x200 | place >> 7 & 127) + chr(0x300 | place >> 14 & 127)
+    """A word's number as three signs of three alphabets, so that no phrase is found between two words.
+
+    No two numbers are spelled alike; those past SPELLED, more words than an automaton could hold, are an error.
+    """
+    if place >= SPELLED:
+        raise ValueError(f"an automaton of more than {SPELLED} different words")
+    return chr(0x100 | place & 127) + chr(0x200 | place >> 7 & 127) + chr(0x300 + (place >> 14))
 
 
 def _marked(docs: DataFrame, span: int, phrase: int) -> DataFrame:
@@ -131,10 +140,10 @@ def _phrases(rows: DataFrame, phrase: int) -> DataFrame:
                         shards.append(shard)
                         firsts.append(first)
                 yield pa.RecordBatch.from_pydict({
-                    "shard": pa.array(shards, pa.int32()), "first": pa.array(firsts, pa.int64()), "text": pa.array(found, pa.string())
+                    "shard": pa.array(shards, pa.int32()), "first_doc": pa.array(firsts, pa.int64()), "text": pa.array(found, pa.string())
                 })
 
-    return rows.select("text", "picks", "shard", "doc_id").mapInArrow(run, "shard int, first long, text string")
+    return rows.select("text", "picks", "shard", "doc_id").mapInArrow(run, "shard int, first_doc long, text string")
 
 
 def _located(dealt: DataFrame, span: int, phrase: int) -> DataFrame:
@@ -238,15 +247,21 @@ def removals(docs: DataFrame, span: int = SPAN, phrase: int = PHRASE, per_shard:
     own = hits.where("doc_id = first").groupBy("doc_id", "key", "shard").agg(F.collect_set("pick").alias("picks"))
     phrases = _phrases(texts.join(own, ["doc_id", "key"]), phrase).distinct()
     routed = texts.join(hits.select("doc_id", "key", "shard").distinct(), ["doc_id", "key"])
-    parts = freeze(routed.groupBy("shard").agg(F.ceil(F.sum("n_words") / per_task).cast("int").alias("parts")))
+    # one row per shard, which is one for about per_shard phrases
+    parts = routed.groupBy("shard").agg(F.ceil(F.sum("n_words") / per_task).cast("int").alias("parts"))
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    parts = freeze(parts.withColumn("first", F.coalesce(F.sum("parts").over(before), F.lit(0)).cast("int")))
     each = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
     phrases = phrases.join(parts, "shard").select(
-        "shard", each, F.lit(None).cast("long").alias("doc_id"), F.col("first").alias("key"), "text"
+        "shard", "first", each, F.lit(None).cast("long").alias("doc_id"), F.col("first_doc").alias("key"), "text"
     )
     streamed = routed.join(parts, "shard").select(
-        "shard", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part"), "doc_id", "key", "text"
+        "shard", "first", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part"), "doc_id", "key", "text"
     )
-    dealt = phrases.unionByName(streamed).repartition("shard", "part").sortWithinPartitions("shard", "part", "doc_id")
+    # a task for each cell of a shard and a part
+    cells = max(1, parts.agg(F.sum("parts")).first()[0] or 0)
+    dealt = phrases.unionByName(streamed).repartitionById(cells, F.col("first") + F.col("part")).drop("first")
+    dealt = dealt.sortWithinPartitions("shard", "part", "doc_id")
     windows = freeze(_located(dealt, span, phrase))
 
     firsts = freeze(
