@@ -1,4 +1,9 @@
-"""WARC archives with repeated payloads written as revisit records."""
+"""WARC archives with repeated payloads written as revisit records.
+
+An archive is a series of gzip members, so that a reader can start at any record. Each record is a member of its own, followed by
+one that holds its closing line ends: these are always the same bytes, and Spark's text writer sets them between its rows.
+An archive begins with a warcinfo record and is bounded in bytes.
+"""
 
 from __future__ import annotations
 
@@ -7,14 +12,17 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import SLICE_BYTES, slices
 from tidemark.session import freeze
 
 DATE = "2024-01-01T00:00:00Z"
 MIN_BYTES = 100
-FILE_RECORDS = 20_000
+#: Compressed bytes after which an archive ends.
+FILE_BYTES = 64 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-ID = "urn:x-page:"
 END = "\r\n\r\n"
+#: Fields of our own: a page's number, and that of the page a revisit refers to. Record ids tell repeated pages apart.
+PAGE, REFERS = "X-Page-ID", "X-Refers-To-Page-ID"
 ROW = ("page_id long, record_type string, target_uri string, payload_digest string, payload_bytes long, refers_to long, "
        "payload binary")
 
@@ -71,16 +79,16 @@ def record(date: str = DATE) -> Column:
         F.col("payload_bytes").cast("string"), F.lit(END),
     )
     block = F.octet_length(http) + F.when(revisit, F.lit(0)).otherwise(F.col("payload_bytes"))
-    urn = lambda c: F.concat(F.lit(f"<{ID}"), F.col(c).cast("string"), F.lit(">"))
     return F.concat(
         F.lit("WARC/1.1\r\n"),
         _header("WARC-Type", F.col("record_type")),
-        _header("WARC-Record-ID", F.coalesce(urn("page_id"), F.concat(F.lit("<urn:uuid:"), F.uuid(), F.lit(">")))),
+        _header("WARC-Record-ID", F.concat(F.lit("<urn:uuid:"), F.uuid(), F.lit(">"))),
+        _header(PAGE, F.col("page_id").cast("string")),
         F.lit(f"WARC-Date: {date}\r\n"),
         _header("WARC-Target-URI", _uri(F.col("url"))),
         _header("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("payload_digest"))),
         _header("WARC-Profile", F.when(revisit, F.lit(PROFILE))),
-        _header("WARC-Refers-To", urn("refers_to")),
+        _header(REFERS, F.col("refers_to").cast("string")),
         _header("WARC-Refers-To-Target-URI", F.when(revisit, _uri(F.col("refers_uri")))),
         _header("WARC-Refers-To-Date", F.when(revisit, F.lit(date))),
         F.lit("Content-Type: application/http; msgtype=response\r\n"),
@@ -89,14 +97,61 @@ def record(date: str = DATE) -> Column:
     )
 
 
-def write_archives(resolved: DataFrame, path: str, date: str = DATE, file_records: int = FILE_RECORDS) -> None:
-    """Compressed archives below path, written by Spark's text writer with the record's end as the line end.
+def _member(data: bytes) -> bytes:
+    import zlib
+
+    deflate = zlib.compressobj(6, zlib.DEFLATED, 31)
+    return deflate.compress(data) + deflate.flush()
+
+
+def write_archives(resolved: DataFrame, path: str, date: str = DATE, file_bytes: int = FILE_BYTES) -> None:
+    """Archives below path, named *.warc.gz, in folders by their number in the task that wrote them.
 
-    Every file is whole in itself and holds file_records records at most, so readers stay small.
+    An archive ends with the record that reaches file_bytes, so none is much larger, and readers take one as a whole.
     """
-    resolved.select(record(date).alias("value")).write.option("lineSep", END).option(
-        "maxRecordsPerFile", file_records
-    ).option("compression", "gzip").mode("overwrite").text(path)
+    spark = resolved.sparkSession
+
+    def run(batches):
+        import uuid
+
+        import pyarrow as pa
+
+        body = b"software: record writer\r\nformat: WARC File Format 1.1\r\n"
+
+        def about() -> bytes:
+            head = f"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:{uuid.uuid4()}>\r\nWARC-Date: {date}\r\n"
+            head += f"Content-Type: application/warc-fields\r\nContent-Length: {len(body)}{END}"
+            return _member(head.encode() + body)
+
+        file, size, place = 0, 0, 0
+        for batch in batches:
+            for part in slices(batch, "value", SLICE_BYTES):
+                rows = []
+                for text in part.column("value").to_pylist():
+                    if not size:
+                        rows.append((file, place, first := about()))
+                        size, place = len(first), place + 1
+                    rows.append((file, place, one := _member(text)))
+                    size, place = size + len(one), place + 1
+                    if size >= file_bytes:
+                        file, size = file + 1, 0
+                files, places, members = zip(*rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(files, pa.int32()), pa.array(places, pa.int64()), pa.array(members, pa.binary())], names=["file", "place", "member"]
+                )
+
+    texts = resolved.select(record(date).cast("binary").alias("value"))
+    members = texts.mapInArrow(run, "file int, place long, member binary").sortWithinPartitions("file", "place")
+    # the writer puts out the bytes of a text as they are
+    rows = members.select("file", F.col("member").cast("string").alias("value"))
+    rows.write.mode("overwrite").partitionBy("file").option("lineSep", _member(END.encode()).decode("latin-1")).option(
+        "encoding", "ISO-8859-1"
+    ).text(path)
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path_of(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.globStatus(path_of(f"{path}/file=*/*.txt")):
+        one = status.getPath()
+        fs.rename(one, path_of(one.getParent(), one.getName().removesuffix(".txt") + ".warc.gz"))
 
 
 def _records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -116,8 +171,8 @@ def _records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
         yield headers, block
 
 
-def _page(urn: str | None) -> int | None:
-    return int(urn.strip("<>")[len(ID):]) if urn and urn.startswith(f"<{ID}") else None
+def _number(value: str | None) -> int | None:
+    return None if value is None else int(value)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -145,6 +200,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
             for content in got.column("content"):
                 rows, size = [], 0
                 for headers, block in _records(gzip.GzipFile(fileobj=io.BytesIO(content.as_buffer()))):
+                    if headers["warc-type"] == "warcinfo":
+                        continue
                     http, _, payload = block.partition(END.encode())
                     digest = headers["warc-payload-digest"].partition(":")[2]
                     n = int(dict(x.split(": ", 1) for x in http.decode().split("\r\n")[1:])["Content-Length"])
@@ -153,8 +210,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                     ):
                         raise ValueError(f"{headers['warc-record-id']}: the payload does not fit its digest")
                     rows.append((
-                        _page(headers["warc-record-id"]), headers["warc-type"], headers.get("warc-target-uri"), digest, n,
-                        _page(headers.get("warc-refers-to")), payload if headers["warc-type"] == "response" else None,
+                        _number(headers.get(PAGE.lower())), headers["warc-type"], headers.get("warc-target-uri"), digest, n,
+                        _number(headers.get(REFERS.lower())), payload if headers["warc-type"] == "response" else None,
                     ))
                     size += len(block)
                     if size > 1 << 20:
@@ -163,4 +220,5 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 if rows:
                     yield batch(rows)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(parse, ROW)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(path)
+    return files.select("content").mapInArrow(parse, ROW)
