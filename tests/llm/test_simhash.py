@@ -132,3 +132,31 @@ def test_rows_without_id_link_and_are_removed(spark):
         [(8, a), (None, lone.upper()), (None, rows[7][1]), (10, rows[8][1])], key=repr
     )
     assert sum(r.doc_id is None for r in simhash.keep_first(docs).collect()) == 6
+
+
+def test_a_hub_is_split(spark, tmp_path):
+    """A star of very many leaves: the join on its hub can be dealt to several tasks."""
+    from tidemark.llm.components import components
+
+    spark.range(1, 100_001).selectExpr("id AS u", "0 AS v").repartition(8).write.parquet(str(tmp_path / "e"))
+    names = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        rows = spark.read.parquet(str(tmp_path / "e"))
+        both = rows.selectExpr("inline(array(struct(u, v), struct(v AS u, u AS v)))")
+        from tidemark.llm.components import _star
+
+        star = _star(both, "large")
+        assert star.count() == 100_000
+        star.collect()
+        assert "skew=true" in star._jdf.queryExecution().executedPlan().toString()
+        assert components(rows).where("root = 0").count() == 100_000
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -14,7 +14,8 @@ def _both(edges: DataFrame) -> DataFrame:
 
 def _star(rows: DataFrame, keep: str) -> DataFrame:
     """Link the neighbours v of u that keep selects, and for a small star u itself, to the least of u and its neighbours."""
-    least = rows.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m"))
+    # stored: a join straight on an aggregate shares its shuffle, and Spark could not split a hub that very many rows link to
+    least = freeze(rows.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m")))
     linked = rows.join(least, F.col("u") == F.col("c")).select("u", "v", "m")
     if keep == "large":
         ends = linked.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
