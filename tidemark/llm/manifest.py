@@ -23,7 +23,7 @@ from tidemark.session import freeze
 
 SPAN = 8
 #: Runs of a window's block.
-RUNS = 512
+RUNS = 64
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 PLACE = ("grp", "pos", "size")
 
