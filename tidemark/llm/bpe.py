@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import share, slices
+from tidemark.llm.common import share, slices, tidied
 
 NONE = np.int32(2**31 - 1)
 #: Entries of a worker's memory of pieces; it starts anew when full.
-MEMORY = 200_000
+MEMORY = 100_000
 CELLS = 1 << 22
 LONG = 128
 #: Between a word and the next one a single blank always starts a match, whatever stands before it.
@@ -221,7 +221,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*part.schema.names, out])
 
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidied(run), schema)
 
 
 def decode(docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -251,7 +251,7 @@ def decode(docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str =
                 yield pa.RecordBatch.from_arrays([*part.columns, data], names=[*part.schema.names, out])
 
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.BinaryType())])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidied(run), schema)
 
 
 def digests(docs: DataFrame, ids: str = "ids", decoded: str = "decoded") -> list:

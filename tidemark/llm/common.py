@@ -50,6 +50,29 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
     yield batch.slice(start)
 
 
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """run for mapInArrow, with the memory that earlier tasks of the same worker have left given back to the system first.
+
+    Workers are used again from stage to stage, and what their caches took would otherwise stay with the executor.
+    """
+
+    def started(batches):
+        import ctypes
+        import gc
+
+        import pyarrow as pa
+
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+        yield from run(batches)
+
+    return started
+
+
 def bounded_sample(df: DataFrame, group: str, key: str, per_group: int) -> DataFrame:
     """At most per_group rows of every group, those with the least hash of the key; the same rows each time.
 

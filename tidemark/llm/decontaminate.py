@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import share, slices
+from tidemark.llm.common import share, slices, tidied
 from tidemark.session import freeze
 
 K1 = 1.2
@@ -39,7 +39,7 @@ INDEXES = 16
 BLOCKS = 64
 #: The shortest class of lengths: items of up to 64 words, then 256, 1024, ...
 SHORT = 64
-MEMORY = 200_000
+MEMORY = 100_000
 RESULT = "item_id long, n_words long, start long, bm25 double, overlap double, question_overlap double, answer_overlap double"
 
 
@@ -246,7 +246,7 @@ def _search(docs: DataFrame, indexes: list[Index], text: str, threshold: float,
 
     added = T.StructType.fromDDL(RESULT)
     names = added.names
-    return docs.mapInArrow(run, T.StructType([*docs.drop(text).schema.fields, *added.fields]))
+    return docs.mapInArrow(tidied(run), T.StructType([*docs.drop(text).schema.fields, *added.fields]))
 
 
 def _without(docs: DataFrame, indexes: list[Index], text: str, threshold: float, overlap: float) -> DataFrame:
@@ -262,7 +262,7 @@ def _without(docs: DataFrame, indexes: list[Index], text: str, threshold: float,
                 leaky = {d for index, known in asked for d, _ in _held(part, text, index, known, threshold, overlap)}
                 yield part.filter(pa.array([d not in leaky for d in range(part.num_rows)])) if leaky else part
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidied(run), docs.schema)
 
 
 def _read(items: DataFrame, item_id: str, item_text: str) -> DataFrame:
@@ -282,7 +282,7 @@ def _read(items: DataFrame, item_id: str, item_text: str) -> DataFrame:
                     pa.array([sorted(set(w)) for w in words], pa.list_(pa.string())),
                 ], names=["id", "text", "n_words", "class", "terms"])
 
-    return items.mapInArrow(run, "id long, text string, n_words long, class long, terms array<string>").where("n_words > 0")
+    return items.mapInArrow(tidied(run), "id long, text string, n_words long, class long, terms array<string>").where("n_words > 0")
 
 
 def _indexes(items: DataFrame, item_id: str, item_text: str, per_index: int) -> Iterator[list[Index]]:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import bounded_sample, share, slices
+from tidemark.llm.common import bounded_sample, share, slices, tidied
 from tidemark.session import freeze
 
 GRADES = 3
@@ -26,7 +26,7 @@ ROUNDS = 150
 RIDGE = 2e-5
 SELECT = 0.5
 #: Tokens that are remembered, and the longest of them.
-MEMORY = 200_000
+MEMORY = 100_000
 KNOWN = 200
 SHARE = 16.0
 EVIDENCE = 4.0
@@ -208,7 +208,7 @@ def fit(docs: DataFrame, grades: DataFrame, doc_id: str = "doc_id", text: str =
         rows.schema["key"], T.StructField("grade", T.IntegerType()), T.StructField("ids", T.ArrayType(T.IntegerType())),
         T.StructField("values", T.ArrayType(T.FloatType())),
     ])
-    found = freeze(rows.mapInArrow(run, schema))
+    found = freeze(rows.mapInArrow(tidied(run), schema))
     counts = found.select("grade", F.explode("ids").alias("id")).groupBy("id", "grade").agg(F.count(F.lit(1)).alias("n")).toArrow()
     seen = np.zeros((1 << bits, GRADES), np.int64)
     seen[counts.column("id").to_numpy(), counts.column("grade").to_numpy()] = counts.column("n").to_numpy()
@@ -238,7 +238,7 @@ def fit(docs: DataFrame, grades: DataFrame, doc_id: str = "doc_id", text: str =
         rows.schema["key"], T.StructField("grade", T.IntegerType()), T.StructField("ids", T.BinaryType()),
         T.StructField("values", T.BinaryType()),
     ])
-    found = found.mapInArrow(kept, schema).orderBy("key").toArrow()
+    found = found.mapInArrow(tidied(kept), schema).orderBy("key").toArrow()
     ids = [np.frombuffer(x, np.int32) for x in found.column("ids").to_pylist()]
     values = [np.frombuffer(x, np.float32) for x in found.column("values").to_pylist()]
     flat = lambda a, kind: np.concatenate(a) if a else np.zeros(0, kind)
@@ -275,4 +275,4 @@ def score(docs: DataFrame, model: Model, text: str = "text", select: float = SEL
     schema = T.StructType([
         *docs.schema.fields, *(T.StructField(n, t) for n, t in zip(names, (T.DoubleType(), T.DoubleType(), T.BooleanType())))
     ])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidied(run), schema)

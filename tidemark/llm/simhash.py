@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import fresh, slices
+from tidemark.llm.common import fresh, slices, tidied
 from tidemark.llm.components import components
 from tidemark.session import freeze
 
@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame, text: str = "text", words: int = WORDS, out: s
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(prints)], names=[*part.schema.names, out])
 
     schema = docs.drop(text).select("*", F.lit(0).cast("long").alias(out)).schema
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidied(run), schema)
 
 
 class Tree:
@@ -184,7 +184,7 @@ def links(classes: DataFrame, radius: int = RADIUS, tree: int = TREE) -> DataFra
             "u": pa.array([a for a, _ in out], pa.int64()), "v": pa.array([b for _, b in out], pa.int64())
         })
 
-    return dealt.mapInArrow(run, "u long, v long").distinct()
+    return dealt.mapInArrow(tidied(run), "u long, v long").distinct()
 
 
 def _components(docs: DataFrame, words: int, radius: int, tree: int, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
