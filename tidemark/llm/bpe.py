@@ -13,7 +13,7 @@ from tidemark.llm.common import share, slices, tidied
 
 NONE = np.int32(2**31 - 1)
 #: Entries of a worker's memory of pieces; it starts anew when full.
-MEMORY = 100_000
+MEMORY = 200_000
 CELLS = 1 << 22
 LONG = 128
 #: Between a word and the next one a single blank always starts a match, whatever stands before it.
