@@ -17,20 +17,23 @@ class Lexicon:
 
 # The words that carry a score. "thank you" can never equal a single token and stays listed
 # because the list is part of the contract.
-POSITIVE = """excellent, great, happy, satisfied, resolved, helpful, perfect, amazing, wonderful, fantastic,
-appreciate, thanks, thank you, pleased, good, nice, love, impressed, awesome, outstanding, efficient, quick, fast,
-smooth, easy, works, fixed, sorted, solved, glad, delighted, superb, brilliant"""
-NEGATIVE = """frustrated, disappointed, terrible, awful, horrible, bad, worst, waste, broken, failed, unacceptable,
-angry, upset, disgusted, useless, incompetent, never, always, escalate, refund, cancel, complaint, problem, issue,
-error, bug, disconnected, dropped, slow, delayed, missing, wrong, ridiculous, absurd, scam, fraud, lied, cheated"""
-INTENSIFIERS = "very, extremely, absolutely, completely, totally"
-
-
-def words(listing: str) -> frozenset[str]:
-    return frozenset(" ".join(w.split()) for w in listing.split(","))
-
-
-DEFAULT = Lexicon(words(POSITIVE), words(NEGATIVE), words(INTENSIFIERS))
+POSITIVE = frozenset({
+    "excellent", "great", "happy", "satisfied", "resolved", "helpful", "perfect", "amazing", "wonderful", "fantastic",
+    "appreciate", "thanks", "thank you", "pleased", "good", "nice", "love", "impressed", "awesome", "outstanding",
+    "efficient", "quick", "fast", "smooth", "easy", "works", "fixed", "sorted", "solved", "glad", "delighted",
+    "superb", "brilliant",
+})
+NEGATIVE = frozenset({
+    "frustrated", "disappointed", "terrible", "awful", "horrible", "bad", "worst", "waste", "broken", "failed",
+    "unacceptable", "angry", "upset", "disgusted", "useless", "incompetent", "never", "always", "escalate", "refund",
+    "cancel", "complaint", "problem", "issue", "error", "bug", "disconnected", "dropped", "slow", "delayed",
+    "missing", "wrong", "ridiculous", "absurd", "scam", "fraud", "lied", "cheated",
+})
+INTENSIFIERS = frozenset({
+    "very", "extremely", "absolutely", "completely", "totally",
+})
+
+DEFAULT = Lexicon(POSITIVE, NEGATIVE, INTENSIFIERS)
 
 
 def tokens(text: Column) -> Column:
