@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,51 +75,87 @@ FOUND = "array<struct<path:string,finding:string,kind:string,value:variant>>"
 RESCUED = "_rescued"
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What `use` makes of a value that is evaluated once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _kind(value: Column) -> Column:
     """STRING, BOOLEAN, NUMBER, OBJECT, ARRAY or VOID: what a JSON value is."""
-    named = F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
-    return F.when(named.isin("BIGINT", "DECIMAL", "DOUBLE"), "NUMBER").otherwise(named)
+    def named(schema: Column) -> Column:
+        number = schema.isin("BIGINT", "DOUBLE") | schema.startswith("DECIMAL")
+        return F.when(number, "NUMBER").when(schema.startswith("OBJECT"), "OBJECT").when(schema.startswith("ARRAY"), "ARRAY").otherwise(schema)
 
+    return _once(F.schema_of_variant(value), named)
+
+
+def _object(value: Column) -> Column:
+    """A JSON object as a map, NULL for any other value."""
+    return F.try_variant_get(value, "$", "map<string,variant>")
+
+
+def _items(value: Column) -> Column:
+    """A JSON list as an array, NULL for any other value."""
+    return F.try_variant_get(value, "$", "array<variant>")
 
-def _differs(value: Column, declared: T.DataType) -> Column:
-    """Whether a JSON value is of another kind than its declared type is written as; null fits any."""
-    if isinstance(declared, T.StructType):
-        wanted = "OBJECT"
-    elif isinstance(declared, T.ArrayType):
-        wanted = "ARRAY"
-    else:
-        wanted = KINDS.get(declared.simpleString(), "NUMBER")
-    kind = _kind(value)
-    return (kind != "VOID") & (kind != wanted)
 
+def _entry(path: Column, finding: Column, piece: Column) -> Column:
+    return F.struct(path.alias("path"), finding.alias("finding"), _kind(piece).alias("kind"), piece.alias("value"))
 
-def _strays(value: Column, declared: T.DataType, path: Column) -> Column:
+
+def _strays(value: Column, declared: T.DataType, path: str) -> Column:
     """What of a JSON value the declared type does not hold, with the path of each piece."""
     none = F.array().cast(FOUND)
+    # null fits any type
+    other_kind = F.when(value.isNotNull() & ~F.is_variant_null(value), F.array(_entry(F.lit(path), F.lit("uncastable"), value))).otherwise(none)
+    if isinstance(declared, T.StructType):
+        return _once(_object(value), lambda held: F.when(held.isNotNull(), _strays_in(held, declared, path)).otherwise(other_kind))
+    if isinstance(declared, T.ArrayType):
+        def inside(items: Column) -> Column:
+            return F.flatten(F.transform(items, lambda x: _strays(x, declared.elementType, f"{path}[]")))
+
+        return _once(_items(value), lambda items: F.when(items.isNotNull(), inside(items)).otherwise(other_kind))
+    kept = F.try_variant_get(value, "$", declared.simpleString())
+    bad = F.array(_entry(F.lit(path), F.when(kept.isNull(), "uncastable").otherwise("type_change"), value))
+    return F.when(value.isNull() | _fits(value, kept, declared), none).otherwise(bad)
+
 
-    def entry(at: Column, finding: Column, piece: Column) -> Column:
-        return F.struct(at.alias("path"), finding.alias("finding"), _kind(piece).alias("kind"), piece.alias("value"))
+def _fits(value: Column, kept: Column, declared: T.DataType) -> Column:
+    """Whether a JSON value is null or of the kind that its declared type is written as, and loses nothing as cast.
 
+    The commonest case is asked first and with one look at the value; lambdas are not compiled, so each call counts there.
+    """
+    schema = F.schema_of_variant(value)
+    kind = KINDS.get(declared.simpleString())
+    if kind:
+        return schema.isin(kind, "VOID")
+    number = F.substring(schema, 1, 7).isin("BIGINT", "DECIMAL", "DOUBLE") & kept.isNotNull()
+    if isinstance(declared, T.IntegralType):  # a fraction would be cut off
+        number = number & (kept.cast("decimal(38,9)") == F.try_variant_get(value, "$", "decimal(38,9)"))
+        number = F.when(schema == "BIGINT", kept.isNotNull()).otherwise(F.coalesce(number, kept.isNotNull()))
+    return number | (schema == "VOID")
+
+
+def _strays_in(held: Column, declared: T.StructType, path: str) -> Column:
+    """The same for an object, as a map."""
+    dot = f"{path}." if path else ""
+    other = F.map_entries(F.map_filter(held, lambda k, v: ~k.isin(declared.names)))
+    parts = [F.transform(other, lambda x: _entry(F.concat(F.lit(dot), x["key"]), F.lit("undeclared"), x["value"]))]
+    for f in declared.fields:
+        parts.append(_strays(held[f.name], f.dataType, dot + f.name))
+    return F.concat(*parts)
+
+
+def _typed(value: Column, declared: T.DataType) -> Column:
+    """A JSON value as declared, cast field by field so that one bad field costs no other."""
     if isinstance(declared, T.StructType):
-        held = F.try_variant_get(value, "$", "map<string,variant>")
-        dot = F.when(path == "", "").otherwise(F.concat(path, F.lit(".")))
-        other = F.map_entries(F.map_filter(held, lambda k, v: ~k.isin(declared.names)))
-        parts = [F.transform(other, lambda x: entry(F.concat(dot, x["key"]), F.lit("undeclared"), x["value"]))]
-        for f in declared.fields:
-            piece = held[f.name]
-            parts.append(F.when(piece.isNotNull(), _strays(piece, f.dataType, F.concat(dot, F.lit(f.name)))).otherwise(none))
-        inside = F.concat(*[F.coalesce(p, none) for p in parts])
-    elif isinstance(declared, T.ArrayType):
-        items = F.try_variant_get(value, "$", "array<variant>")
-        inside = F.flatten(F.transform(items, lambda x: F.coalesce(_strays(x, declared.elementType, F.concat(path, F.lit("[]"))), none)))
-    else:
-        kept = F.try_variant_get(value, "$", declared.simpleString())
-        lost = kept.isNull()
-        if isinstance(declared, T.IntegralType):  # a fraction would be cut off
-            lost = lost | (kept.cast("decimal(38,9)") != F.try_variant_get(value, "$", "decimal(38,9)"))
-        bad = _differs(value, declared) | ((_kind(value) != "VOID") & lost)
-        return F.when(bad, F.array(entry(path, F.when(kept.isNull(), "uncastable").otherwise("type_change"), value))).otherwise(none)
-    return F.when(_differs(value, declared), F.array(entry(path, F.lit("uncastable"), value))).otherwise(F.coalesce(inside, none))
+        def fields(held: Column) -> Column:
+            return F.when(held.isNotNull(), F.struct(*[_typed(held[f.name], f.dataType).alias(f.name) for f in declared.fields]))
+
+        return _once(_object(value), fields)
+    if isinstance(declared, T.ArrayType):
+        return F.transform(_items(value), lambda x: _typed(x, declared.elementType))
+    return F.try_variant_get(value, "$", declared.simpleString())
 
 
 def read_rescued(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -128,26 +166,15 @@ def read_rescued(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     of another kind, or a fraction for a whole number, that also stands in its column as cast; uncastable, one that could not and is null there; and
     corrupt, a line that is no JSON object, whole as text.
     """
-    lines = spark.read.text(path).withColumn("_json", F.try_parse_json("value"))
-    good = F.coalesce(_kind(F.col("_json")) == "OBJECT", F.lit(False))
+    # every object is taken apart once, into a map: the work per line grows with what it holds, not with what is asked of it
+    lines = spark.read.text(path).select("value", _object(F.try_parse_json("value")).alias("_held"))
     whole = F.to_variant_object(F.struct("value"))
     corrupt = F.array(F.struct(
         F.lit("").alias("path"), F.lit("corrupt").alias("finding"), F.lit("STRING").alias("kind"), F.variant_get(whole, "$.value", "variant").alias("value")
     ))
-
-    def typed(value: Column, declared: T.DataType) -> Column:
-        """The value as declared, cast field by field so that one bad field costs no other."""
-        if isinstance(declared, T.StructType):
-            held = F.try_variant_get(value, "$", "map<string,variant>")
-            fields = F.struct(*[typed(held[f.name], f.dataType).alias(f.name) for f in declared.fields])
-            return F.when(held.isNotNull(), fields)
-        if isinstance(declared, T.ArrayType):
-            return F.transform(F.try_variant_get(value, "$", "array<variant>"), lambda x: typed(x, declared.elementType))
-        return F.try_variant_get(value, "$", declared.simpleString())
-
-    held = F.try_variant_get("_json", "$", "map<string,variant>")
-    rescued = F.when(good, _strays(F.col("_json"), schema, F.lit(""))).otherwise(corrupt)
-    return lines.select(*[typed(held[f.name], f.dataType).alias(f.name) for f in schema.fields], rescued.alias(RESCUED))
+    held = F.col("_held")
+    rescued = F.when(held.isNotNull(), _strays_in(held, schema, "")).otherwise(corrupt)
+    return lines.select(*[_typed(held[f.name], f.dataType).alias(f.name) for f in schema.fields], rescued.alias(RESCUED))
 
 
 def rescue_report(rows: DataFrame) -> DataFrame:
