@@ -175,6 +175,23 @@ def test_a_resumed_copy_does_not_copy_again(spark, tmp_path):
     assert now.keys() == held.keys() and sum(now[n] != held[n] for n in now) == 1
 
 
+def test_digests_sum_hashes_exactly_as_whole_numbers(spark, tmp_path, plan_of):
+    rows = spark.range(4000).select("id", F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).alias("s"))
+    rows.repartition(3).write.parquet(str(tmp_path / "a"))
+    stored = spark.read.parquet(str(tmp_path / "a"))
+    found = K.digests(stored, F.col("_metadata.file_path"), F.sha1)
+    null = [F.col(c).isNull() for c in ("id", "s")]
+    plain = lambda *parts: F.sum(F.xxhash64(*parts).cast("decimal(38,0)"))
+    want = stored.groupBy(F.sha1("_metadata.file_path").alias("file")).agg(
+        F.count("*"), plain("id", null[0], "s", null[1]), plain("id", null[0]), plain("s", null[1])
+    )
+    got = [(r["file"], r["n_rows"], r["rows"], r["columns"]["id"], r["columns"]["s"]) for r in found.collect()]
+    assert sorted(got) == sorted(map(tuple, want.collect())) and len(got) == 3
+    # a row costs hashes and whole sums only: names are digested and DECIMALs added once per file and task
+    scan = plan_of(found, "simple").split("Exchange")[-1]
+    assert "partial_sum" in scan and "sha1" not in scan and "decimal" not in scan
+
+
 def test_latest_attributes_win_in_dimensions(spark):
     rows = [(1, 1, "Old", "p", 1), (1, 2, "New", "p", 2)]
     wide = spark.createDataFrame(rows, "customer_id int, order_id int, city string, product_id string, line_number int")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -106,18 +106,29 @@ def _hashed(name: str, kind: T.DataType) -> list[Column]:
     return [value, value.isNull()]
 
 
-def digests(rows: DataFrame, by: Column, schema: T.StructType | None = None) -> DataFrame:
+LOW = 0xFFFFFFFF
+
+
+def digests(rows: DataFrame, at: Column, by: Callable[[Column], Column], schema: T.StructType | None = None) -> DataFrame:
     """file, n_rows, and sums of hashes that don't depend on the order of rows: of whole rows, and of each column.
 
-    The sums of columns tell where a difference is; that of the rows also tells values that have changed places.
+    The sums of columns tell where a difference is; that of the rows also tells values that have changed places. Rows are
+    summed by `at` as it stands, a name that the scan gives, and `by` makes the file's name of it once per sum. Both halves of
+    a hash are summed as whole numbers, exactly, and put together as DECIMAL after that; beyond 2^31 rows they raise.
     """
     columns = {f.name: _hashed(f.name, f.dataType) for f in (schema or rows.schema).fields}
-    total = lambda parts: F.sum(F.xxhash64(*parts).cast("decimal(38,0)"))
-    sums = F.map_from_arrays(
-        F.array(*[F.lit(c) for c in columns]), F.array(*[total(parts) for parts in columns.values()])
-    )
-    whole = [x for parts in columns.values() for x in parts]
-    return rows.groupBy(by.alias("file")).agg(F.count(F.lit(1)).alias("n_rows"), total(whole).alias("rows"), sums.alias("columns"))
+    parts = [[x for c in columns.values() for x in c], *columns.values()]
+    hashes = rows.select(at.alias("_at"), *[F.xxhash64(*c).alias(f"_{i}") for i, c in enumerate(parts)])
+    halves = [x for i in range(len(parts)) for x in (
+        F.sum(F.shiftright(f"_{i}", 32)).alias(f"_high_{i}"), F.sum(F.col(f"_{i}").bitwiseAND(F.lit(LOW))).alias(f"_low_{i}")
+    )]
+    found = hashes.groupBy("_at").agg(F.count(F.lit(1)).alias("_n"), *halves)
+
+    def total(i: int) -> Column:
+        return F.sum(F.col(f"_high_{i}").cast("decimal(38,0)") * F.lit(LOW + 1) + F.col(f"_low_{i}")).cast("decimal(38,0)")
+
+    sums = F.map_from_arrays(F.array(*[F.lit(c) for c in columns]), F.array(*[total(i + 1) for i in range(len(columns))]))
+    return found.groupBy(by(F.col("_at")).alias("file")).agg(F.sum("_n").alias("n_rows"), total(0).alias("rows"), sums.alias("columns"))
 
 
 def _summary(rows: DataFrame, found: list) -> CopySummary:
@@ -146,9 +157,8 @@ def verify_copy(spark: SparkSession, source: str, target: str) -> tuple[CopySumm
     The digests, one row per file, are compared on the driver.
     """
     rows, copy = spark.read.parquet(source), spark.read.parquet(target)
-    before = _summary(rows, digests(rows, F.sha1("_metadata.file_path")).collect())
-    stem = F.regexp_extract(F.col("_metadata.file_name"), "^([0-9a-f]{40})-", 1)
-    after = _summary(copy, digests(copy, stem).collect())
+    before = _summary(rows, digests(rows, F.col("_metadata.file_path"), F.sha1).collect())
+    after = _summary(copy, digests(copy, F.col("_metadata.file_name"), lambda x: F.regexp_extract(x, "^([0-9a-f]{40})-", 1)).collect())
     _compare(before, after, source)
     return before, after
 
@@ -177,11 +187,11 @@ def copy_dataset(spark: SparkSession, source: str, target: str, step: int = 200)
         raise CopyError(f"{source} has no rows")
     for at in range(0, len(left), step):
         part = spark.read.option("basePath", source).schema(rows.schema).parquet(*left[at:at + step])
-        name = F.sha1("_metadata.file_path")
-        part.withColumn("_file", name).write.mode("overwrite").partitionBy("_file").parquet(staged)
+        path = F.col("_metadata.file_path")
+        part.withColumn("_file", F.sha1(path)).write.mode("overwrite").partitionBy("_file").parquet(staged)
         written = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("_file", T.StringType())])).parquet(staged)
-        found = digests(part, name).collect()
-        _compare(_summary(part, found), _summary(rows, digests(written, F.col("_file"), rows.schema).collect()), source)
+        found = digests(part, path, F.sha1).collect()
+        _compare(_summary(part, found), _summary(rows, digests(written, F.col("_file"), lambda x: x, rows.schema).collect()), source)
         for status in fs.listStatus(path_of(staged)):
             if not status.isDirectory():
                 continue
