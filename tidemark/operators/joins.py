@@ -13,6 +13,26 @@ from tidemark.operators.ordering import RANGE, cell_of, hot_keys, in_key_ranges
 from tidemark.session import freeze
 
 
+#: Rows of one task where a step holds all of its rows, as a sort or a count of distinct keys does.
+TASK_ROWS = 500_000
+
+
+def tasks_for(df: DataFrame, least: int, most_rows: int | None = None) -> int:
+    """Tasks that df has to be dealt to so that each gets about TASK_ROWS rows; at least `least`. The rows are counted."""
+    return max(least, -(-df.count() // (most_rows or TASK_ROWS)))
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """df dealt by a key of few rows each, such as an order's id, to as many tasks as its size asks for.
+
+    A fixed number of shuffle partitions lets the memory of a task grow with the table. Where that number is enough, df stays as it
+    is, and a join on it can be split at run time.
+    """
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = tasks_for(df, least)
+    return df if n == least else df.repartition(n, key)
+
+
 def known_only(df: DataFrame, key: str, parent: DataFrame, parent_key: str | None = None) -> DataFrame:
     """Rows whose key exists in the parent table."""
     keys = parent.select(F.col(parent_key or key).alias(key))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import percent, to_double
+from tidemark.operators.joins import spread
 from tidemark.operators.ordering import with_ntiles
 from tidemark.session import freeze
 
@@ -38,7 +39,10 @@ def order_values(orders: DataFrame, items: DataFrame) -> DataFrame:
     return earning(orders).join(order_totals(items), "order_id")
 
 
-def revenue_by_category(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
+def revenue_by_category(orders: DataFrame, items: DataFrame, products: DataFrame, dealt: bool = False) -> DataFrame:
+    """dealt tells that items lie in enough buckets of the order id already."""
+    # a task that counts distinct orders holds all pairs of category and order that it meets, nearly as many as items
+    items = items if dealt else spread(items, "order_id")
     kept = items.join(earning(orders).select("order_id"), "order_id")
     # rows are combined per (category, order) before the shuffle of the distinct count
     return (
