@@ -1,6 +1,7 @@
 """A third of all rows on one key: joins are split at run time, results stay whole."""
 
 import contextlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,8 @@ from pyspark.sql import functions as F
 from tidemark.operators import joins
 from tidemark.plans import retail as R
 from tidemark.plans import wide_sales as W
+from tidemark.registry import QUERIES
+from tidemark.registry.files import bucketed_shop
 from tidemark.sources import adapters as A
 
 
@@ -63,6 +66,20 @@ def test_busy_product_is_split(spark, sf, tmp_path):
     assert "skew=true" in plan
 
 
+def test_tasks_grow_with_the_items(spark, sf, monkeypatch, plan_of):
+    """A task gets so many rows at most, whatever the number of shuffle partitions."""
+    tables = (A.orders(spark, sf), A.order_items(spark, sf), A.products(spark, sf))
+    want = sorted(R.revenue_by_category(*tables).collect())
+    monkeypatch.setattr(joins, "TASK_ROWS", 500)
+    n = -(-tables[1].count() // 500)
+    dealt = R.revenue_by_category(*tables)
+    assert sorted(dealt.collect()) == want and f"hashpartitioning(order_id, {n})" in re.sub(r"#\d+L?", "", plan_of(dealt, "simple"))
+    assert sum(f.startswith("part-") for f in set(re.findall(r"part-\d+", " ".join(bucketed_shop(spark, sf)[1].inputFiles())))) == n
+    assert sorted(QUERIES["snk_1_report_on_buckets"](spark, sf).collect()) == want
+    monkeypatch.undo()
+    assert len(bucketed_shop(spark, sf)[1].inputFiles()) == 8
+
+
 @pytest.mark.parametrize("how", ["inner part of a left join", "orphans"])
 def test_busy_customer_in_row_joins(spark, sf, tmp_path, how):
     orders = in_files(hot(A.orders(spark, sf), "customer_id", 3), tmp_path / "orders")
