@@ -16,21 +16,36 @@ from tidemark.session import freeze
 #: Rows of one task where a step holds all of its rows, as a sort or a count of distinct keys does.
 TASK_ROWS = 500_000
 
+#: Rows of one task that a join may hold in a hash table, and rows up to which Spark may prefer to broadcast them.
+HASHED, BROADCAST = 5_000_000, 2_000_000
+
 
 def tasks_for(df: DataFrame, least: int, most_rows: int | None = None) -> int:
     """Tasks that df has to be dealt to so that each gets about TASK_ROWS rows; at least `least`. The rows are counted."""
     return max(least, -(-df.count() // (most_rows or TASK_ROWS)))
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame, key: str, always: bool = False) -> DataFrame:
     """df dealt by a key of few rows each, such as an order's id, to as many tasks as its size asks for.
 
     A fixed number of shuffle partitions lets the memory of a task grow with the table. Where that number is enough, df stays as it
-    is, and a join on it can be split at run time.
+    is, and a join on it can be split at run time; or, with always, is dealt to it.
     """
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n = tasks_for(df, least)
-    return df if n == least else df.repartition(n, key)
+    if n > least:
+        return df.repartition(n, key)
+    return df.repartition(key) if always else df
+
+
+def looked_up(df: DataFrame) -> DataFrame:
+    """A table that is cheap to count, with one row per key, as a hash table in every task of a join on the key: the other side needs no sort.
+
+    A hash table stays in memory, so this is left to Spark, which sorts both sides, where a task would get more than HASHED
+    rows; and for tables that it may broadcast. The other side can still be split at run time. The rows are counted.
+    """
+    n, tasks = df.count(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.hint("shuffle_hash") if BROADCAST < n <= tasks * HASHED else df
 
 
 def known_only(df: DataFrame, key: str, parent: DataFrame, parent_key: str | None = None) -> DataFrame:

@@ -85,6 +85,7 @@ def retail_job(raw: C.Retail, out: str) -> dict[str, str]:
         "quantity": F.col("quantity").try_cast("decimal(18,3)"),
     })
     tables = {"customers": loaded.customers, "products": loaded.products, "orders": loaded.orders, "items": priced}
+    tables = R.stored_values(tables)
     return export_reports({name: report(tables) for name, report in R.REPORTS.items()}, f"{out}/reports", R.REPORT_ORDER)
 
 

@@ -7,11 +7,13 @@ meet another table, so a busy customer or product is already small when rows are
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import percent, to_double
-from tidemark.operators.joins import spread
+from tidemark.operators.joins import looked_up, spread
 from tidemark.operators.ordering import with_ntiles
 from tidemark.session import freeze
 
@@ -31,19 +33,28 @@ def month_of(date: str) -> Column:
 
 
 def order_totals(items: DataFrame) -> DataFrame:
-    return items.groupBy("order_id").agg(F.sum(line_value()).alias("order_total"))
+    # items are dealt first: a task that sums them as they are read meets nearly all of its rows' orders, and holds them all
+    return spread(items, "order_id", always=True).groupBy("order_id").agg(F.sum(line_value()).alias("order_total"))
 
 
 def order_values(orders: DataFrame, items: DataFrame) -> DataFrame:
     """One row per earning order that has items."""
-    return earning(orders).join(order_totals(items), "order_id")
+    return looked_up(earning(orders)).join(order_totals(items), "order_id")
+
+
+def stored_values(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables of REPORTS with the order values that three of them start from, written once."""
+    values = order_values(tables["orders"], tables["items"]).select("order_id", "customer_id", "order_date", "order_total")
+    return {**tables, "values": freeze(values)}
 
 
 def revenue_by_category(orders: DataFrame, items: DataFrame, products: DataFrame, dealt: bool = False) -> DataFrame:
     """dealt tells that items lie in enough buckets of the order id already."""
     # a task that counts distinct orders holds all pairs of category and order that it meets, nearly as many as items
-    items = items if dealt else spread(items, "order_id")
-    kept = items.join(earning(orders).select("order_id"), "order_id")
+    placed = earning(orders).select("order_id")
+    if not dealt:
+        items, placed = spread(items, "order_id"), looked_up(placed)
+    kept = items.join(placed, "order_id")
     # rows are combined per (category, order) before the shuffle of the distinct count
     return (
         kept.join(products.select("product_id", "category"), "product_id")
@@ -56,21 +67,24 @@ def revenue_by_category(orders: DataFrame, items: DataFrame, products: DataFrame
     )
 
 
-def monthly_revenue(orders: DataFrame, items: DataFrame) -> DataFrame:
+def monthly_revenue(values: DataFrame) -> DataFrame:
     return (
-        order_values(orders, items)
-        .groupBy(month_of("order_date").alias("order_month"))
+        values.groupBy(month_of("order_date").alias("order_month"))
         .agg(F.round(F.sum("order_total"), 2).alias("revenue"))
     )
 
 
 def monthly_trend(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Revenue per month and growth over the previous month that has revenue."""
+    return trend_of(order_values(orders, items))
+
+
+def trend_of(values: DataFrame) -> DataFrame:
     # one row per calendar month: the un-partitioned window stays small
     by_month = Window.orderBy("order_month")
     prev = F.lag("revenue").over(by_month)
     return (
-        monthly_revenue(orders, items)
+        monthly_revenue(values)
         .withColumn("prev", prev)
         .select(
             "order_month",
@@ -83,7 +97,7 @@ def monthly_trend(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 def cumulative_revenue(orders: DataFrame, items: DataFrame) -> DataFrame:
     up_to_now = Window.orderBy("order_month").rowsBetween(Window.unboundedPreceding, 0)
-    return monthly_revenue(orders, items).select(
+    return monthly_revenue(order_values(orders, items)).select(
         "order_month",
         to_double(F.col("revenue")).alias("revenue"),
         to_double(F.sum("revenue").over(up_to_now)).alias("cumulative_revenue"),
@@ -114,17 +128,12 @@ def top_products_per_category(
     )
 
 
-def rfm_base(orders: DataFrame, items: DataFrame) -> DataFrame:
-    per_customer = (
-        order_values(orders, items)
-        .groupBy("customer_id")
-        .agg(
-            F.max("order_date").alias("last_order"),
-            F.count(F.lit(1)).alias("frequency"),
-            F.round(F.sum("order_total"), 2).alias("monetary"),
-        )
+def rfm_base(values: DataFrame) -> DataFrame:
+    return values.groupBy("customer_id").agg(
+        F.max("order_date").alias("last_order"),
+        F.count(F.lit(1)).alias("frequency"),
+        F.round(F.sum("order_total"), 2).alias("monetary"),
     )
-    return per_customer
 
 
 def segment_of(total: Column) -> Column:
@@ -133,8 +142,12 @@ def segment_of(total: Column) -> Column:
 
 def rfm_segments(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Quartile scores for recency, frequency and spend; ties are split by customer id."""
+    return segments_of(order_values(orders, items))
+
+
+def segments_of(values: DataFrame) -> DataFrame:
     # one row per customer, written once: its latest day and the tiles both start from it
-    base = freeze(rfm_base(orders, items))
+    base = freeze(rfm_base(values))
     latest = base.agg(F.max("last_order").alias("latest"))
     dated = base.crossJoin(F.broadcast(latest)).select(
         "customer_id", F.datediff("latest", "last_order").alias("recency_days"), "frequency", "monetary"
@@ -198,12 +211,8 @@ def cohort_retention(customers: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def customer_value(orders: DataFrame, items: DataFrame) -> DataFrame:
-    return (
-        order_values(orders, items)
-        .groupBy("customer_id")
-        .agg(F.count(F.lit(1)).alias("total_orders"), F.sum("order_total").alias("amount"))
-    )
+def customer_value(values: DataFrame) -> DataFrame:
+    return values.groupBy("customer_id").agg(F.count(F.lit(1)).alias("total_orders"), F.sum("order_total").alias("amount"))
 
 
 def lifetime_value(customers: DataFrame, orders: DataFrame, items: DataFrame, limit: int = 20) -> DataFrame:
@@ -212,7 +221,11 @@ def lifetime_value(customers: DataFrame, orders: DataFrame, items: DataFrame, li
     The first `limit` rows hold every value that can rank among them, so the rank is taken on the cut list. Customers
     meet their totals, one row each, before the cut: a spender who is not in the table takes no place.
     """
-    known = customer_value(orders, items).join(customers.select("customer_id", "first_name", "last_name"), "customer_id")
+    return top_of(customers, order_values(orders, items), limit)
+
+
+def top_of(customers: DataFrame, values: DataFrame, limit: int = 20) -> DataFrame:
+    known = customer_value(values).join(customers.select("customer_id", "first_name", "last_name"), "customer_id")
     top = known.orderBy(F.col("amount").desc(), "customer_id").limit(limit)
     return top.withColumn("value_rank", F.dense_rank().over(Window.orderBy(F.col("amount").desc()))).select(
         "customer_id",
@@ -263,12 +276,13 @@ def new_vs_returning_revenue(orders: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
+# Of tables that stored_values() has completed.
 REPORTS = {
     "revenue-by-category": lambda t: revenue_by_category(t["orders"], t["items"], t["products"]),
-    "monthly-trend": lambda t: monthly_trend(t["orders"], t["items"]),
-    "top-customers": lambda t: lifetime_value(t["customers"], t["orders"], t["items"]),
+    "monthly-trend": lambda t: trend_of(t["values"]),
+    "top-customers": lambda t: top_of(t["customers"], t["values"]),
     "cohort-retention": lambda t: cohort_retention(t["customers"], t["orders"]),
-    "segments": lambda t: segment_summary(rfm_segments(t["orders"], t["items"])),
+    "segments": lambda t: segment_summary(segments_of(t["values"])),
 }
 
 # How the exported files are sorted; each report is small, as its groups are.

@@ -281,6 +281,7 @@ def snk_3(spark, sf):
         "orders": A.orders(spark, sf), "items": A.order_items(spark, sf), "products": A.products(spark, sf),
         "customers": A.customers(spark, sf, with_place=False),
     }
+    tables = R.stored_values(tables)
     reports = {name: report(tables) for name, report in R.REPORTS.items()}
     paths = K.export_reports(reports, scratch_path(spark, "reports"), R.REPORT_ORDER)
     parts = []
