@@ -30,7 +30,9 @@ def try_number(text: Column, type_name: str = "double") -> Column:
 
     Type suffixes (12d), NaN and Infinity are no numbers here.
     """
-    return F.when(text.rlike(NUMBER), strip(text).try_cast(type_name))
+    # the cast to double drops white space itself
+    bare = text if type_name == "double" else strip(text)
+    return F.when(text.rlike(NUMBER), bare.try_cast(type_name))
 
 
 def whole_or(text: Column, otherwise: int) -> Column:

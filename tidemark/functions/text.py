@@ -17,8 +17,13 @@ def strip(text: Column) -> Column:
 
 def title_case(text: Column) -> Column:
     """Every run of letters with its first letter in upper case, the rest lower: O'Brien Mary-Jane."""
-    runs = F.regexp_extract_all(F.lower(text), F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1))
-    return F.array_join(F.transform(runs, lambda run: F.concat(F.upper(F.left(run, F.lit(1))), F.substr(run, F.lit(2)))), "")
+    def capital(run: Column) -> Column:
+        return F.concat(F.upper(F.left(run, F.lit(1))), F.substr(run, F.lit(2)))
+
+    lower = F.lower(text)
+    runs = F.regexp_extract_all(lower, F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1))
+    # a single plain word, as most are, is not taken apart; signs and digits may follow it
+    return F.when(text.rlike(r"^[A-Za-z]+[\x00-@\[-`{-\x7F]*$"), capital(lower)).otherwise(F.array_join(F.transform(runs, capital), ""))
 
 
 def mapped(value: Column, labels: Mapping[str, str]) -> Column:
@@ -40,8 +45,15 @@ def is_blank(text: Column) -> Column:
 
 
 def parsed_date(text: Column) -> Column:
-    """yyyy-M-d, else d/M/yyyy, else NULL."""
-    return F.coalesce(F.try_to_date(text, "yyyy-M-d"), F.try_to_date(text, "d/M/yyyy"))
+    """yyyy-M-d, else d/M/yyyy, else NULL.
+
+    Only text of a pattern's shape is parsed by it: a text that cannot be parsed costs an exception, far more than the look.
+    """
+    number = r"\s*[+-]?\d+\s*"
+    shapes = {sep: text.rlike(f"^{sep.join([number] * 3)}$") for sep in "-/"}
+    return F.coalesce(
+        F.when(shapes["-"], F.try_to_date(text, "yyyy-M-d")), F.when(shapes["/"], F.try_to_date(text, "d/M/yyyy"))
+    )
 
 
 def us_date(text: Column) -> Column:

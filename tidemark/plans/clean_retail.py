@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.numbers import try_number, whole_or
 from tidemark.functions.text import EMAIL, is_blank, mapped, parsed_date, repaired_email, strip, title_case
 from tidemark.operators.cleaning import dedup_first, drop_missing_key, fill_group_median, repair_negative
-from tidemark.operators.joins import known_only, orphans
+from tidemark.operators.joins import known_only, looked_up, orphans
 from tidemark.operators.quality import require
 from tidemark.session import freeze
 
@@ -62,14 +62,17 @@ def clean_products(raw: DataFrame) -> DataFrame:
 
 
 def clean_orders(raw: DataFrame, customers: DataFrame) -> DataFrame:
-    first = known_only(dedup_first(raw, ["order_id"], ["_seq"]), "customer_id", customers)
-    return first.select(
+    # mended before the first copy is taken: after that, the filter and the result would each parse the date
+    tidy = raw.select(
         "order_id",
         "customer_id",
         parsed_date(F.col("order_date")).alias("order_date"),
         title_case(strip(F.col("status"))).alias("status"),
         mapped(strip(F.col("payment_method")), PAYMENT_LABELS).alias("payment_method"),
-    ).filter(F.col("order_date").isNotNull())
+        "_seq",
+    )
+    first = dedup_first(tidy, ["order_id"], ["_seq"]).filter(F.col("order_date").isNotNull())
+    return known_only(first, "customer_id", customers).drop("_seq")
 
 
 def clean_items(raw: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
@@ -93,7 +96,7 @@ def clean_retail(raw: Retail) -> Retail:
 def integrity_report(t: Retail) -> DataFrame:
     checks = {
         "orphaned_orders": orphans(t.orders, "customer_id", t.customers),
-        "orphaned_items": orphans(t.items, "order_id", t.orders),
+        "orphaned_items": orphans(t.items, "order_id", looked_up(t.orders)),
         "bad_quantity": t.items.filter(F.col("quantity") <= 0),
         "negative_price": t.products.filter(F.col("unit_price") < 0),
     }
@@ -149,7 +152,8 @@ def cleaning_log(raw: Retail, clean: Retail) -> DataFrame:
         F.count_if(~known).alias("unknown_customer"),
         F.count_if(known & parsed_date(F.col("order_date")).isNull()).alias("unparsable_order_date"),
     )
-    placed = marked(marked(raw.items, "order_id", clean.orders, "_order"), "product_id", clean.products, "_product")
+    placed = marked(raw.items, "order_id", looked_up(clean.orders), "_order")
+    placed = marked(placed, "product_id", looked_up(clean.products), "_product")
     positive = F.coalesce(try_number(F.col("quantity")) > 0, F.lit(False))
     items = placed.agg(
         F.count_if(~F.col("_order")).alias("unknown_order"),

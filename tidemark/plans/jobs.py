@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.operators.history import current
+from tidemark.operators.joins import looked_up
 from tidemark.operators.quality import warn
 from tidemark.plans import calls as P
 from tidemark.plans import clean_retail as C
@@ -70,7 +71,7 @@ def load_retail(raw: C.Retail, out: str) -> C.Retail:
     customers = snapshot(C.clean_customers(raw.customers), f"{out}/customers")
     products = snapshot(C.clean_products(raw.products), f"{out}/products")
     orders = snapshot(C.clean_orders(raw.orders, customers), f"{out}/orders")
-    items = snapshot(C.clean_items(raw.items, orders, products), f"{out}/items")
+    items = snapshot(C.clean_items(raw.items, looked_up(orders), looked_up(products)), f"{out}/items")
     return C.Retail(customers, products, orders, items)
 
 
